@@ -27,10 +27,7 @@ _BAD = "_bad"
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
 
 FEED_MESSAGE = StructType([
-    StructField("stream", StringType()),
     StructField("data", StructType([
-        StructField("e", StringType()),
-        StructField("E", StringType()),
         StructField("s", StringType()),
         StructField("t", StringType()),
         StructField("p", StringType()),
@@ -42,6 +39,13 @@ FEED_MESSAGE = StructType([
 ])
 
 
+# The feed tells its fields apart by case alone (t and T), which column names do not: rename by position.
+_FEED_NAMES = (
+    "struct<data: struct<symbol: string, number: string, price: string, quantity: string, millis: string, "
+    f"maker: boolean>, {_BAD}: string>"
+)
+
+
 def envelope_schema(trade: StructType = TRADE) -> StructType:
     """The wire envelope. Payload values stay text, so that a rule can look at them before any cast."""
     payload = StructType([StructField(camel_case(name), StringType()) for name in trade.fieldNames()])
@@ -181,15 +185,15 @@ def read_feed(
     """
     if id_mode not in ("random", "exchange"):
         raise ValueError(f"unknown id_mode {id_mode!r}")
-    parsed = F.from_json(F.col("value").cast("string"), FEED_MESSAGE, _PERMISSIVE)
+    parsed = F.from_json(F.col("value").cast("string"), FEED_MESSAGE, _PERMISSIVE).cast(_FEED_NAMES)
     data = F.col("_feed.data")
-    symbol = F.upper(F.trim(F.coalesce(data["s"], F.lit("UNKNOWN"))))
-    price = F.coalesce(data["p"], F.lit("0"))
-    quantity = F.coalesce(data["q"], F.lit("0"))
-    side = F.when(data["m"] == F.lit(False), "BUY").otherwise("SELL")
-    millis = F.coalesce(data["T"], F.lit("0")).try_cast("decimal(20,3)")
+    symbol = F.upper(F.trim(F.coalesce(data["symbol"], F.lit("UNKNOWN"))))
+    price = F.coalesce(data["price"], F.lit("0"))
+    quantity = F.coalesce(data["quantity"], F.lit("0"))
+    side = F.when(data["maker"] == F.lit(False), "BUY").otherwise("SELL")
+    millis = F.coalesce(data["millis"], F.lit("0")).try_cast("decimal(20,3)")
     event_time = F.timestamp_micros((millis * 1000).cast("bigint"))
-    trade_id = F.uuid() if id_mode == "random" else stable_uuid(F.lit(exchange), symbol, data["t"])
+    trade_id = F.uuid() if id_mode == "random" else stable_uuid(F.lit(exchange), symbol, data["number"])
     trade = F.struct(
         trade_id.alias("trade_id"),
         F.lit(exchange).alias("exchange"),

@@ -23,7 +23,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream, all of it in one micro-batch."""
-    return spark.readStream.schema(events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parquet")
+    # A stream reads folders or patterns, and the table may be a single file: a pattern that matches only it.
+    return spark.readStream.schema(events(spark, sf_dir).schema).parquet(f"{sf_dir}/[e]vents.parquet")
 
 
 def _side() -> Column:
@@ -49,7 +50,7 @@ def _as_trades(source: DataFrame, *keep: str) -> DataFrame:
 
 
 def _plus_seconds(instant: Column, seconds: Column) -> Column:
-    return F.timestamp_micros(F.unix_micros(instant) + seconds * 1_000_000)
+    return F.timestamp_micros(F.unix_micros(instant) + seconds.cast("bigint") * 1_000_000)
 
 
 def trades(source: DataFrame) -> DataFrame:
