@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,10 +44,12 @@ def business_rules(as_of: datetime | str | Column | None = None, parent: str | N
 
 
 def all_hold(rules: dict[str, Column]) -> Column:
-    condition = F.lit(True)
-    for rule in rules.values():
-        condition = condition & rule
-    return F.coalesce(condition, F.lit(False))
+    """A plain conjunction for filters: NULL drops the row, and each part can reach the scan by itself."""
+    return reduce(Column.__and__, rules.values())
+
+
+def any_broken(rules: dict[str, Column]) -> Column:
+    return ~F.coalesce(all_hold(rules), F.lit(False))
 
 
 def broken(rules: dict[str, Column]) -> Column:
@@ -91,7 +94,7 @@ def contract_rules(raw: dict[str, Column]) -> dict[str, Column]:
     }
     for name in ("price", "quantity"):
         rules[f"{name}_decimal"] = fits_contract_decimal(raw[name])
-        rules[f"{name}_positive"] = raw[name].try_cast("decimal(38,28)") > 0
+        rules[f"{name}_positive"] = raw[name].try_cast("double") > 0
     rules["side_known"] = raw["side"].isin(*SIDES)
     rules["event_time_timestamp"] = timestamp_value(raw["event_time"]).isNotNull()
     rules["ingest_time_timestamp"] = raw["ingest_time"].isNull() | timestamp_value(raw["ingest_time"]).isNotNull()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
-from marketspark.functions.rules import all_hold, broken, business_rules, contract_rules
+from marketspark.functions.rules import all_hold, any_broken, broken, business_rules, contract_rules
 from marketspark.operators.codec import read_envelopes
 from marketspark.schemas import DATE_PATTERN, PIPELINE_VERSION, SchemaRegistry, get_schema_registry
 
@@ -40,8 +40,8 @@ def flag_business_rules(df: DataFrame, as_of: Clock = None) -> DataFrame:
 
 def filter_invalid_events(df: DataFrame, as_of: Clock = None) -> tuple[DataFrame, DataFrame]:
     """Valid and invalid rows. Each row is judged on its own, so this holds for streams as well."""
-    holds = all_hold(business_rules(as_of))
-    return df.filter(holds), df.filter(~holds)
+    rules = business_rules(as_of)
+    return df.filter(all_hold(rules)), df.filter(any_broken(rules))
 
 
 def anti_join_invalid(df: DataFrame, as_of: Clock = None) -> DataFrame:
@@ -51,9 +51,10 @@ def anti_join_invalid(df: DataFrame, as_of: Clock = None) -> DataFrame:
     nothing else is sent to the join. Rows without id match nothing and go around it, which keeps a
     large NULL group out of the shuffle. The other side is one row per id.
     """
-    holds = all_hold(business_rules(as_of))
-    candidates = df.filter(~holds & F.col("trade_id").isNotNull())
-    valid_ids = df.filter(holds & F.col("trade_id").isNotNull()).select("trade_id").distinct()
+    rules = business_rules(as_of)
+    identified = df.filter(F.col("trade_id").isNotNull())
+    candidates = identified.filter(any_broken(rules))
+    valid_ids = identified.filter(all_hold(rules)).select("trade_id").distinct()
     unmatched = candidates.join(valid_ids, "trade_id", "left_anti").select(*df.columns)
     return unmatched.unionByName(df.filter(F.col("trade_id").isNull()))
 
