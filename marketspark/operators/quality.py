@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from datetime import datetime, timezone
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from marketspark.functions.rules import instant
-from marketspark.schemas import DATE_PATTERN, SIDES
+from marketspark.schemas import DATE_PATTERN, GOLD, SIDES
 
 # Expectation names used in suites and results.
 COLUMN_EXISTS = "expect_column_to_exist"
@@ -124,11 +125,8 @@ class ValidationRunner:
         if rows:
             parts = [df.agg(*measures).select(F.inline(F.array(*rows))), *separate]
         if not parts:
-            return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+            parts = [df.sparkSession.createDataFrame([], RESULT_SCHEMA)]
+        return reduce(DataFrame.unionByName, parts).withColumn("suite", F.lit(suite_name))
 
     def validate(self, suite_name: str, df: DataFrame) -> dict[str, Any]:
         """The result document. Only the results, one row per expectation, come to the driver."""
@@ -250,6 +248,22 @@ def create_ohlc_invariants_suite() -> ValidationRunner:
     return _suite(GOLD_OHLC, [(CONDITION, {"condition": condition}) for condition in OHLC_INVARIANTS])
 
 
+# Measures a gold contract bounds at zero.
+GOLD_COUNTS = {
+    "ohlc": ["trade_count"],
+    "volume_profiles": ["buy_count", "sell_count"],
+    "trade_stats": ["trade_count", "trades_per_second"],
+}
+
+
+def create_gold_contract_suite(dataset: str) -> ValidationRunner:
+    """What the contract of a gold dataset asks: every field given, counts and rates not negative."""
+    return _suite(f"gold.{dataset}", [
+        *[(NOT_NULL, {"column": column}) for column in GOLD[dataset].fieldNames()],
+        *[(BETWEEN, {"column": column, "min_value": 0}) for column in GOLD_COUNTS[dataset]],
+    ])
+
+
 def create_strict_silver_suite(as_of: Any = None, max_lag_seconds: int = 120) -> ValidationRunner:
     """What the silver contract asks beyond the basic suite: positive quantity, partition date, freshness."""
     return _suite(SILVER_TRADES, [
@@ -288,15 +302,18 @@ MART_TESTS: dict[str, list[tuple[str, dict[str, Any]]]] = {
 
 def mart_tests(marts: dict[str, DataFrame]) -> DataFrame:
     """Results of the mart tests, one row per mart and test."""
-    out = None
-    for name, tests in MART_TESTS.items():
-        if name not in marts:
-            continue
-        part = _suite(name, tests).results(name, marts[name]).withColumn("mart", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    known = [name for name in MART_TESTS if name in marts]
+    if not known:
         raise ValueError(f"no known mart among {sorted(marts)}")
-    return out
+    parts = [_suite(name, MART_TESTS[name]).results(name, marts[name]) for name in known]
+    return reduce(DataFrame.unionByName, parts).withColumnRenamed("suite", "mart")
+
+
+def check_counts(results: DataFrame) -> DataFrame:
+    """Passed and failed checks per suite."""
+    return results.groupBy("suite").agg(
+        F.count_if("success").alias("passed"), F.count_if(~F.col("success")).alias("failed")
+    )
 
 
 SUITES = {SILVER_TRADES: create_silver_trades_suite, GOLD_OHLC: create_gold_ohlc_suite}

@@ -31,6 +31,12 @@ def stg_trade_stats(gold_trade_stats: DataFrame) -> DataFrame:
     return _stage(gold_trade_stats, "trade_stats")
 
 
+def create_staging_views(gold: dict[str, DataFrame]) -> None:
+    """The staged datasets as temporary views, for SQL users."""
+    for dataset, df in gold.items():
+        _stage(df, dataset).createOrReplaceTempView(f"stg_{dataset}")
+
+
 def daily_ohlc(staged_ohlc: DataFrame, base_window: str | None = BASE_WINDOW) -> DataFrame:
     """Daily candles. Only windows of ``base_window`` count, or volume would add up once per stored size."""
     if base_window:

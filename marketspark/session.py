@@ -36,6 +36,18 @@ def object_store_options(endpoint: str, access_key: str, secret_key: str, ssl: b
     }
 
 
+def sized_for(total_cores: int, stream_partitions: int | None = None) -> dict[str, str]:
+    """Shuffle width for a cluster of so many cores.
+
+    Batch shuffles start at eight partitions per core and adaptive execution merges the small ones. A
+    stream keeps the width it first ran with in its checkpoint and is not merged, so it gets its own.
+    """
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(8 * total_cores),
+        "spark.sql.shuffle.partitions": str(stream_partitions or 2 * total_cores),
+    }
+
+
 def build_session(
     app_name: str = "marketspark",
     master: str | None = None,

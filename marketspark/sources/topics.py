@@ -8,6 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from marketspark.schemas import RAW_TOPIC, TOPIC_ROW
@@ -72,9 +73,17 @@ def read_topic(spark: SparkSession, config: ConsumerConfig, topic: str = RAW_TOP
     return spark.read.format("kafka").options(**options, endingOffsets="latest").load()
 
 
-def publish(messages: DataFrame, config: ProducerConfig) -> None:
-    """Send ``(key, value, topic[, headers])`` rows."""
-    messages.write.format("kafka").options(**config.to_spark_kafka_options()).save()
+def publish(messages: DataFrame, config: ProducerConfig, checkpoint: str | None = None) -> StreamingQuery | None:
+    """Send ``(key, value, topic[, headers])`` rows; a stream needs a checkpoint and returns its query."""
+    options = config.to_spark_kafka_options()
+    if "headers" in messages.columns:
+        options["includeHeaders"] = "true"
+    if not messages.isStreaming:
+        messages.write.format("kafka").options(**options).save()
+        return None
+    if checkpoint is None:
+        raise ValueError("a stream of messages needs a checkpoint")
+    return messages.writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint).start()
 
 
 def replay_files(

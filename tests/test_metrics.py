@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from helpers import START, trade, trades
+from marketspark.plans import metrics
+
+TRIAGED = (
+    "timestamp timestamp, topic string, readable boolean, failure_reason string, trade struct<event_time: timestamp>"
+)
+
+
+def triaged(spark, *rows):
+    return spark.createDataFrame([
+        (START + timedelta(seconds=s), "raw.trades", readable, reason, (event,)) for s, readable, reason, event in rows
+    ], TRIAGED)
+
+
+def test_stages_reasons_and_lag(spark):
+    df = triaged(
+        spark,
+        (0, True, None, START - timedelta(seconds=5)),
+        (10, False, "deserialization_error", None),
+        (20, True, "schema_validation_error", START - timedelta(seconds=30)),
+        (70, False, "deserialization_error", None),
+    )
+    stages = {(r.window_start, r.stage): r.events for r in metrics.events_by_stage(df).collect()}
+    later = START + timedelta(minutes=1)
+    assert stages == {
+        (START, "raw"): 3, (START, "bronze"): 2, (START, "silver"): 1, (START, "dead_letter"): 2,
+        (later, "raw"): 1, (later, "bronze"): 0, (later, "silver"): 0, (later, "dead_letter"): 1,
+    }
+    letters = metrics.dead_letters_by_reason(df.filter("failure_reason IS NOT NULL"))
+    assert {(r.window_start, r.reason, r.events) for r in letters.collect()} == {
+        (START, "deserialization_error", 1), (START, "schema_validation_error", 1), (later, "deserialization_error", 1)
+    }
+    lag = {r.window_start: r.lag_seconds for r in metrics.consumer_lag(df).collect()}
+    assert lag == {START: 25.0, later: None}
+
+
+def test_ingested(spark):
+    df = trades(spark, trade("1"), trade("2"), trade("3", symbol="B"))
+    assert {(r.symbol, r.exchange, r.events) for r in metrics.ingested(df).collect()} == {
+        ("BTCUSDT", "binance", 2), ("B", "binance", 1)
+    }
+
+
+def test_breaches_need_consecutive_intervals(spark):
+    values = [121, 121, 50, 130, 301, 301, 301, 301, 301, 120, 121]
+    lag = spark.createDataFrame(
+        [(START + timedelta(minutes=i), "t", float(v)) for i, v in enumerate(values)],
+        "window_start timestamp, topic string, lag_seconds double",
+    )
+    letters = spark.createDataFrame(
+        [(START + timedelta(minutes=i), reason, 6) for i in [*range(4), *range(5, 11)] for reason in ("a", "b")],
+        "window_start timestamp, reason string, events bigint",
+    )
+    fired = {}
+    for row in metrics.breaches(lag, letters).collect():
+        fired.setdefault(row.alert, []).append(int((row.window_start - START).total_seconds() // 60))
+    assert {k: sorted(v) for k, v in fired.items()} == {
+        "ConsumerLagHigh": [1, 4, 5, 6, 7, 8],
+        "ConsumerLagCritical": [8],
+        "DeadLetterRateHigh": [9, 10],
+    }
+
+
+def brute_force_late(rows, watermark_seconds=60, batch_seconds=30):
+    epoch = datetime(1970, 1, 1)
+    batches = {}
+    for row in rows:
+        batches.setdefault((row["ingest_time"] - epoch).total_seconds() // batch_seconds, []).append(row)
+    late, newest = Counter(), None
+    for number in sorted(batches):
+        if newest is not None:
+            mark = newest - timedelta(seconds=watermark_seconds)
+            late.update(r["symbol"] for r in batches[number] if r["event_time"] < mark)
+        newest = max([r["event_time"] for r in batches[number]] + ([newest] if newest else []))
+    return dict(late)
+
+
+def test_late_events_equal_brute_force(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(500):
+        event = START + timedelta(seconds=rng.randrange(4 * 86400))
+        delay = rng.choice([0, 1, 30, 90, 3600, 90000])
+        rows.append(trade(str(i), event_time=event, ingest_time=event + timedelta(seconds=delay),
+                          symbol=rng.choice(["A", "A", "B"])))
+    expected = brute_force_late(rows)
+    assert expected
+    found = metrics.late_events(trades(spark, *rows))
+    assert {r.symbol: r.late_events for r in found.collect()} == expected
+
+
+def test_running_watermark_is_not_taken_in_one_task(spark):
+    marks = metrics.ingest_watermarks(trades(spark, trade()).withColumn("x", F.lit(1)))
+    plan = marks._jdf.queryExecution().optimizedPlan().toString()
+    single = [line for line in plan.splitlines() if "Window [" in line and "_day_newest" in line]
+    # The only window without a partition works on one row per day.
+    assert len(single) == 1
