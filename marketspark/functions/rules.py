@@ -16,6 +16,9 @@ CLOCK_SKEW = "INTERVAL 5 SECONDS"
 _UUID = r"^(urn:uuid:)?\{?[0-9a-fA-F]{8}-?([0-9a-fA-F]{4}-?){3}[0-9a-fA-F]{12}\}?$"
 _ISO_DATE = r"^\s*\d{4}-\d{2}-\d{2}"
 _EPOCH = r"^\s*-?\d+(\.\d+)?\s*$"
+_CONTRACT_DECIMAL = r"^[+-]?\d{1,10}(\.\d{1,8}0*)?$"
+# No sign but plus, and a digit other than zero before any exponent.
+_POSITIVE = r"^\s*\+?[0-9.]*[1-9]"
 # Beyond this many seconds an epoch number is in milliseconds.
 _EPOCH_MILLIS_FROM = 20_000_000_000
 
@@ -54,8 +57,10 @@ def any_broken(rules: dict[str, Column]) -> Column:
 
 def broken(rules: dict[str, Column]) -> Column:
     """Names of the broken rules, in rule order."""
-    names = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
-    return F.array_compact(F.array(*names))
+    names = F.concat_ws(",", *[
+        F.when(F.coalesce(rule, F.lit(False)), F.lit(None)).otherwise(F.lit(name)) for name, rule in rules.items()
+    ])
+    return F.when(names == "", F.array().cast("array<string>")).otherwise(F.split(names, ","))
 
 
 def decimal_value(raw: Column) -> Column:
@@ -79,25 +84,30 @@ def iso_timestamp(raw: Column) -> Column:
 def fits_contract_decimal(raw: Column) -> Column:
     """At most 18 digits, 8 of them after the point, trailing zeros not counted.
 
-    The number is read with 28 decimals and must not change when cut to 8. Text with more than 28
-    significant decimals is outside of that reading and refused by pattern.
+    Plain numbers are judged by their form. Others, such as numbers with an exponent, are read with 28
+    decimals and must not change when cut to 8; text with more significant decimals than that is refused.
     """
     wide = raw.try_cast("decimal(38,28)")
-    return (wide == wide.try_cast("decimal(18,8)")) & ~raw.rlike(r"\.\d{28}\d*[1-9]")
+    unchanged = (wide == wide.try_cast("decimal(18,8)")) & ~raw.rlike(r"\.\d{28}\d*[1-9]")
+    return raw.rlike(_CONTRACT_DECIMAL) | unchanged
 
 
-def contract_rules(raw: dict[str, Column]) -> dict[str, Column]:
-    """The trade contract on raw text fields, keyed by column name."""
+def contract_rules(raw: dict[str, Column], parsed: dict[str, Column] | None = None) -> dict[str, Column]:
+    """The trade contract on raw text fields, keyed by column name.
+
+    ``parsed`` may give the times already read from ``raw``, so that they are not read again.
+    """
+    times = {name: timestamp_value(raw[name]) for name in ("event_time", "ingest_time")} | (parsed or {})
     rules = {
         "trade_id_uuid": raw["trade_id"].rlike(_UUID),
         "symbol_present": raw["symbol"].isNotNull(),
     }
     for name in ("price", "quantity"):
         rules[f"{name}_decimal"] = fits_contract_decimal(raw[name])
-        rules[f"{name}_positive"] = raw[name].try_cast("double") > 0
+        rules[f"{name}_positive"] = raw[name].rlike(_POSITIVE)
     rules["side_known"] = raw["side"].isin(*SIDES)
-    rules["event_time_timestamp"] = timestamp_value(raw["event_time"]).isNotNull()
-    rules["ingest_time_timestamp"] = raw["ingest_time"].isNull() | timestamp_value(raw["ingest_time"]).isNotNull()
+    rules["event_time_timestamp"] = times["event_time"].isNotNull()
+    rules["ingest_time_timestamp"] = raw["ingest_time"].isNull() | times["ingest_time"].isNotNull()
     rules["schema_version_integer"] = (
         raw["schema_version"].isNull() | raw["schema_version"].try_cast("int").isNotNull()
     )

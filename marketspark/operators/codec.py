@@ -12,6 +12,7 @@ from marketspark.functions.rules import (
     decimal_value,
     instant,
     iso_timestamp,
+    timestamp_value,
 )
 from marketspark.schemas import (
     DEFAULT_EXCHANGE,
@@ -60,9 +61,14 @@ def envelope_schema(trade: StructType = TRADE) -> StructType:
     ])
 
 
-def _parsed_once(df: DataFrame, parsed: Column, name: str) -> DataFrame:
-    # Filters are not pushed below a generator, so each message is parsed once and not again per filter.
-    return df.select("*", F.explode(F.array(parsed)).alias(name))
+def computed_once(df: DataFrame, value: Column, name: str, when: Column | None = None) -> DataFrame:
+    """Add ``value`` as a column that filters and projections above do not compute again.
+
+    Filters are pushed through a projection and repeat its expressions; they stop at a generator. Rows
+    for which ``when`` does not hold are dropped.
+    """
+    values = F.array(value)
+    return df.select("*", F.explode(values if when is None else F.when(when, values)).alias(name))
 
 
 def _typed(raw: Column, field: StructField) -> Column:
@@ -85,17 +91,14 @@ def read_envelopes(df: DataFrame, registry: SchemaRegistry | None = None) -> Dat
     schema = (registry or get_schema_registry()).get_latest_schema()
     text = F.col("value").cast("string")
     parsed = F.from_json(text, envelope_schema(schema), _PERMISSIVE)
-    rows = _parsed_once(df, parsed, "_envelope")
+    rows = computed_once(df, parsed, "_envelope")
 
     raw = {f.name: F.col("_envelope.payload")[camel_case(f.name)] for f in schema.fields}
     values, sound = [], F.lit(True)
     for field in schema.fields:
         value = _typed(raw[field.name], field)
         if not isinstance(field.dataType, StringType):
-            sound = sound & (raw[field.name].isNull() | value.isNotNull())
-        default = "1" if field.name == "schema_version" else field.metadata.get("default")
-        if default is not None:
-            value = F.coalesce(value, F.lit(default).cast(field.dataType))
+            sound = sound & (raw[field.name].isNull() | F.col(f"trade.{field.name}").isNotNull())
         values.append(value.alias(field.name))
 
     readable = (
@@ -105,19 +108,24 @@ def read_envelopes(df: DataFrame, registry: SchemaRegistry | None = None) -> Dat
         & F.col("trade.event_time").isNotNull()
         & sound
     )
+    defaults = {f.name: f.metadata["default"] for f in schema.fields if "default" in f.metadata}
+    trade = F.col("trade")
+    for name, default in {"schema_version": "1", **defaults}.items():
+        filled = F.coalesce(trade[name], F.lit(default).cast(schema[name].dataType))
+        trade = trade.withField(name, filled)
     return (
         rows.withColumns({
             "raw": F.struct(*[column.alias(name) for name, column in raw.items()]),
             "trade": F.struct(*values),
         })
-        .withColumn("readable", F.coalesce(readable, F.lit(False)))
+        .withColumns({"trade": trade, "readable": F.coalesce(readable, F.lit(False))})
         .drop("_envelope")
     )
 
 
 def decode_events(df: DataFrame, registry: SchemaRegistry | None = None) -> DataFrame:
     """Topic rows to trades. Unreadable messages are left to the dead letters."""
-    return read_envelopes(df, registry).filter("readable").select("trade.*")
+    return computed_once(read_envelopes(df, registry), F.col("trade"), "_trade", F.col("readable")).select("_trade.*")
 
 
 def stable_uuid(*parts: Column) -> Column:
@@ -214,13 +222,10 @@ def read_feed(
         "event_time": millis.cast("string"),
         "ingest_time": F.lit(None).cast("string"),
         "schema_version": F.lit("1"),
-    })
-    return (
-        _parsed_once(df, parsed, "_feed")
-        .filter(data.isNotNull())
-        .withColumns({"trade": trade, "failed_rules": broken(rules)})
-        .drop("_feed")
-    )
+    }, {"event_time": event_time})
+    rows = computed_once(df, parsed, "_feed").filter(data.isNotNull())
+    checked = computed_once(rows, F.struct(trade.alias("trade"), broken(rules).alias("failed_rules")), "_checked")
+    return checked.select(*df.columns, "_checked.*")
 
 
 def parse_feed(df: DataFrame, **options) -> DataFrame:
@@ -243,21 +248,27 @@ def validate_contract(df: DataFrame, column: str = "value", registry: SchemaRegi
     wire = StructType([
         StructField(n, StringType()) for n in dict.fromkeys([*map(camel_case, names), *names])
     ] + [StructField(_BAD, StringType())])
-    rows = _parsed_once(df, F.from_json(F.col(column).cast("string"), wire, _PERMISSIVE), "_trade")
+    rows = computed_once(df, F.from_json(F.col(column).cast("string"), wire, _PERMISSIVE), "_trade")
     raw = {n: F.coalesce(F.col("_trade")[camel_case(n)], F.col("_trade")[n]) for n in names}
+    read = {
+        f.name: timestamp_value(raw[f.name]) if isinstance(f.dataType, TimestampType) else _typed(raw[f.name], f)
+        for f in schema.fields
+    }
+    rows = rows.withColumns({
+        "_raw": F.struct(*[raw[n].alias(n) for n in names]),
+        "_read": F.struct(*[read[n].alias(n) for n in names]),
+    })
     rules = {
         "json_object": F.col("_trade").isNotNull() & F.col(f"_trade.{_BAD}").isNull(),
-        **contract_rules(raw),
+        **contract_rules(
+            {n: F.col(f"_raw.{n}") for n in names},
+            {n: F.col(f"_read.{n}") for n in ("event_time", "ingest_time")},
+        ),
     }
-    defaults = {
-        "exchange": F.lit(DEFAULT_EXCHANGE),
-        "ingest_time": instant(None),
-        "schema_version": F.lit("1"),
-    }
-    typed = []
-    for field in schema.fields:
-        value = F.upper(F.trim(raw["symbol"])) if field.name == "symbol" else _typed(raw[field.name], field)
-        if field.name in defaults:
-            value = F.coalesce(value, defaults[field.name])
-        typed.append(value.alias(field.name))
-    return rows.select(*[F.col(c) for c in df.columns], *typed, broken(rules).alias("failed_rules"))
+    typed = {n: F.col(f"_read.{n}") for n in names}
+    typed["symbol"] = F.upper(F.trim(typed["symbol"]))
+    defaults = {"exchange": F.lit(DEFAULT_EXCHANGE), "ingest_time": instant(None), "schema_version": F.lit("1")}
+    for name, default in defaults.items():
+        typed[name] = F.coalesce(typed[name], default)
+    checked = F.struct(*[typed[n].alias(n) for n in names], broken(rules).alias("failed_rules"))
+    return computed_once(rows, checked, "_checked").select(*[F.col(c) for c in df.columns], "_checked.*")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 from marketspark.functions.rules import all_hold, any_broken, broken, business_rules, contract_rules
-from marketspark.operators.codec import read_envelopes
+from marketspark.operators.codec import computed_once, read_envelopes
 from marketspark.schemas import DATE_PATTERN, PIPELINE_VERSION, SchemaRegistry, get_schema_registry
 
 # Reasons stored with dead letters.
@@ -129,26 +129,25 @@ def triage(topic_rows: DataFrame, as_of: Clock = None, registry: SchemaRegistry
     registry = registry or get_schema_registry()
     rows = read_envelopes(topic_rows, registry)
     raw = {name: F.col(f"raw.{name}") for name in registry.get_latest_schema().fieldNames()}
-    contract = broken(contract_rules(raw))
-    business = broken(business_rules(as_of, parent="trade"))
+    parsed = {name: F.col(f"trade.{name}") for name in ("event_time", "ingest_time")}
     known = registry.is_known(F.col("trade.schema_version"))
-    return (
-        rows.withColumns({"_contract": contract, "_business": business})
-        .withColumn(
-            "failure_reason",
-            F.when(~F.col("readable"), UNREADABLE)
-            .when(~known, UNKNOWN_VERSION)
-            .when(F.size("_contract") > 0, CONTRACT_BROKEN)
-            .when(F.size("_business") > 0, RULE_BROKEN),
-        )
-        .withColumn(
-            "failed_rules",
-            F.when(F.col("failure_reason") == CONTRACT_BROKEN, F.col("_contract"))
-            .when(F.col("failure_reason") == RULE_BROKEN, F.col("_business"))
-            .otherwise(F.array().cast("array<string>")),
-        )
-        .drop("_contract", "_business", "raw")
+    judged = rows.withColumns({
+        "_contract": broken(contract_rules(raw, parsed)),
+        "_business": broken(business_rules(as_of, parent="trade")),
+    })
+    reason = (
+        F.when(~F.col("readable"), UNREADABLE)
+        .when(~known, UNKNOWN_VERSION)
+        .when(F.size("_contract") > 0, CONTRACT_BROKEN)
+        .when(F.size("_business") > 0, RULE_BROKEN)
+    )
+    failed = (
+        F.when(reason == CONTRACT_BROKEN, F.col("_contract"))
+        .when(reason == RULE_BROKEN, F.col("_business"))
+        .otherwise(F.array().cast("array<string>"))
     )
+    outcome = F.struct("trade", "readable", reason.alias("failure_reason"), failed.alias("failed_rules"))
+    return computed_once(judged, outcome, "_outcome").select(*topic_rows.columns, "_outcome.*")
 
 
 def accepted(triaged: DataFrame) -> DataFrame:

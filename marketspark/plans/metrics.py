@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketspark.functions.durations import duration_seconds
+from marketspark.operators.silver import UNREADABLE
 from marketspark.session import working_path
 
 # Thresholds, and how long a breach has to last.
@@ -25,36 +26,52 @@ def _interval_start() -> Column:
     return F.col("_interval.start").alias("window_start")
 
 
-def events_by_stage(triaged: DataFrame, interval: str = "1 minute") -> DataFrame:
-    """Messages per interval that reached each stage: raw, bronze (readable), silver (accepted), dead_letter."""
-    counts = triaged.groupBy(_interval("timestamp", interval)).agg(
-        F.count(F.lit(1)).alias("raw"),
-        F.count_if("readable").alias("bronze"),
-        F.count_if(F.col("failure_reason").isNull()).alias("silver"),
-        F.count_if(F.col("failure_reason").isNotNull()).alias("dead_letter"),
+def message_activity(triaged: DataFrame, interval: str = "1 minute") -> DataFrame:
+    """One row per interval, topic and outcome: messages, newest message time, newest readable event time.
+
+    The only pass over the messages; the stage, dead-letter and lag metrics are sums over these rows. Store
+    it to feed several of them.
+    """
+    event_time = F.when(F.col("readable"), F.col("trade.event_time"))
+    return (
+        triaged.groupBy(_interval("timestamp", interval), "topic", "failure_reason")
+        .agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.max("timestamp").alias("newest_message"),
+            F.max(event_time).alias("newest_event"),
+        )
+        .select(_interval_start(), "topic", "failure_reason", "messages", "newest_message", "newest_event")
     )
-    stages = ("raw", "bronze", "silver", "dead_letter")
-    pairs = F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).alias("events")) for s in stages])
-    return counts.select(_interval_start(), F.inline(pairs))
 
 
-def dead_letters_by_reason(letters: DataFrame, interval: str = "1 minute") -> DataFrame:
+def events_by_stage(activity: DataFrame) -> DataFrame:
+    """Messages per interval that reached each stage: raw, bronze (readable), silver (accepted), dead_letter."""
+    reason = F.col("failure_reason")
+    reached = {
+        "raw": F.lit(True),
+        "bronze": ~reason.eqNullSafe(UNREADABLE),
+        "silver": reason.isNull(),
+        "dead_letter": reason.isNotNull(),
+    }
+    counts = activity.groupBy("window_start").agg(*[
+        F.sum(F.when(condition, F.col("messages")).otherwise(0)).alias(stage) for stage, condition in reached.items()
+    ])
+    pairs = F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).alias("events")) for s in reached])
+    return counts.select("window_start", F.inline(pairs))
+
+
+def dead_letters_by_reason(activity: DataFrame) -> DataFrame:
     return (
-        letters.groupBy(_interval("timestamp", interval), "failure_reason")
-        .agg(F.count(F.lit(1)).alias("events"))
-        .select(_interval_start(), F.col("failure_reason").alias("reason"), "events")
+        activity.filter(F.col("failure_reason").isNotNull())
+        .groupBy("window_start", F.col("failure_reason").alias("reason"))
+        .agg(F.sum("messages").alias("events"))
     )
 
 
-def consumer_lag(triaged: DataFrame, interval: str = "1 minute") -> DataFrame:
+def consumer_lag(activity: DataFrame) -> DataFrame:
     """Per topic and interval: newest message time less the newest event time among readable messages."""
-    event_time = F.when(F.col("readable"), F.col("trade.event_time"))
-    seconds = (F.unix_micros(F.max("timestamp")) - F.unix_micros(F.max(event_time))) / 1_000_000
-    return (
-        triaged.groupBy(_interval("timestamp", interval), "topic")
-        .agg(seconds.alias("lag_seconds"))
-        .select(_interval_start(), "topic", "lag_seconds")
-    )
+    seconds = (F.unix_micros(F.max("newest_message")) - F.unix_micros(F.max("newest_event"))) / 1_000_000
+    return activity.groupBy("window_start", "topic").agg(seconds.alias("lag_seconds"))
 
 
 def ingested(trades: DataFrame, interval: str = "1 minute") -> DataFrame:

@@ -2,30 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import accumulate
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-
-from marketspark.session import working_path
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 # Default file size and the assumed stored size of a row.
 TARGET_FILE_SIZE_MB = 128
 BYTES_PER_ROW = 500
 
+FILES_PER_JOB = 10_000
 
-def plan_files(rows: DataFrame, target_file_size_mb: float, partition_column: str) -> DataFrame:
-    """Per partition value: its rows, the files they are to fill, and the number of its first file.
 
-    One row per date, so the running total over all of them is small.
-    """
+def plan_files(rows: DataFrame, target_file_size_mb: float, partition_column: str) -> DataFrame:
+    """Rows of each partition value and the number of files they are to fill."""
     target = target_file_size_mb * 1024 * 1024
-    counts = rows.groupBy(partition_column).agg(F.count(F.lit(1)).alias("rows"))
     files = F.greatest(F.lit(1), F.floor(F.col("rows") * BYTES_PER_ROW / F.lit(float(target)))).cast("int")
-    before = Window.orderBy(partition_column).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("files", files).withColumn(
-        "first_file", F.coalesce(F.sum("files").over(before), F.lit(0)).cast("int")
-    )
+    return rows.groupBy(partition_column).agg(F.count(F.lit(1)).alias("rows")).withColumn("files", files)
+
+
+def _jobs(plan: list[Row], files_per_job: int) -> Iterator[list[Row]]:
+    """Partition values in groups of about so many files."""
+    job, size = [], 0
+    for row in plan:
+        if job and size + row.files > files_per_job:
+            yield job
+            job, size = [], 0
+        job.append(row)
+        size += row.files
+    if job:
+        yield job
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
@@ -44,40 +53,53 @@ def compact(
     output_path: str,
     target_file_size_mb: float = TARGET_FILE_SIZE_MB,
     partition_column: str = "partition_date",
+    files_per_job: int = FILES_PER_JOB,
     verify: bool = True,
 ) -> dict[str, Any]:
     """Rewrite a table with ``max(1, rows * 500 / target)`` files per partition and the same rows.
 
-    The plan is written to the shared folder, so that its stored size decides whether the join broadcasts
-    it. Rows go round-robin to the files of their partition by their position in the input files, which
-    a repeated task computes alike. ``verify`` reads both tables once more and compares their rows.
+    Only the plan, one row per partition value, comes to the driver. Each job rewrites some partition
+    values whole, so that a shuffle never has more than about ``files_per_job`` outputs; a job holds at
+    most that many values, which bounds what it broadcasts. Rows go round-robin to the files of their
+    partition by their position in the input files, which a repeated task computes alike. ``verify``
+    reads both tables once more and compares their rows. ``output_path`` must be new.
     """
     rows = spark.read.parquet(input_path)
-    plan_path = working_path(spark, "compaction")
-    plan_files(rows, target_file_size_mb, partition_column).write.parquet(plan_path)
-    plan = spark.read.parquet(plan_path)
-    total = plan.agg(F.sum("files").alias("files"), F.sum("rows").alias("rows")).first()
-    if total.rows:
-        numbered = rows.withColumn("_position", F.monotonically_increasing_id())
-        layout = plan.select(F.col(partition_column).alias("_key"), "files", "first_file")
-        placed = numbered.join(layout, F.col(partition_column).eqNullSafe(F.col("_key"))).withColumn(
-            "_file", (F.col("first_file") + F.pmod("_position", "files")).cast("int")
-        )
+    kind = rows.schema[partition_column].dataType
+    plan = plan_files(rows, target_file_size_mb, partition_column).orderBy(partition_column).collect()
+    for job in _jobs(plan, files_per_job):
+        values = [row[partition_column] for row in job]
+        starts = list(accumulate([row.files for row in job], initial=0))
+        layout = F.broadcast(spark.createDataFrame(
+            [(value, row.files, start) for value, row, start in zip(values, job, starts)],
+            StructType([
+                StructField("_value", kind), StructField("_files", IntegerType()), StructField("_first", IntegerType()),
+            ]),
+        ))
+        chosen = F.col(partition_column).isin(*[v for v in values if v is not None])
+        if None in values:
+            chosen = chosen | F.col(partition_column).isNull()
+        position = F.monotonically_increasing_id()
         (
-            placed.repartitionById(int(total.files), F.col("_file"))
+            rows.filter(chosen)
+            .withColumn("_position", position)
+            .join(layout, F.col(partition_column).eqNullSafe(F.col("_value")))
+            .withColumn("_file", (F.col("_first") + F.pmod("_position", "_files")).cast("int"))
+            .repartitionById(starts[-1], F.col("_file"))
             .select(*rows.columns)
             .write.partitionBy(partition_column)
-            .mode("overwrite")
+            .mode("append")
             .parquet(output_path)
         )
+    if plan and verify:
         written = spark.read.schema(rows.schema).parquet(output_path)
-        if verify and fingerprint(written).first() != fingerprint(rows).first():
+        if fingerprint(written).first() != fingerprint(rows).first():
             raise RuntimeError(f"{output_path} does not hold the rows of {input_path}")
     return {
         "input_path": input_path,
         "output_path": output_path,
-        "rows": total.rows or 0,
-        "files": total.files or 0,
+        "rows": sum(row.rows for row in plan),
+        "files": sum(row.files for row in plan),
     }
 
 

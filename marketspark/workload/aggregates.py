@@ -12,10 +12,10 @@ from marketspark.operators.gold import (
 )
 from marketspark.operators.silver import validate_business_rules
 from marketspark.plans import marts, serving
-from marketspark.plans.rebuild import rebuild
+from marketspark.plans.rebuild import rebuild_gold, rebuild_silver
 from marketspark.session import working_path
 from marketspark.sinks.writers import StorageWriter
-from marketspark.sources.tables import Layout, read_gold, scan_union_by_name
+from marketspark.sources.tables import Layout, read_bronze, read_gold, scan_union_by_name
 from marketspark.workload import sql
 from marketspark.workload.layers import REPEATED
 from marketspark.workload.registry import query
@@ -217,5 +217,5 @@ def _summary_range(spark, sf_dir):
 def _replay_gold(spark, sf_dir):
     source, target = Layout(working_path(spark, "replay-from")), Layout(working_path(spark, "replay-to"))
     StorageWriter(spark, source.checkpoints).write_bronze(repeated_trades(events(spark, sf_dir)), source.bronze)
-    rebuilt = rebuild(spark, source.bronze, target, AS_OF)
-    return shown(rebuilt["ohlc"].drop("partition_date"))
+    silver = rebuild_silver(spark, read_bronze(spark, source.bronze), target, AS_OF)
+    return shown(rebuild_gold(spark, silver, target)["ohlc"].drop("partition_date"))

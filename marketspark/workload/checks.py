@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketspark.operators import quality
-from marketspark.operators.silver import dead_letters, triage, with_partition_date
+from marketspark.operators.silver import triage, with_partition_date
 from marketspark.plans import marts, metrics
 from marketspark.session import working_path
 from marketspark.workload import sql
@@ -167,8 +167,8 @@ def _dq_partition_date(spark, sf_dir):
     return results.filter(F.col("expectation") == quality.CONDITION).select("position", "unexpected_count")
 
 
-def _triaged(spark, sf_dir):
-    return triage(topic_rows(events(spark, sf_dir)), AS_OF)
+def _activity(spark, sf_dir):
+    return metrics.message_activity(triage(topic_rows(events(spark, sf_dir)), AS_OF), "1 hour")
 
 
 def _bucket(column: str, seconds: int = 3600) -> str:
@@ -195,17 +195,17 @@ _LETTERS = f"""letters AS (
     for stage in ("raw", "bronze", "silver", "dead_letter")
 ))
 def _metric_events_by_stage(spark, sf_dir):
-    return shown(metrics.events_by_stage(_triaged(spark, sf_dir), "1 hour"))
+    return shown(metrics.events_by_stage(_activity(spark, sf_dir)))
 
 
 @query("metric_dlq_by_reason", f"WITH {sql.TRIAGED}, {_LETTERS} SELECT * FROM letters")
 def _metric_dlq_by_reason(spark, sf_dir):
-    return shown(metrics.dead_letters_by_reason(dead_letters(_triaged(spark, sf_dir)), "1 hour"))
+    return shown(metrics.dead_letters_by_reason(_activity(spark, sf_dir)))
 
 
 @query("metric_lag", f"WITH {sql.TRIAGED}, {_LAG} SELECT window_start, topic, round(lag_seconds, 6) AS lag_seconds FROM lag")
 def _metric_lag(spark, sf_dir):
-    return shown(metrics.consumer_lag(_triaged(spark, sf_dir), "1 hour"), lag_seconds=6)
+    return shown(metrics.consumer_lag(_activity(spark, sf_dir)), lag_seconds=6)
 
 
 @query("metric_ingest", f"""
@@ -228,12 +228,12 @@ def _metric_ingest(spark, sf_dir):
     WHERE a.intervals = (SELECT count(*) FROM over_limit b WHERE b.alert = a.alert AND b.label = a.label
       AND b.window_start > a.window_start - to_hours(a.intervals) AND b.window_start <= a.window_start)""")
 def _metric_breaches(spark, sf_dir):
-    triaged = _triaged(spark, sf_dir)
+    # The rules read the stored metric table, not the messages once per rule.
+    path = working_path(spark, "activity")
+    _activity(spark, sf_dir).write.parquet(path)
+    activity = spark.read.parquet(path)
     fired = metrics.breaches(
-        metrics.consumer_lag(triaged, "1 hour"),
-        metrics.dead_letters_by_reason(dead_letters(triaged), "1 hour"),
-        "1 hour",
-        dead_letter_limit=1,
+        metrics.consumer_lag(activity), metrics.dead_letters_by_reason(activity), "1 hour", dead_letter_limit=1
     )
     return shown(fired, value=6)
 

@@ -245,10 +245,10 @@ def _read_silver(spark, sf_dir):
 @query("compact_bronze", f"""
     WITH {sql.TRADES}
     SELECT strftime(event_time, '%Y-%m-%d') AS partition_date, count(*) AS rows,
-           greatest(1, count(*) * 500 // 65536) AS files
+           greatest(1, count(*) * 500 // (128 * 1024 * 1024)) AS files
     FROM trades GROUP BY 1""")
 def _compact_bronze(spark, sf_dir):
     root = Layout(working_path(spark, "compaction-run"))
     StorageWriter(spark, root.checkpoints).write_bronze(trades(events(spark, sf_dir)), root.bronze)
-    compact(spark, root.bronze, root.compacted, target_file_size_mb=0.0625)
+    compact(spark, root.bronze, root.compacted)
     return _dated(file_counts(spark.read.parquet(root.compacted)))

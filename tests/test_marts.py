@@ -101,6 +101,18 @@ def test_latest_trades(spark):
     assert "TakeOrderedAndProject" in plan
 
 
+def test_latest_trades_read_only_the_newest_days(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    df = trades(spark, *[trade(f"{d}-{i}", seconds=86400 * d + i) for d in range(5) for i in range(4)])
+    with_partition_date(df).write.partitionBy("partition_date", "symbol").parquet(path)
+    stored = spark.read.parquet(path)
+    for limit in (1, 4, 5, 20, 100):
+        latest = serving.latest_trades_of(stored, "btcusdt", limit)
+        assert [r.trade_id for r in latest.collect()] == [r.trade_id for r in serving.latest_trades(df, limit).collect()]
+    plan = serving.latest_trades(stored, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "2026-05-27" in plan[plan.index("PartitionFilters"): plan.index("PushedFilters")]
+
+
 def test_ranges_filter_by_label_and_time(spark):
     ohlc, volume = gold(spark)
     stored = ohlc.unionByName(ohlc.selectExpr("* EXCEPT (window_duration)", "'1 hour' AS window_duration"))

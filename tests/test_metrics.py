@@ -28,17 +28,18 @@ def test_stages_reasons_and_lag(spark):
         (20, True, "schema_validation_error", START - timedelta(seconds=30)),
         (70, False, "deserialization_error", None),
     )
-    stages = {(r.window_start, r.stage): r.events for r in metrics.events_by_stage(df).collect()}
+    activity = metrics.message_activity(df)
+    stages = {(r.window_start, r.stage): r.events for r in metrics.events_by_stage(activity).collect()}
     later = START + timedelta(minutes=1)
     assert stages == {
         (START, "raw"): 3, (START, "bronze"): 2, (START, "silver"): 1, (START, "dead_letter"): 2,
         (later, "raw"): 1, (later, "bronze"): 0, (later, "silver"): 0, (later, "dead_letter"): 1,
     }
-    letters = metrics.dead_letters_by_reason(df.filter("failure_reason IS NOT NULL"))
+    letters = metrics.dead_letters_by_reason(activity)
     assert {(r.window_start, r.reason, r.events) for r in letters.collect()} == {
         (START, "deserialization_error", 1), (START, "schema_validation_error", 1), (later, "deserialization_error", 1)
     }
-    lag = {r.window_start: r.lag_seconds for r in metrics.consumer_lag(df).collect()}
+    lag = {r.window_start: r.lag_seconds for r in metrics.consumer_lag(activity).collect()}
     assert lag == {START: 25.0, later: None}
 
 

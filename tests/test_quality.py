@@ -8,7 +8,7 @@ import pytest
 
 from helpers import START, trade, trades
 from marketspark.operators import quality as q
-from marketspark.operators.gold import aggregate_ohlc, aggregate_volume_profile
+from marketspark.operators.gold import AGGREGATES, aggregate_ohlc, aggregate_volume_profile
 from marketspark.operators.silver import with_partition_date
 from marketspark.plans import marts
 
@@ -93,6 +93,21 @@ def test_row_checks_share_one_aggregate_and_nothing_is_collected(spark):
     assert plan.count("Aggregate") == 3
 
 
+def test_check_counts(spark):
+    results = q.create_silver_trades_suite().results(q.SILVER_TRADES, trades(spark, trade("1", price=Decimal("-1"))))
+    assert [tuple(r) for r in q.check_counts(results).collect()] == [("silver.trades", 11, 1)]
+
+
+@pytest.mark.parametrize("dataset", sorted(AGGREGATES))
+def test_gold_contracts(spark, dataset):
+    golden = AGGREGATES[dataset](trades(spark, trade("1"), trade("2", side="SELL")))
+    suite = q.create_gold_contract_suite(dataset)
+    assert suite.validate(f"gold.{dataset}", golden)["success"]
+    column = q.GOLD_COUNTS[dataset][0]
+    negative = golden.selectExpr(f"* EXCEPT ({column})", f"-1 AS {column}")
+    assert failed(suite.validate(f"gold.{dataset}", negative)) == [(q.BETWEEN, column)]
+
+
 def test_ohlc_invariants(spark):
     candles = aggregate_ohlc(trades(spark, trade("1"), trade("2", symbol="B")))
     suite = q.create_ohlc_invariants_suite()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from helpers import AS_OF, START, rows_of, trade, trades
 from marketspark import session
 from marketspark.operators.gold import aggregate_ohlc
+from marketspark.operators.silver import with_partition_date
 from marketspark.plans.rebuild import rebuild
 from marketspark.schemas import TRADE
 from marketspark.sinks.compaction import compact, file_counts, fingerprint
@@ -76,17 +77,17 @@ def test_union_by_name(spark, lake):
         scan_union_by_name(spark)
 
 
-def test_compaction_plans_files_per_partition_and_keeps_rows(spark, lake):
+@pytest.mark.parametrize("files_per_job", [10_000, 5, 1])
+def test_compaction_plans_files_per_partition_and_keeps_rows(spark, lake, files_per_job):
     days = {0: 400, 1: 90, 2: 1}
     rows = [trade(f"{d}-{i % 7}", seconds=86400 * d) for d, n in days.items() for i in range(n)]
     df = trades(spark, *rows)
     for part in df.randomSplit([0.5, 0.3, 0.2], 1):
-        part.repartition(6).transform(
-            lambda p: writer(spark, lake).write_bronze(p, lake.bronze) or p
-        )
+        with_partition_date(part.repartition(6)).write.partitionBy("partition_date").mode("append").parquet(lake.bronze)
     source = read_bronze(spark, lake.bronze)
     target = 50_000
-    report = compact(spark, lake.bronze, lake.compacted, target_file_size_mb=target / 1024 / 1024)
+    report = compact(spark, lake.bronze, lake.compacted, target_file_size_mb=target / 1024 / 1024,
+                     files_per_job=files_per_job)
     found = {r.partition_date: (r.rows, r.files) for r in file_counts(read_bronze(spark, lake.compacted)).collect()}
     start = date(2026, 5, 24)
     assert found == {
@@ -105,6 +106,12 @@ def test_compaction_spreads_a_partition_of_equal_rows(spark, lake):
     assert len(sizes) == 5 and max(sizes.values()) <= 201
 
 
+def test_compaction_keeps_rows_without_a_date(spark, lake):
+    writer(spark, lake).write_bronze(trades(spark, trade("1"), trade("2", event_time=None)), lake.bronze)
+    assert compact(spark, lake.bronze, lake.compacted)["rows"] == 2
+    assert read_bronze(spark, lake.compacted).filter("partition_date IS NULL").count() == 1
+
+
 def test_compaction_of_an_empty_table(spark, lake):
     df = trades(spark, trade()).withColumn("partition_date", F.lit("2026-05-24")).limit(0)
     df.write.parquet(lake.bronze)
