@@ -111,14 +111,15 @@ def breaches(
         .unionByName(letter_values.select("*", F.inline(letter_rules)))
         .filter(F.col("value") > F.col("limit"))
     )
-    # Consecutive breaching intervals share the value of (interval number - position in their series).
-    series = Window.partitionBy("alert", "label").orderBy("window_start")
-    number = (F.unix_seconds("window_start") / duration_seconds(interval)).cast("bigint")
-    run = Window.partitionBy("alert", "label", "_run").orderBy("window_start")
+    # Each breach counts for its own interval and the following ones that look back on it; a rule fires in
+    # a breaching interval for which all the intervals it looks back on count.
+    back = F.col("_back")
+    later = F.unix_micros("window_start") + back.cast("bigint") * duration_seconds(interval) * 1_000_000
     return (
-        over.withColumn("_run", number - F.row_number().over(series))
-        .withColumn("_lasted", F.row_number().over(run))
-        .filter(F.col("_lasted") >= F.col("intervals"))
+        over.withColumn("_back", F.explode(F.sequence(F.lit(0), F.col("intervals") - 1)))
+        .groupBy(F.timestamp_micros(later).alias("window_start"), "alert", "severity", "label", "intervals")
+        .agg(F.count(F.lit(1)).alias("_breaches"), F.max(F.when(back == 0, F.col("value"))).alias("value"))
+        .filter((F.col("_breaches") == F.col("intervals")) & F.col("value").isNotNull())
         .select("window_start", "alert", "severity", "label", "value")
     )
 

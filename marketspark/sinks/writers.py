@@ -14,17 +14,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketspark.operators.silver import enrich_with_processing_metadata, with_partition_date
 from marketspark.schemas import GOLD, conform
+from marketspark.session import ROCKSDB_STATE_STORE
 
 ROWS_PER_FILE = 5_000_000
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 class StorageWriter:
-    """``available_now`` makes the streaming sinks take what is there and stop, instead of running on."""
+    """``available_now`` makes the streaming sinks take what is there and stop, instead of running on.
 
-    def __init__(self, spark: SparkSession, checkpoint_base: str, available_now: bool = False) -> None:
+    ``state_store`` is the provider of the started queries; the default keeps state on disk, off the JVM
+    heap, since deduplication holds every trade until the watermark passes it.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        checkpoint_base: str,
+        available_now: bool = False,
+        state_store: str = ROCKSDB_STATE_STORE,
+    ) -> None:
         self.spark = spark
         self.checkpoint_base = checkpoint_base.rstrip("/")
         self.available_now = available_now
+        self.state_store = state_store
 
     def write_bronze(self, df: DataFrame, path: str, trigger_seconds: int = 30) -> StreamingQuery | None:
         return self._append(with_partition_date(df), path, "bronze", ["partition_date"], trigger_seconds)
@@ -48,12 +61,16 @@ class StorageWriter:
         path_template: str,
         trigger_seconds: int = 60,
         checkpoint: str | None = None,
+        writers_per_partition: int = 4,
     ) -> StreamingQuery | None:
         """Conforms to the dataset's contract. The partition is the day of the window's end.
 
         A streaming query owns its path, so streams of several window sizes need a path and checkpoint each.
         """
         golden = with_partition_date(conform(df, GOLD[dataset]), "window_end")
+        if df.isStreaming:
+            writer = F.pmod(F.xxhash64("symbol", "window_start"), F.lit(writers_per_partition))
+            golden = golden.repartition("partition_date", writer)
         path = path_template.format(dataset=dataset)
         return self._append(golden, path, checkpoint or f"gold/{dataset}", ["partition_date"], trigger_seconds)
 
@@ -69,7 +86,7 @@ class StorageWriter:
             balanced.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partitions).mode("append").parquet(path)
             return None
         trigger = {"availableNow": True} if self.available_now else {"processingTime": f"{trigger_seconds} seconds"}
-        return (
+        stream = (
             df.writeStream.outputMode("append")
             .format("parquet")
             .option("path", path)
@@ -78,5 +95,11 @@ class StorageWriter:
             .partitionBy(*partitions)
             .queryName(f"{name}-{uuid.uuid4().hex[:8]}")
             .trigger(**trigger)
-            .start()
         )
+        # A query copies the session's settings when it starts.
+        before = self.spark.conf.get(STATE_STORE)
+        self.spark.conf.set(STATE_STORE, self.state_store)
+        try:
+            return stream.start()
+        finally:
+            self.spark.conf.set(STATE_STORE, before)

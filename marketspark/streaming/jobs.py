@@ -18,13 +18,9 @@ from marketspark.operators.silver import (
     triage,
     validate_business_rules,
 )
-from marketspark.session import ROCKSDB_STATE_STORE
 from marketspark.sinks.writers import StorageWriter
 from marketspark.sources.tables import Layout, scan_union_by_name
 
-_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-
-
 class TradeStreams:
     """Queries over one source of topic rows. Each has its own checkpoint and resumes from it."""
 
@@ -36,7 +32,6 @@ class TradeStreams:
         watermark_seconds: int = 60,
         available_now: bool = False,
         as_of: datetime | str | Column | None = None,
-        rocksdb: bool = True,
     ) -> None:
         self.spark = spark
         self.source = source
@@ -44,9 +39,6 @@ class TradeStreams:
         self.watermark_seconds = watermark_seconds
         self.as_of = as_of
         self.writer = StorageWriter(spark, layout.checkpoints, available_now)
-        if rocksdb:
-            # Deduplication keeps one row per trade until the watermark passes it: state off the JVM heap.
-            spark.conf.set(_STATE_STORE, ROCKSDB_STATE_STORE)
 
     def bronze(self) -> StreamingQuery:
         """Every readable message, as it came."""

@@ -9,7 +9,7 @@ from marketspark.operators.gold import AGGREGATES, apply_watermark
 from marketspark.operators.silver import deduplicate_stream, validate_business_rules
 from marketspark.schemas import GOLD, TRADE
 from marketspark.session import working_path
-from marketspark.sinks.writers import StorageWriter
+from marketspark.sinks.writers import STATE_STORE, StorageWriter
 from marketspark.sources.tables import Layout
 from marketspark.sources.topics import replay_files
 from marketspark.workload import sql
@@ -41,7 +41,9 @@ def _valid_stream(spark, sf_dir) -> DataFrame:
 def _gold_stream(spark, sf_dir, dataset: str) -> DataFrame:
     root = Layout(working_path(spark, f"stream-{dataset}"))
     windows = AGGREGATES[dataset](_valid_stream(spark, sf_dir))
-    writer = StorageWriter(spark, root.checkpoints, available_now=True)
+    # State of one row per symbol and window: the session's own state store will do.
+    store = spark.conf.get(STATE_STORE)
+    writer = StorageWriter(spark, root.checkpoints, available_now=True, state_store=store)
     _finish(writer.write_gold(windows, dataset, root.gold("{dataset}")))
     return spark.read.parquet(root.gold(dataset)).select(*GOLD[dataset].fieldNames())
 
@@ -73,5 +75,5 @@ def _stream_dedup(spark, sf_dir):
     root = Layout(working_path(spark, "stream-dedup"))
     source = apply_watermark(repeated_trades(event_stream(spark, sf_dir)))
     writer = StorageWriter(spark, root.checkpoints, available_now=True)
-    _finish(writer.write_bronze(deduplicate_stream(source), root.bronze))
-    return shown(spark.read.parquet(root.bronze).select(*TRADE.fieldNames()))
+    _finish(writer.write_silver(deduplicate_stream(source), root.silver))
+    return shown(spark.read.parquet(root.silver).select(*TRADE.fieldNames()))

@@ -18,14 +18,6 @@ from marketspark.streaming.jobs import TradeStreams
 from marketspark.streaming.progress import ProgressCounters, late_rows
 
 
-@pytest.fixture(autouse=True)
-def keep_state_store(spark):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    yield
-    spark.conf.set(key, before)
-
-
 def publish(spark, path, *rows):
     """Append one file of topic rows."""
     df = trades(spark, *rows).withColumn("trade_id", stable_uuid(F.col("trade_id")))
@@ -97,6 +89,18 @@ def test_layers_equal_the_batch_functions(spark, tmp_path, lake):
     assert jobs.read_gold("trade_stats", ["1 minute", "5 minutes"]).select("window_duration").distinct().count() == 2
 
 
+def test_state_store_is_set_for_the_query_only(spark, tmp_path, lake):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    source = str(tmp_path / "trades")
+    store(spark, source, trade("1"))
+    windows = aggregate_ohlc(replay_files(spark, source, TRADE))
+    query = finish(StorageWriter(spark, lake.checkpoints, True).write_gold(windows, "ohlc", lake.gold("{dataset}")))
+    assert spark.conf.get(key) == before
+    assert any("rocksdb" in name for p in query.recentProgress for op in p["stateOperators"]
+               for name in op["customMetrics"])
+
+
 def test_restart_continues_without_copies(spark, tmp_path, lake):
     topic = str(tmp_path / "topic")
     publish(spark, topic, trade("1"), trade("2", seconds=1))
@@ -179,7 +183,7 @@ def test_first_copy_wins_at_once(spark, tmp_path, lake):
 def test_continuous_run_stops_on_timeout(spark, tmp_path, lake):
     topic = str(tmp_path / "topic")
     publish(spark, topic, trade("1"))
-    jobs = TradeStreams(spark, replay_files(spark, topic), lake, as_of=AS_OF, rocksdb=False)
+    jobs = TradeStreams(spark, replay_files(spark, topic), lake, as_of=AS_OF)
     queries = jobs.run(timeout=2)
     try:
         assert all(q.isActive for q in queries)
