@@ -63,7 +63,7 @@ def symbol_metrics(staged_volume_profiles: DataFrame, base_window: str | None =
         F.sum("sell_volume").alias("sell_volume"),
         F.sum("buy_count").alias("buy_count"),
         F.sum("sell_count").alias("sell_count"),
-        F.avg(F.col("vwap").cast("double")).alias("avg_vwap"),
+        F.avg("vwap").cast("double").alias("avg_vwap"),
         ratio.alias("buy_ratio"),
     )
 

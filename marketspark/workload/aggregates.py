@@ -38,10 +38,6 @@ def summary(spark, sf_dir):
     return marts.build_daily_summary(candles(spark, sf_dir), profiles(spark, sf_dir))
 
 
-def shown_summary(df):
-    return shown(df, avg_vwap=4, buy_ratio=6)
-
-
 @query("ohlc_1m", f"WITH {sql.GOLD} SELECT {sql.OHLC} FROM gold")
 def _ohlc_1m(spark, sf_dir):
     return shown(candles(spark, sf_dir))
@@ -64,7 +60,7 @@ def _ohlc_multi(spark, sf_dir):
 
 @query("volume_profile", f"WITH {sql.GOLD} SELECT {sql.PROFILE} FROM gold")
 def _volume_profile(spark, sf_dir):
-    return shown(profiles(spark, sf_dir), vwap=6)
+    return shown(profiles(spark, sf_dir))
 
 
 @query("trade_stats", f"WITH {sql.GOLD} SELECT {sql.STATS} FROM gold")
@@ -105,7 +101,7 @@ def _stg_ohlc(spark, sf_dir):
 
 @query("stg_volume_profiles", f"WITH {sql.GOLD} SELECT {sql.PROFILE}, {_DAY} FROM gold")
 def _stg_volume_profiles(spark, sf_dir):
-    return shown(marts.stg_volume_profiles(profiles(spark, sf_dir)), vwap=6)
+    return shown(marts.stg_volume_profiles(profiles(spark, sf_dir)))
 
 
 @query("stg_trade_stats", f"WITH {sql.GOLD} SELECT {sql.STATS}, {_DAY} FROM gold")
@@ -121,22 +117,22 @@ def _daily_ohlc(spark, sf_dir):
 
 @query("symbol_metrics", f"""
     WITH {sql.MARTS} SELECT symbol, trade_date, total_volume, buy_volume, sell_volume, buy_count, sell_count,
-           round(avg_vwap, 4) AS avg_vwap, round(buy_ratio, 6) AS buy_ratio FROM metrics""")
+           avg_vwap, buy_ratio FROM metrics""")
 def _symbol_metrics(spark, sf_dir):
     staged = marts.stg_volume_profiles(profiles(spark, sf_dir))
-    return shown(marts.symbol_metrics(staged), avg_vwap=4, buy_ratio=6)
+    return shown(marts.symbol_metrics(staged))
 
 
 @query("daily_summary", f"WITH {sql.MARTS} SELECT {sql.SUMMARY} FROM summary")
 def daily_summary(spark, sf_dir):
-    return shown_summary(summary(spark, sf_dir))
+    return shown(summary(spark, sf_dir))
 
 
 @query("symbol_performance", f"""
     WITH {sql.MARTS} SELECT symbol, trade_date, volume, trade_count, close_price,
            round(high_price - low_price, 6) AS price_range,
-           round((high_price - low_price) / nullif(close_price, 0) * 100, 4) AS volatility_pct,
-           round(buy_ratio * 100, 4) AS buy_ratio_pct,
+           round((high_price - low_price) / nullif(close_price, 0) * 100, 9) AS volatility_pct,
+           buy_ratio * 100 AS buy_ratio_pct,
            CAST(row_number() OVER (PARTITION BY trade_date ORDER BY volume DESC NULLS LAST, symbol) AS INTEGER)
              AS volume_rank,
            CAST(row_number() OVER (PARTITION BY trade_date ORDER BY trade_count DESC NULLS LAST, symbol) AS INTEGER)
@@ -144,7 +140,7 @@ def daily_summary(spark, sf_dir):
     FROM summary""")
 def _symbol_performance(spark, sf_dir):
     ranked = marts.symbol_performance(summary(spark, sf_dir))
-    return shown(ranked, price_range=6, volatility_pct=4, buy_ratio_pct=4)
+    return shown(ranked, price_range=6, volatility_pct=9)
 
 
 @query("volatility_metrics", f"""
@@ -161,12 +157,12 @@ def _volatility_metrics(spark, sf_dir):
 
 @query("market_activity", f"""
     WITH {sql.MARTS} SELECT trade_date, count(DISTINCT symbol) AS active_symbols, sum(volume) AS total_volume,
-           CAST(sum(trade_count) AS BIGINT) AS total_trades, round(avg(buy_ratio) * 100, 4) AS avg_buy_ratio_pct,
+           CAST(sum(trade_count) AS BIGINT) AS total_trades, round(avg(buy_ratio) * 100, 9) AS avg_buy_ratio_pct,
            sum(CASE WHEN close_price > open_price THEN volume ELSE 0 END) AS bullish_volume,
            sum(CASE WHEN close_price < open_price THEN volume ELSE 0 END) AS bearish_volume
     FROM summary GROUP BY trade_date""")
 def _market_activity(spark, sf_dir):
-    return shown(marts.market_activity(summary(spark, sf_dir)), avg_buy_ratio_pct=4)
+    return shown(marts.market_activity(summary(spark, sf_dir)), avg_buy_ratio_pct=9)
 
 
 @query("latest_trades", f"""
@@ -197,7 +193,7 @@ def _ohlc_range(spark, sf_dir):
     ORDER BY window_start DESC LIMIT 500""")
 def _volume_range(spark, sf_dir):
     rows = serving.volume_range(profiles(spark, sf_dir), "view", "1m", "2024-01-03", "2024-01-20T12:00:00")
-    return shown(rows, vwap=6)
+    return shown(rows)
 
 
 @query("summary_range", f"""
@@ -205,7 +201,7 @@ def _volume_range(spark, sf_dir):
     WHERE trade_date >= TIMESTAMP '2024-01-05' AND trade_date <= TIMESTAMP '2024-01-25'
     ORDER BY trade_date DESC, symbol LIMIT 200""")
 def _summary_range(spark, sf_dir):
-    return shown_summary(serving.summary_range(summary(spark, sf_dir), "2024-01-05", "2024-01-25"))
+    return shown(serving.summary_range(summary(spark, sf_dir), "2024-01-05", "2024-01-25"))
 
 
 @query("replay_gold", f"""

@@ -32,6 +32,10 @@ TRADE_COLUMNS = (
 )
 
 
+# Decimals as whole units of their eighth place, so that quotients round exactly as decimals do.
+_UNITS = "CAST(CAST({} AS DECIMAL(38,8)) * 100000000 AS HUGEINT)"
+
+
 def windows(name: str, source: str, seconds: int, label: str) -> str:
     """All gold measures per window, as doubles."""
     return f"""{name} AS (
@@ -46,7 +50,8 @@ def windows(name: str, source: str, seconds: int, label: str) -> str:
          CAST(sum(CASE WHEN side = 'SELL' THEN quantity ELSE 0 END) AS DOUBLE) AS sell_volume,
          count(CASE WHEN side = 'BUY' THEN 1 END) AS buy_count,
          count(CASE WHEN side = 'SELL' THEN 1 END) AS sell_count,
-         sum(CAST(price AS DOUBLE) * CAST(quantity AS DOUBLE)) / nullif(CAST(sum(quantity) AS DOUBLE), 0) AS vwap,
+         CAST((2 * sum({_UNITS.format("price")} * {_UNITS.format("quantity")}) + sum({_UNITS.format("quantity")}))
+           // (2 * sum({_UNITS.format("quantity")})) AS DOUBLE) / 1e8 AS vwap,
          avg(CAST(quantity AS DOUBLE)) AS avg_trade_size, CAST(max(quantity) AS DOUBLE) AS max_trade_size,
          count(trade_id) / CAST({seconds} AS DOUBLE) AS trades_per_second
   FROM (SELECT *, time_bucket(INTERVAL {seconds} SECOND, event_time) AS window_start FROM {source})
@@ -55,7 +60,7 @@ def windows(name: str, source: str, seconds: int, label: str) -> str:
 
 OHLC = "symbol, open_price, high_price, low_price, close_price, volume, trade_count, window_start, window_end, window_duration"
 PROFILE = (
-    "symbol, total_volume, buy_volume, sell_volume, buy_count, sell_count, round(vwap, 6) AS vwap, "
+    "symbol, total_volume, buy_volume, sell_volume, buy_count, sell_count, vwap, "
     "window_start, window_end, window_duration"
 )
 STATS = (
@@ -76,7 +81,8 @@ metrics AS (
   SELECT symbol, date_trunc('day', window_start) AS trade_date, sum(total_volume) AS total_volume,
          sum(buy_volume) AS buy_volume, sum(sell_volume) AS sell_volume,
          CAST(sum(buy_count) AS BIGINT) AS buy_count, CAST(sum(sell_count) AS BIGINT) AS sell_count,
-         avg(vwap) AS avg_vwap, sum(buy_volume) / nullif(sum(total_volume), 0) AS buy_ratio
+         CAST((20000 * sum(CAST(round(vwap * 1e8) AS HUGEINT)) + count(vwap)) // (2 * count(vwap)) AS DOUBLE) / 1e12
+           AS avg_vwap, sum(buy_volume) / nullif(sum(total_volume), 0) AS buy_ratio
   FROM gold GROUP BY 1, 2),
 summary AS (
   SELECT coalesce(o.symbol, s.symbol) AS symbol, coalesce(o.trade_date, s.trade_date) AS trade_date,
@@ -86,7 +92,7 @@ summary AS (
 
 SUMMARY = (
     "symbol, trade_date, open_price, high_price, low_price, close_price, volume, trade_count, buy_volume, "
-    "sell_volume, buy_count, sell_count, round(avg_vwap, 4) AS avg_vwap, round(buy_ratio, 6) AS buy_ratio"
+    "sell_volume, buy_count, sell_count, avg_vwap, buy_ratio"
 )
 
 _WIRE = f"""{TRADES}, wire AS (

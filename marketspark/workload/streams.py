@@ -58,7 +58,7 @@ def _stream_ohlc(spark, sf_dir):
 
 @query("stream_volume_profile", f"WITH {sql.GOLD} SELECT {sql.PROFILE} FROM gold WHERE {_CLOSED}")
 def _stream_volume_profile(spark, sf_dir):
-    return shown(_gold_stream(spark, sf_dir, "volume_profiles"), vwap=6)
+    return shown(_gold_stream(spark, sf_dir, "volume_profiles"))
 
 
 @query("stream_trade_stats", f"WITH {sql.GOLD} SELECT {sql.STATS} FROM gold WHERE {_CLOSED}")
