@@ -131,7 +131,8 @@ def decode_events(df: DataFrame, registry: SchemaRegistry | None = None) -> Data
 def stable_uuid(*parts: Column) -> Column:
     """A UUID-shaped id that is the same for the same parts."""
     digest = F.md5(F.concat_ws("|", *parts))
-    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in cuts])
 
 
 def iso_utc(column: Column) -> Column:

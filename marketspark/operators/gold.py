@@ -72,15 +72,22 @@ def _trade_stats(window_duration: str) -> dict[str, Column]:
 def _by_window(
     df: DataFrame, measures: dict[str, Column], window_duration: str, watermark_seconds: int
 ) -> DataFrame:
+    # A stream closes windows by the window column itself. A batch groups by its start, a plain timestamp,
+    # which is cheaper to sort and compare.
+    window = F.col("_window")
+    keys = [window] if df.isStreaming else [window["start"].alias("_start")]
+    start = window["start"] if df.isStreaming else F.col("_start")
+    length = F.expr(f"INTERVAL {duration_seconds(window_duration)} SECONDS")
     return (
         apply_watermark(df, watermark_seconds)
-        .groupBy(F.window("event_time", window_duration), "symbol")
+        .withColumn("_window", F.window("event_time", window_duration))
+        .groupBy(*keys, "symbol")
         .agg(*[column.alias(name) for name, column in measures.items()])
         .select(
             "symbol",
             *measures,
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
+            start.alias("window_start"),
+            (start + length).alias("window_end"),
             F.lit(window_duration).alias("window_duration"),
         )
     )
