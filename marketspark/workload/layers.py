@@ -69,7 +69,7 @@ def _decode_events(spark, sf_dir):
     SELECT {sql.uuid_text("'binance|' || symbol || '|' || CAST(event_id AS VARCHAR)")} AS trade_id,
            'binance' AS exchange, symbol, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,
            side, event_time, {sql.CLOCK} AS ingest_time, '1' AS schema_version
-    FROM feed WHERE slot > 1 AND quantity > 0""")
+    FROM feed WHERE slot > 1 AND price > 0 AND quantity > 0""")
 def _parse_feed(spark, sf_dir):
     messages = feed_messages(events(spark, sf_dir))
     return shown(parse_feed(messages, id_mode="exchange", ingest_time=F.lit(AS_OF).cast("timestamp")))
@@ -110,7 +110,7 @@ def _envelope_roundtrip(spark, sf_dir):
            CASE WHEN slot = 4 THEN NULL ELSE CAST(price AS DOUBLE) END AS price, side,
            CASE WHEN slot <> 5 THEN event_time END AS event_time,
            concat_ws(',', CASE WHEN slot IN (3, 4, 8) THEN 'price_decimal' END,
-             CASE WHEN slot IN (2, 3, 4) THEN 'price_positive' END,
+             CASE WHEN slot = 4 OR {sql.NOT_POSITIVE} THEN 'price_positive' END,
              CASE WHEN quantity <= 0 THEN 'quantity_positive' END,
              CASE WHEN side NOT IN ('BUY', 'SELL') THEN 'side_known' END,
              CASE WHEN slot = 5 THEN 'event_time_timestamp' END) AS failed_rules

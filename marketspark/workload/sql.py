@@ -105,9 +105,12 @@ _WIRE = f"""{TRADES}, wire AS (
          event_id % 50 NOT IN (0, 4, 5) AS readable
   FROM trades)"""
 
+# The text of slot 8 has one more decimal, so that even a zero price is above zero there.
+NOT_POSITIVE = "(price IS NULL OR price < 0 OR price = 0 AND slot <> 8)"
+
 TRIAGED = f"""{_WIRE}, ruled AS (
   SELECT *, concat_ws(',',
-         CASE WHEN slot IN (3, 8) THEN 'price_decimal' END, CASE WHEN slot IN (2, 3) THEN 'price_positive' END,
+         CASE WHEN slot IN (3, 8) THEN 'price_decimal' END, CASE WHEN {NOT_POSITIVE} THEN 'price_positive' END,
          CASE WHEN quantity <= 0 THEN 'quantity_positive' END,
          CASE WHEN side NOT IN ('BUY', 'SELL') THEN 'side_known' END) AS contract
   FROM wire),
