@@ -28,10 +28,10 @@ def comparable(rows) -> list[tuple]:
 
 
 def test_every_query_has_an_equivalent():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.QUERIES) == set(contract.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.QUERIES))
 def test_query_equals_sql(spark, oracle, name):
     found = contract.queries()[name](spark, str(SF_DIR))
     columns = sorted(found.columns)
