@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import packing, token_counts
+from marketspark.llm import packing, quality_rules, secrets, token_counts
 from marketspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,12 +31,23 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query("op1_line_first_cleaning")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "verdict.*").drop("cleaned")
+
+
 @query("op3_concatenate_and_cut")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return pieces.drop("ids")
 
 
+@query("op6_secret_ownership")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
