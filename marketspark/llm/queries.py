@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import packing, quality_rules, secrets, token_counts
+from marketspark.llm import near_duplicates, packing, quality_rules, secrets, token_counts
 from marketspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
+@query("op5_bbit_minhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+
+
 @query("op6_secret_ownership")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
