@@ -11,6 +11,7 @@ import functools
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,25 +22,30 @@ from pyspark.sql import functions as F
 
 from marketspark.llm.common import picked, stored, text_slices
 
-MEMO_ENTRIES = 400_000
-# Letters of Latin-1 with ASCII punctuation behind them. Composition and lower-casing treat each such letter
-# by itself, and the tokenizer always cuts between a letter and punctuation.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-
-
-SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space for str.split, not for the tokenizer
+MEMO_ENTRIES = 600_000
+# The tokenizer's own cuts, written for lower-cased Latin-1: contractions, runs of letters, single digits, the
+# rest. Each Latin-1 character composes and lowers by itself, so a lowered text can be cut before encoding.
+CUTS = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    r"|[^\t-\r \x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
 WORDS = re.compile(r"[^\x20\x09-\x0d]+")
+SPECIAL_MARK = "<|"  # a text that may hold the spelling of a special token is left to the tokenizer's own cuts
 
 
-def words_of(text: str) -> list[str]:
-    return WORDS.findall(text) if any(c in text for c in SEPARATORS) else text.split()
+def parts_of(text: str) -> list[str]:
+    """Parts that the tokenizer encodes one by one: its own pre-tokens in Latin-1 texts, else words."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return WORDS.findall(text)
+    return WORDS.findall(text) if SPECIAL_MARK in text else CUTS.findall(text.lower())
 
 
-class WordIds:
-    """Token ids of white-space separated words, which this kind of tokenizer encodes one by one.
+class PartIds:
+    """Token ids of a text from those of its parts. Each spelling is encoded once while a bounded memo holds it.
 
-    The tokenizer drops white space and cuts at it before any merge, so a text's ids are those of its words
-    in order. Each spelling is encoded once while a bounded memo holds it.
+    The tokenizer drops white space and cuts at it before any merge, so words are encoded alone; a pre-token
+    encoded alone is one pre-token again.
     """
 
     def __init__(self, path: str):
@@ -48,33 +54,21 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str], memo: dict[str, bytes]) -> None:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        memo.update((w, np.asarray(x.ids, "<u4").tobytes()) for w, x in zip(words, found, strict=True))
-
-    def learn(self, words: set[str]) -> None:
-        plain = {w: m.groups() for w in words if (m := PLAIN.fullmatch(w))}
-        lowered = {w: (a.lower(), b) for w, (a, b) in plain.items()}
-        self._encode(list({x for pair in lowered.values() for x in pair if x} - self.parts.keys()), self.parts)
-        self._encode(list(words - plain.keys()), self.memo)
-        self.memo.update((w, self.parts[a] + (self.parts[b] if b else b"")) for w, (a, b) in lowered.items())
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        split = [words_of(text) if text else [] for text in texts]
+        split = [parts_of(text) if text else [] for text in texts]
         if len(self.memo) > MEMO_ENTRIES:
             self.memo = {}
-        if len(self.parts) > MEMO_ENTRIES:
-            self.parts = {}
-        if missing := {w for words in split for w in words if w not in self.memo}:
-            self.learn(missing)
-        return [b"".join(map(self.memo.__getitem__, words)) for words in split]
+        memo = self.memo
+        if missing := list({part for parts in split for part in parts if part not in memo}):
+            for part, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+                memo[part] = array("I", found.ids).tobytes()
+        return [b"".join([memo[part] for part in parts]) for parts in split]
 
 
 @functools.lru_cache(maxsize=4)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def part_ids(path: str) -> PartIds:
+    return PartIds(path)
 
 
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -82,7 +76,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     end = np.uint32(end_id).astype("<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, block, at = word_ids(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, block, at = part_ids(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in text_slices(batches):
             ids = [x + end for x in encoder.ids(batch.column("text").to_pylist())]
             n = np.array([len(x) // 4 for x in ids], np.int64)

@@ -14,7 +14,7 @@ tokenizers = pytest.importorskip("tokenizers")
 
 ODD = [
     None, "", " \n", "Don't STOP, it's 12 o'clock!!", "Éa èB. ÑÓ x", "é İstanbul ΑΣ", "a\x1cb \x1f", "日本 🙂 x²",
-    "<|endoftext|> a<|startoftext|>b", "can'tll 's 'T", "word" * 900, "x " * 5000, "ß×÷ª", "áb c‍",
+    "<|endoftext|> a<|startoftext|>b", "can'tll 's 'T", "word" * 900, "x " * 5000, "ß×÷ª µº ¹½x 3² ÀÝ \x85\xa0y\x1c\x1dz \xad", "it's 'RE O'Dell", "x<|y", "áb c‍",
 ]
 
 
@@ -58,7 +58,7 @@ def test_pieces_rebuild_every_document(documents, tokenizer, length):
 
 def test_memo_may_run_over(monkeypatch, tokenizer):
     monkeypatch.setattr(packing, "MEMO_ENTRIES", 6)
-    words = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    words = packing.PartIds(vocabulary("word_bpe_49k.json"))
     for texts in (["alpha, beta gamma! delta"], ["epsilon alpha zeta beta", "日本 alpha"]):
         assert words.ids(texts) == [np.array(ids_of(tokenizer, t)[:-1], "<u4").tobytes() for t in texts]
 
