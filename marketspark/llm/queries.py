@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import near_duplicates, packing, quality_rules, secrets, token_counts
+from marketspark.llm import near_duplicates, packing, quality_rules, repeated_strings, secrets, token_counts
 from marketspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "verdict.*").drop("cleaned")
 
 
+@query("op2_radix_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_strings.repeated_strings(table(spark, sf_dir, "documents"), threshold=50)
+
+
 @query("op3_concatenate_and_cut")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))

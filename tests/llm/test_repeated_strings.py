@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketspark.llm import repeated_strings as rs
+
+
+def brute(texts, ids, threshold):
+    owners = {}
+    raws = [(t or "").encode() for t in texts]
+    for i, raw in zip(ids, raws, strict=True):
+        if i is not None:
+            for p in range(len(raw) - threshold + 1):
+                s = raw[p:p + threshold]
+                owners[s] = min(owners.get(s, i), i)
+    out = []
+    for i, raw in zip(ids, raws, strict=True):
+        gone = [False] * len(raw)
+        for p in range(len(raw) - threshold + 1):
+            if i is not None and owners[raw[p:p + threshold]] < i:
+                gone[p:p + threshold] = [True] * threshold
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
+        out.append((i if i is not None else -1, len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def corpus(seed, alphabet):
+    rng = random.Random(seed)
+
+    def words(n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    passages = [words(rng.randint(40, 200)) for _ in range(12)]
+    texts = [None, "", "short", "x" * 49, "x" * 50, "x" * 51, "x" * 400, "y" * 60 + "x" * 60, "é" * 30, "é" * 40, "\0" * 70, "\0" * 80]
+    for _ in range(90):
+        parts = [words(rng.randint(0, 120))]
+        for _ in range(rng.randint(0, 3)):
+            passage = rng.choice(passages)
+            low = rng.randint(0, 20)
+            parts += [passage[low:len(passage) - rng.randint(0, 20)], words(rng.choice([0, 3, 60]))]
+        texts.append("".join(parts))
+    texts += texts[-6:] + [texts[-1][:-1] + "!"]
+    rng.shuffle(texts)
+    return texts
+
+
+def rows(df):
+    return sorted((r.doc_id if r.doc_id is not None else -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
+
+
+@pytest.mark.parametrize(("seed", "alphabet", "threshold"), [(1, "abcdefghijklmnop é\n", 50), (2, "ab", 50), (3, "abc日", 20)])
+def test_equals_brute_force(documents, seed, alphabet, threshold):
+    texts = corpus(seed, alphabet)
+    ids = random.Random(9).sample(range(1000), len(texts))
+    assert rows(rs.repeated_strings(documents(*texts, ids=ids), threshold)) == brute(texts, ids, threshold)
+
+
+def test_repeated_ids_and_rows_without_id(documents):
+    text = "abcdefghijklmnopqrstuvwxyz " * 4
+    ids, texts = [5, 5, 7, None, None, 3], [text, text, text, text, text, "z" + text[9:80]]
+    docs = documents(*texts, ids=ids).withColumn("chunk", F.lit(1)).withColumn("bucket", F.lit("x"))
+    assert rows(rs.repeated_strings(docs)) == brute(texts, ids, 50)
+    assert rs.repeated_strings(docs.limit(0)).count() == 0
+
+
+def test_long_text_and_kept_bytes(documents):
+    rng = random.Random(4)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(300_000))
+    found = {r.doc_id: r for r in rs.repeated_strings(documents(long, "start " + long[100:200_000] + " end"), with_kept=True).collect()}
+    assert bytes(found[0].kept) == long.encode() and found[0].n_removed == 0
+    assert bytes(found[1].kept) == b"start  end" or found[1].n_removed >= 199_900
