@@ -46,3 +46,11 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most so many rows, which are counted; else as it is.
+
+    For stored tables of short rows: the count reads no column.
+    """
+    return F.broadcast(df) if df.count() <= rows else df

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import near_duplicates, packing, quality_rules, repeated_strings, secrets, token_counts
+from marketspark.llm import decontamination, near_duplicates, packing, quality_rules, repeated_strings, secrets, token_counts
 from marketspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
+@query("op4_positional_index")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("item_ids")
+
+
 @query("op5_bbit_minhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
