@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import decontamination, near_duplicates, packing, quality_rules, repeated_strings, secrets, token_counts
+from marketspark.llm import (
+    archives, decontamination, near_duplicates, packing, quality_rules, repeated_strings, secrets, sharding, token_counts,
+)
 from marketspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +66,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+@query("op8_best_fit_shards")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
+
+
+@query("op9_gzip_normaliser")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.archive_pages(table(spark, sf_dir, "pages"))
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
