@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketspark.llm import (
-    archives, decontamination, near_duplicates, packing, quality_rules, repeated_strings, secrets, sharding, token_counts,
+    archives, decontamination, near_duplicates, packing, quality_rules, repeated_strings, secrets, sharding,
+    surrogates, token_counts,
 )
 from marketspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SURROGATE_KEY = "change this key for each corpus"
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -66,6 +69,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+@query("op7_keyed_surrogates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_personal_data(table(spark, sf_dir, "documents"), key=SURROGATE_KEY)
+
+
 @query("op8_best_fit_shards")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
