@@ -85,7 +85,8 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, id_column: str = "doc_id", text_column: str = "text",
     item_column: str = "item_id", item_text_column: str = "text",
 ) -> DataFrame:
-    """One row for each row of ``docs``: n_words, n_hit, n_items, items_sha256, contaminated, n_near_items, item_ids.
+    """One row for each row of ``docs``: n_words, n_hit, n_items, items_sha256, contaminated, n_near_items,
+    version, item_ids; ``version`` (xxhash64 of the text) tells apart texts that share an id.
 
     A word is hit if it lies in an exact occurrence of a phrase of ``window`` words of an item (of all its
     words, if it has fewer). ``n_near_items`` counts items of which only the words of a phrase stand close
@@ -117,4 +118,4 @@ def decontaminate(
     return base.join(hits, same, "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
-        F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"), ids.alias("item_ids"))
+        F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"), "version", ids.alias("item_ids"))

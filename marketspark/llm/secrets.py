@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-from marketspark.llm.common import stored, text_slices
+from marketspark.llm.common import broadcast_if_small, stored, text_slices
 
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
@@ -75,7 +75,7 @@ def joined(spans: list[tuple]) -> str:
 
 
 CANDIDATE = "struct<at:bigint,kind:int,till:bigint,value:binary>"
-SCANNED = f"doc_id long, repository string, owner string, n_assign long, n_access long, n_hex long, base_sha256 string, candidates array<{CANDIDATE}>"
+SCANNED = f"doc_id long, version long, repository string, owner string, n_assign long, n_access long, n_hex long, base_sha256 string, candidates array<{CANDIDATE}>"
 ARROW_CANDIDATE = pa.list_(pa.struct([("at", pa.int64()), ("kind", pa.int32()), ("till", pa.int64()), ("value", pa.binary())]))
 
 
@@ -93,10 +93,10 @@ def scanned(docs: DataFrame) -> DataFrame:
                 candidates.append([
                     {"at": s, "kind": k, "till": e, "value": hashlib.sha256(v.encode()).digest()[:16]} for s, k, e, v in found])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("repository"), batch.column("owner"),
+                [batch.column("doc_id"), batch.column("version"), batch.column("repository"), batch.column("owner"),
                  *[pa.array([c[k] for c in counts], pa.int64()) for k in range(3)],
                  pa.array(digests, pa.string()), pa.array(candidates, ARROW_CANDIDATE)],
-                ["doc_id", "repository", "owner", "n_assign", "n_access", "n_hex", "base_sha256", "candidates"],
+                ["doc_id", "version", "repository", "owner", "n_assign", "n_access", "n_hex", "base_sha256", "candidates"],
             )
 
     return docs.mapInArrow(scan, SCANNED)
@@ -114,9 +114,9 @@ def scan_secrets(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", repository_column: str = "source",
     owner: str | None = None, max_owners: int = 1,
 ) -> DataFrame:
-    """One row for each row of ``docs``: base counts and digest, ``spans``, ``verdicts``, n_live, n_copied.
+    """One row for each row of ``docs``: base counts and digest, version, ``spans``, ``verdicts``, n_live, n_copied.
 
-    ``owner`` is a column expression; without it the owner is the repository's part before the first slash.
+    ``version`` (xxhash64 of the text) tells apart texts that share an id. ``owner`` is a column expression; without it the owner is the repository's part before the first slash.
     ``spans`` lists kind:start:end (code points, end exclusive) of all spans by start, then kind;
     ``verdicts`` says live or copied for each in the same order. A null or empty text has no span. Rows with
     no repository count as one owner of their own name, ''. Repeated rows each give a row and are one
@@ -128,7 +128,7 @@ def scan_secrets(
     repository = F.coalesce(F.col(repository_column).cast("string"), F.lit(""))
     source = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"),
-        repository.alias("repository"),
+        F.xxhash64(F.col(text_column).cast("string")).alias("version"), repository.alias("repository"),
         (F.expr(owner) if owner else F.substring_index(repository, "/", 1)).cast("string").alias("owner"),
     )
     rows = stored(scanned(source).withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
@@ -149,7 +149,7 @@ def scan_secrets(
             F.size(F.filter("s.verdict", lambda v: v == "live")).cast("long").alias("n_live"),
             F.size(F.filter("s.verdict", lambda v: v == "copied")).cast("long").alias("n_copied"))
     )
-    base = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"]
+    base = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "version"]
     found = rows.filter(F.size("candidates") > 0).select("row", *base).join(settled, "row", "left").select(
         *base, F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("verdicts", F.lit("")).alias("verdicts"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"))
@@ -157,3 +157,37 @@ def scan_secrets(
         *base, F.lit("").alias("spans"), F.lit("").alias("verdicts"),
         F.lit(0).cast("long").alias("n_live"), F.lit(0).cast("long").alias("n_copied"))
     return found.unionByName(none)
+
+
+REMOVED = "[secret removed]"
+
+
+def without_live(text: str, spans: str, verdicts: str) -> str:
+    """``text`` with a mark in place of its live spans; spans that overlap get one mark."""
+    out, at = [], 0
+    for span, verdict in zip(spans.split(","), verdicts.split(","), strict=True):
+        _, start, end = span.split(":")
+        if verdict == "live":
+            if int(start) >= at:
+                out += [text[at:int(start)], REMOVED]
+            at = max(at, int(end))
+    return "".join(out) + text[at:]
+
+
+def redact(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with live secrets of ``found`` (a result of ``scan_secrets`` over them) taken out; all columns stay."""
+    live = stored(found.filter("n_live > 0").select(
+        F.col("doc_id").alias("_live_id"), F.col("version").alias("_live_version"), F.col("spans").alias("_spans"),
+        F.col("verdicts").alias("_verdicts")).distinct(), "live-secrets")
+    same = F.col(id_column).eqNullSafe(F.col("_live_id")) & (F.xxhash64(text_column) == F.col("_live_version"))
+    live = broadcast_if_small(live)
+    columns = docs.columns
+
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, text_column):
+            texts = [without_live(*x) for x in zip(*(batch.column(c).to_pylist() for c in (text_column, "_spans", "_verdicts")), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()) if c == text_column else batch.column(c) for c in columns], columns)
+
+    changed = docs.join(live, same).drop("_live_id", "_live_version").mapInArrow(rewrite, docs.schema)
+    return docs.join(live, same, "left_anti").unionByName(changed)

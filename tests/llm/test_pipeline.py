@@ -1,0 +1,114 @@
+"""The stages against plain Python on a small table, and the rows of ``run`` in whole."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from marketspark.llm import quality_rules, secrets
+from marketspark.llm.queries import vocabulary
+
+tokenizers = pytest.importorskip("tokenizers")
+KEY, SHARED_KEY = "ab12cd34" * 5, "0f" * 20
+PASSAGE = "nobody had ever measured the distance between these two distant villages before that winter came"
+
+
+def corpus():
+    rng = random.Random(8)
+    words = [f"word{i}" for i in range(3000)]
+
+    def prose(n):
+        return " ".join(rng.choice(words) + ("." if i % 12 == 11 else "") for i in range(n)) + "."
+
+    texts = [prose(80) for _ in range(20)]
+    for k in range(4):
+        base = texts[k].split(" ")
+        for _ in range(3):
+            base[rng.randrange(80)] = rng.choice(words)
+            texts.append(" ".join(base))
+    texts += [texts[5], prose(60) + "\nHome | News | About | More\n" + prose(20), "### *** short", "", None]
+    texts += [f"{prose(50)} {PASSAGE.upper()}, {prose(9)}", f'{prose(40)} token = "{KEY}" and so on.']
+    texts += [f'{prose(40)} token = "{SHARED_KEY}" and so on.' for _ in range(2)]
+    return [(i, t, "en", f"org{i % 7}/repo", len(t or "")) for i, t in enumerate(texts)]
+
+
+def similar(a, b):
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (a.encode().lower().split(), b.encode().lower().split())]
+    return 100 * len(sets[0] & sets[1]) >= 80 * len(sets[0] | sets[1])
+
+
+def brute(rows, items):
+    kept = {}
+    for i, text, *_ in rows:
+        *_, repeats, lost, cleaned, words = quality_rules.judged(text, 0.5)
+        windows = [tuple(words[k:k + 8]) for k in range(len(words) - 7)]
+        often = {w for w, n in Counter(windows).items() if n > 1}
+        hit = {k + j for k, w in enumerate(windows) if w in often for j in range(8)}
+        if len(words) >= 20 and 100 * len(hit) <= 30 * len(words) and lost <= 0.5 * sum(map(len, (text or "").split())):
+            kept[i] = cleaned
+    group = {i: i for i in kept}
+    for _ in kept:
+        for i in kept:
+            for j in kept:
+                if i < j and group[i] != group[j] and similar(kept[i], kept[j]):
+                    group[i] = group[j] = min(group[i], group[j])
+    kept = {i: t for i, t in kept.items() if group[i] == i}
+    phrases = set()
+    for item in items:
+        w = item.split()
+        phrases |= {" ".join(w[k:k + 10]) for k in range(max(1, len(w) - 9))}
+    kept = {i: t for i, t in kept.items() if not any(
+        f" {p} " in f" {' '.join(re.findall('[a-z0-9]+', t.lower()))} " for p in phrases)}
+    owners = defaultdict(set)
+    for i, t in kept.items():
+        for _, _, _, value in secrets.base_spans(t):
+            owners[value].add(f"org{i % 7}")
+    for i, t in kept.items():
+        spans = [(s, e) for s, _, e, v in secrets.base_spans(t) if len(owners[v]) == 1]
+        if spans:
+            kept[i] = t[:min(spans)[0]] + secrets.REMOVED + t[max(e for _, e in spans):]
+    return kept
+
+
+def test_stages_equal_brute_force(spark, tmp_path):
+    rows = corpus()
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    wanted = brute(rows, [PASSAGE])
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    counts = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"stage{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"stage{k}"))
+        assert docs.columns == corpus_pipeline.COLUMNS
+        counts.append(docs.count())
+    found = docs.collect()
+    assert {r.doc_id: r.text for r in found} == wanted and len(found) == len(wanted)
+    assert all(r.n_chars == len(r.text) for r in found)
+    assert counts[0] > counts[1] > counts[2] == counts[3] == len(wanted)
+    assert sum(KEY in t for t in wanted.values()) == 0 and sum(SHARED_KEY in t for t in wanted.values()) == 2
+
+    tokenizer = tokenizers.Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    pieces = defaultdict(list)
+    for p in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        pieces[p.doc_id].append((p.start, bytes(p.ids)))
+    got = {i: b"".join(ids for _, ids in sorted(own)) for i, own in pieces.items()}
+    assert got == {i: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for i, t in wanted.items()}
+
+
+def test_empty_repeated_and_without_id(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string, version string"
+    text = " ".join(f"w{i}" for i in range(40)) + "."
+    rows = [(3, text, "en", "s", 1, "x", "x"), (3, text, "en", "s", 1, "x", "x"), (None, text, None, None, None, None, None)]
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, own in (("full", rows), ("empty", [])):
+        docs = spark.createDataFrame(own, schema)
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, str(tmp_path))
+        assert sorted(p.doc_id or 0 for p in docs.collect()) == ([0, 3] if own else []), name
