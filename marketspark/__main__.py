@@ -12,7 +12,7 @@ from marketspark.schemas import GOLD, RAW_TOPIC
 from marketspark.session import build_session, object_store_options
 from marketspark.sinks.compaction import TARGET_FILE_SIZE_MB, compact
 from marketspark.sources.tables import Layout
-from marketspark.sources.topics import ConsumerConfig, read_topic_stream
+from marketspark.sources.topics import reading_options, topic_stream
 from marketspark.streaming.jobs import TradeStreams
 
 
@@ -55,7 +55,7 @@ def main(arguments: list[str] | None = None) -> None:
         )
     spark = build_session(f"marketspark-{args.command}", options=options)
     if args.command == "stream":
-        source = read_topic_stream(spark, ConsumerConfig(args.bootstrap_servers), args.topic)
+        source = topic_stream(spark, reading_options(args.bootstrap_servers, args.topic))
         TradeStreams(spark, source, Layout(args.root), args.watermark_seconds).run(args.gold, args.windows)
     elif args.command == "rebuild":
         rebuild(spark, args.bronze, Layout(args.root), window_durations=args.windows)

@@ -19,9 +19,10 @@ from marketspark.schemas import (
     EVENT_TYPE,
     RAW_TOPIC,
     TRADE,
-    SchemaRegistry,
+    TRADE_VERSIONS,
+    Versions,
     camel_case,
-    get_schema_registry,
+    newest,
 )
 
 _BAD = "_bad"
@@ -81,14 +82,14 @@ def _typed(raw: Column, field: StructField) -> Column:
     return raw.try_cast(field.dataType)
 
 
-def read_envelopes(df: DataFrame, registry: SchemaRegistry | None = None) -> DataFrame:
+def read_envelopes(df: DataFrame, versions: Versions = TRADE_VERSIONS) -> DataFrame:
     """Add to topic rows ``raw`` (payload text), ``trade`` (typed payload) and ``readable``.
 
     A message is readable when it is UTF-8 JSON with a payload whose numbers and times, where given,
     parse, and which has an event time. Fields unknown to the latest schema are ignored, fields a
     message lacks take their default or NULL.
     """
-    schema = (registry or get_schema_registry()).get_latest_schema()
+    schema = newest(versions)
     text = F.col("value").cast("string")
     parsed = F.from_json(text, envelope_schema(schema), _PERMISSIVE)
     rows = computed_once(df, parsed, "_envelope")
@@ -123,9 +124,9 @@ def read_envelopes(df: DataFrame, registry: SchemaRegistry | None = None) -> Dat
     )
 
 
-def decode_events(df: DataFrame, registry: SchemaRegistry | None = None) -> DataFrame:
+def decode_events(df: DataFrame, versions: Versions = TRADE_VERSIONS) -> DataFrame:
     """Topic rows to trades. Unreadable messages are left to the dead letters."""
-    return computed_once(read_envelopes(df, registry), F.col("trade"), "_trade", F.col("readable")).select("_trade.*")
+    return computed_once(read_envelopes(df, versions), F.col("trade"), "_trade", F.col("readable")).select("_trade.*")
 
 
 def stable_uuid(*parts: Column) -> Column:
@@ -188,7 +189,8 @@ def read_feed(
 ) -> DataFrame:
     """Exchange feed messages (text in ``value``) to ``trade`` and ``failed_rules``, other columns kept.
 
-    Messages without a ``data`` object, such as subscription replies, are skipped. ``id_mode="exchange"``
+    JSON objects without ``data``, such as subscription replies, are skipped. What is no readable JSON
+    object, or holds a field of another type, breaks ``json_object`` alone. ``id_mode="exchange"``
     builds the trade id from exchange, symbol and the exchange's own number, so that a message delivered
     twice can be recognised; ``"random"`` gives each message a new id.
     """
@@ -224,8 +226,10 @@ def read_feed(
         "ingest_time": F.lit(None).cast("string"),
         "schema_version": F.lit("1"),
     }, {"event_time": event_time})
-    rows = computed_once(df, parsed, "_feed").filter(data.isNotNull())
-    checked = computed_once(rows, F.struct(trade.alias("trade"), broken(rules).alias("failed_rules")), "_checked")
+    unreadable = F.col("_feed").isNull() | F.col(f"_feed.{_BAD}").isNotNull()
+    failed = F.when(unreadable, F.array(F.lit("json_object"))).otherwise(broken(rules))
+    rows = computed_once(df, parsed, "_feed").filter(unreadable | data.isNotNull())
+    checked = computed_once(rows, F.struct(trade.alias("trade"), failed.alias("failed_rules")), "_checked")
     return checked.select(*df.columns, "_checked.*")
 
 
@@ -235,16 +239,16 @@ def parse_feed(df: DataFrame, **options) -> DataFrame:
 
 
 def feed_errors(df: DataFrame, **options) -> DataFrame:
-    """Feed messages that carry a trade which breaks the contract."""
+    """Feed messages that cannot be read, and those whose trade breaks the contract."""
     return read_feed(df, **options).filter(F.size("failed_rules") > 0).select("value", "failed_rules")
 
 
-def validate_contract(df: DataFrame, column: str = "value", registry: SchemaRegistry | None = None) -> DataFrame:
+def validate_contract(df: DataFrame, column: str = "value", versions: Versions = TRADE_VERSIONS) -> DataFrame:
     """Trade JSON (camel or snake case) to typed columns plus ``failed_rules``; a valid trade has none.
 
     Defaults fill an absent exchange, ingest time and version; the symbol is trimmed and upper-cased.
     """
-    schema = (registry or get_schema_registry()).get_latest_schema()
+    schema = newest(versions)
     names = schema.fieldNames()
     wire = StructType([
         StructField(n, StringType()) for n in dict.fromkeys([*map(camel_case, names), *names])

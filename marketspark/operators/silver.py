@@ -10,7 +10,7 @@ from pyspark.sql.types import AtomicType
 
 from marketspark.functions.rules import all_hold, any_broken, broken, business_rules, contract_rules
 from marketspark.operators.codec import computed_once, read_envelopes
-from marketspark.schemas import DATE_PATTERN, PIPELINE_VERSION, SchemaRegistry, get_schema_registry
+from marketspark.schemas import DATE_PATTERN, PIPELINE_VERSION, TRADE_VERSIONS, Versions, known_version, newest
 
 # Reasons stored with dead letters.
 UNREADABLE = "deserialization_error"
@@ -115,22 +115,21 @@ def to_silver(trades: DataFrame, as_of: Clock = None) -> DataFrame:
     return enrich_with_processing_metadata(deduplicate_by_trade_id(valid))
 
 
-def split_by_version(df: DataFrame, registry: SchemaRegistry | None = None) -> tuple[DataFrame, DataFrame]:
+def split_by_version(df: DataFrame, versions: Versions = TRADE_VERSIONS) -> tuple[DataFrame, DataFrame]:
     """Rows with a registered schema version, and the others with their failure reason."""
-    known = (registry or get_schema_registry()).is_known(F.col("schema_version"))
+    known = known_version(F.col("schema_version"), versions)
     return df.filter(known), df.filter(~known).withColumn("failure_reason", F.lit(UNKNOWN_VERSION))
 
 
-def triage(topic_rows: DataFrame, as_of: Clock = None, registry: SchemaRegistry | None = None) -> DataFrame:
+def triage(topic_rows: DataFrame, as_of: Clock = None, versions: Versions = TRADE_VERSIONS) -> DataFrame:
     """Topic rows with the decoded ``trade``, ``failure_reason`` (NULL when accepted) and ``failed_rules``.
 
     The first stage that fails names the reason: reading, schema version, trade contract, business rules.
     """
-    registry = registry or get_schema_registry()
-    rows = read_envelopes(topic_rows, registry)
-    raw = {name: F.col(f"raw.{name}") for name in registry.get_latest_schema().fieldNames()}
+    rows = read_envelopes(topic_rows, versions)
+    raw = {name: F.col(f"raw.{name}") for name in newest(versions).fieldNames()}
     parsed = {name: F.col(f"trade.{name}") for name in ("event_time", "ingest_time")}
-    known = registry.is_known(F.col("trade.schema_version"))
+    known = known_version(F.col("trade.schema_version"), versions)
     judged = rows.withColumns({
         "_contract": broken(contract_rules(raw, parsed)),
         "_business": broken(business_rules(as_of, parent="trade")),

@@ -1,7 +1,9 @@
-"""Table contracts, wire names and the schema-version registry."""
+"""Table contracts, wire names and trade schemas by version."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -118,50 +120,24 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-class SchemaVersionError(Exception):
-    def __init__(self, version: int) -> None:
-        super().__init__(f"Unknown schema version: {version}")
-        self.version = version
-
-
-class SchemaRegistry:
-    """Trade schemas by version.
-
-    Later versions may only add optional columns. A column read from an older message takes the
-    ``default`` kept in its field metadata, or NULL.
-    """
-
-    def __init__(self) -> None:
-        self._schemas: dict[int, StructType] = {1: TRADE}
-
-    def register(self, version: int, schema: StructType) -> None:
-        if version in self._schemas:
-            raise ValueError(f"Schema version {version} already registered")
-        missing = set(TRADE.fieldNames()) - set(schema.fieldNames())
-        if missing:
-            raise ValueError(f"Schema version {version} drops {sorted(missing)}")
-        self._schemas[version] = schema
-
-    def get_schema(self, version: int) -> StructType:
-        if version not in self._schemas:
-            raise SchemaVersionError(version)
-        return self._schemas[version]
-
-    def versions(self) -> list[int]:
-        return sorted(self._schemas)
-
-    def get_latest_version(self) -> int:
-        return self.versions()[-1]
+# Trade schemas by version, as readers take them. Later versions may only add optional columns; a column
+# read from an older message takes the ``default`` kept in its field metadata, or NULL.
+Versions = Mapping[int, StructType]
+TRADE_VERSIONS: Versions = {1: TRADE}
 
-    def get_latest_schema(self) -> StructType:
-        return self.get_schema(self.get_latest_version())
 
-    def is_known(self, version: Column) -> Column:
-        return F.coalesce(version.try_cast("int").isin(*self.versions()), F.lit(False))
+def with_version(number: int, schema: StructType, versions: Versions = TRADE_VERSIONS) -> Versions:
+    """``versions`` and one more. A number keeps its schema for good, and no column may go."""
+    if number in versions:
+        raise ValueError(f"version {number} has a schema, and stored messages rely on it")
+    if gone := [name for name in newest(versions).fieldNames() if name not in schema.fieldNames()]:
+        raise ValueError(f"version {number} lacks {', '.join(gone)}")
+    return {**versions, number: schema}
 
 
-_REGISTRY = SchemaRegistry()
+def newest(versions: Versions = TRADE_VERSIONS) -> StructType:
+    return versions[max(versions)]
 
 
-def get_schema_registry() -> SchemaRegistry:
-    return _REGISTRY
+def known_version(version: Column, versions: Versions = TRADE_VERSIONS) -> Column:
+    return F.coalesce(version.try_cast("int").isin(*sorted(versions)), F.lit(False))

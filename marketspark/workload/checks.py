@@ -44,7 +44,7 @@ def _exist_sql(columns: list[str], source: str) -> list[str]:
 ]))
 def _dq_silver_trades(spark, sf_dir):
     table = repeated_trades(events(spark, sf_dir))
-    return quality.create_silver_trades_suite().results(quality.SILVER_TRADES, table).select(*_RESULT)
+    return quality.SILVER_TRADES_SUITE.results(table).select(*_RESULT)
 
 
 @query("dq_gold_ohlc", f"WITH {sql.GOLD} " + " UNION ALL ".join([
@@ -54,17 +54,15 @@ def _dq_silver_trades(spark, sf_dir):
     _result_sql(7, quality.BETWEEN, "trade_count", "trade_count < 0", "gold"),
 ]))
 def _dq_gold_ohlc(spark, sf_dir):
-    return quality.create_gold_ohlc_suite().results(quality.GOLD_OHLC, candles(spark, sf_dir)).select(*_RESULT)
+    return quality.GOLD_OHLC_SUITE.results(candles(spark, sf_dir)).select(*_RESULT)
 
 
 @query("dq_row_count", f"""
     WITH {sql.TRADES} SELECT 0 AS position, count(*) >= 1 AS success, count(*) AS row_count FROM trades
     UNION ALL SELECT 1, count(*) BETWEEN 0 AND 10, count(*) FROM trades""")
 def _dq_row_count(spark, sf_dir):
-    runner = quality.ValidationRunner()
-    runner.register_expectation("rows", quality.ROW_COUNT, {"min_value": 1})
-    runner.register_expectation("rows", quality.ROW_COUNT, {"max_value": 10})
-    return runner.results("rows", trades(events(spark, sf_dir))).select("position", "success", "row_count")
+    suite = quality.Suite("rows", ((quality.ROW_COUNT, {"min_value": 1}), (quality.ROW_COUNT, {"max_value": 10})))
+    return suite.results(trades(events(spark, sf_dir))).select("position", "success", "row_count")
 
 
 def _mart_sql(mart: str, position: int, expectation: str, column: str, count: str, source: str) -> str:
@@ -122,14 +120,11 @@ def _dq_relationships(spark, sf_dir):
     staged = marts.stg_ohlc(candles(spark, sf_dir))
     bought = profiles(spark, sf_dir).filter("buy_count > 0")
     keys = ["symbol", "trade_date"]
-    runner = quality.ValidationRunner()
-    runner.register_expectation("summary", quality.RELATIONSHIP, {"columns": keys, "parent": staged})
-    first = runner.results("summary", summary(spark, sf_dir))
-    runner.register_expectation("windows", "expect_nothing", {})
-    runner.register_expectation(
-        "windows", quality.RELATIONSHIP, {"columns": ["symbol", "window_start"], "parent": bought}
-    )
-    second = runner.results("windows", staged).filter("position = 1")
+    first = quality.Suite("summary", ((quality.RELATIONSHIP, {"columns": keys, "parent": staged}),)).results(summary(spark, sf_dir))
+    second = quality.Suite("windows", (
+        ("expect_nothing", {}),
+        (quality.RELATIONSHIP, {"columns": ["symbol", "window_start"], "parent": bought}),
+    )).results(staged).filter("position = 1")
     return first.unionByName(second).select("position", "column", "success", "unexpected_count")
 
 
@@ -139,7 +134,7 @@ def _dq_relationships(spark, sf_dir):
     for i, condition in enumerate(quality.OHLC_INVARIANTS)
 ))
 def _dq_ohlc_invariants(spark, sf_dir):
-    results = quality.create_ohlc_invariants_suite().results(quality.GOLD_OHLC, candles(spark, sf_dir))
+    results = quality.OHLC_INVARIANTS_SUITE.results(candles(spark, sf_dir))
     return results.select("position", "column", "success", "unexpected_count")
 
 
@@ -148,7 +143,7 @@ def _dq_ohlc_invariants(spark, sf_dir):
     SELECT us / 1e6 <= 120 AS success, round(us / 1e6, 6) AS lag_seconds FROM lag""")
 def _dq_freshness(spark, sf_dir):
     table = with_partition_date(trades(events(spark, sf_dir)))
-    results = quality.create_strict_silver_suite(as_of=AS_OF).results(quality.SILVER_TRADES, table)
+    results = quality.strict_silver_suite(as_of=AS_OF).results(table)
     return shown(results.filter(F.col("expectation") == quality.FRESH).select("success", "lag_seconds"), lag_seconds=6)
 
 
@@ -162,8 +157,8 @@ def _dq_partition_date(spark, sf_dir):
     # Every hundredth row is filed under the first day.
     table = with_partition_date(trades(events(spark, sf_dir)))
     misfiled = F.when(F.col("trade_id").cast("bigint") % 100 == 0, "2024-01-01").otherwise(F.col("partition_date"))
-    suite = quality.create_strict_silver_suite(as_of=AS_OF)
-    results = suite.results(quality.SILVER_TRADES, table.withColumn("partition_date", misfiled))
+    suite = quality.strict_silver_suite(as_of=AS_OF)
+    results = suite.results(table.withColumn("partition_date", misfiled))
     return results.filter(F.col("expectation") == quality.CONDITION).select("position", "unexpected_count")
 
 

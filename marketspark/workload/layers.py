@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketspark.operators.codec import decode_events, parse_feed, validate_contract
+from marketspark.operators.codec import decode_events, parse_feed, read_feed, validate_contract
 from marketspark.operators.silver import (
     anti_join_invalid,
     dead_letters,
@@ -69,12 +69,40 @@ def _decode_events(spark, sf_dir):
     SELECT {sql.uuid_text("'binance|' || symbol || '|' || CAST(event_id AS VARCHAR)")} AS trade_id,
            'binance' AS exchange, symbol, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,
            side, event_time, {sql.CLOCK} AS ingest_time, '1' AS schema_version
-    FROM feed WHERE slot > 1 AND price > 0 AND quantity > 0""")
+    FROM feed WHERE slot NOT IN (0, 1, 4, 5, 6, 7) AND price > 0 AND quantity > 0""")
 def _parse_feed(spark, sf_dir):
     messages = feed_messages(events(spark, sf_dir))
     return shown(parse_feed(messages, id_mode="exchange", ingest_time=F.lit(AS_OF).cast("timestamp")))
 
 
+@query("feed_errors", f"""
+    WITH {sql.TRADES}, feed AS (
+      SELECT event_id, event_id % 40 AS slot, CASE WHEN event_id % 40 = 1 THEN 0 ELSE price END AS price, quantity FROM trades),
+    ruled AS (
+      SELECT event_id, slot, CASE WHEN slot BETWEEN 4 AND 7 THEN 'json_object' ELSE concat_ws(',',
+        CASE WHEN price <= 0 THEN 'price_positive' END, CASE WHEN quantity <= 0 THEN 'quantity_positive' END) END AS failed_rules
+      FROM feed WHERE slot <> 0)
+    SELECT event_id, failed_rules FROM ruled WHERE failed_rules <> ''""")
+def _feed_errors(spark, sf_dir):
+    refused = read_feed(feed_messages(events(spark, sf_dir)), id_mode="exchange").filter(F.size("failed_rules") > 0)
+    return refused.select("event_id", F.concat_ws(",", "failed_rules").alias("failed_rules"))
+
+
+@query("feed_outcomes", f"""
+    WITH {sql.TRADES}, feed AS (SELECT event_id % 40 AS slot, price, quantity FROM trades)
+    SELECT count(*) AS messages, count(CASE WHEN slot = 0 THEN 1 END) AS replies,
+           count(CASE WHEN slot IN (1, 4, 5, 6, 7) OR slot <> 0 AND (price <= 0 OR quantity <= 0) THEN 1 END) AS errors,
+           count(CASE WHEN slot NOT IN (0, 1, 4, 5, 6, 7) AND price > 0 AND quantity > 0 THEN 1 END) AS trades FROM feed""")
+def _feed_outcomes(spark, sf_dir):
+    # Nothing may vanish: messages are replies, errors or trades.
+    messages = feed_messages(events(spark, sf_dir))
+    wrong = (F.size("failed_rules") > 0).cast("int")
+    judged = read_feed(messages, id_mode="exchange").select(
+        F.lit(0).alias("messages"), F.lit(-1).alias("replies"), wrong.alias("errors"), (1 - wrong).alias("trades"))
+    sent = messages.select(F.lit(1).alias("messages"), F.lit(1).alias("replies"), F.lit(0).alias("errors"), F.lit(0).alias("trades"))
+    return sent.unionByName(judged).agg(*[F.sum(name).alias(name) for name in sent.columns])
+
+
 _JSON_TIME = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'"
 
 

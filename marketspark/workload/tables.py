@@ -106,7 +106,11 @@ def line_item_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_messages(source: DataFrame) -> DataFrame:
-    """Exchange feed messages: every fortieth a reply without data, every fortieth one a free trade."""
+    """Exchange feed messages, the odd ones keyed by ``event_id % 40``.
+
+    0 a reply without data, 1 a free trade, 2 no symbol, 3 no maker flag, 4 cut off, 5 data that is no object,
+    6 no JSON at all, 7 a maker flag of another type.
+    """
     slot = F.col("event_id") % 40
     data = F.struct(
         F.lit("trade").alias("e"),
@@ -120,7 +124,13 @@ def feed_messages(source: DataFrame) -> DataFrame:
     message = F.when(slot == 0, F.to_json(F.struct(F.lit(1).alias("id")))).otherwise(
         F.to_json(F.struct(F.concat(F.col("event_type"), F.lit("@trade")).alias("stream"), data.alias("data")))
     )
-    return source.select("event_id", message.alias("value"))
+    broken = (
+        F.when(slot == 4, F.substring(message, 1, 30))
+        .when(slot == 5, '{"data": "oops"}')
+        .when(slot == 6, "pong")
+        .when(slot == 7, F.regexp_replace(message, '"m":(true|false)', '"m":"$1"'))
+    )
+    return source.select("event_id", F.coalesce(broken, message).alias("value"))
 
 
 def wire_trades(source: DataFrame) -> DataFrame:

@@ -25,10 +25,11 @@ from marketspark.operators.silver import (
 )
 from marketspark.schemas import (
     TRADE,
-    SchemaRegistry,
-    SchemaVersionError,
+    TRADE_VERSIONS,
     from_wire_names,
-    get_schema_registry,
+    known_version,
+    newest,
+    with_version,
     to_wire_names,
 )
 
@@ -234,6 +235,18 @@ def test_feed_skips_replies_and_reports_bad_trades(spark):
     assert error.failed_rules == ["price_positive"]
 
 
+def test_feed_keeps_what_cannot_be_read(spark):
+    good = feed_trade()
+    texts = [good, '{"data":{"s":"BTC', "not json", '{"data":"oops"}', None, "", '{"result":null,"id":1}', "[]"]
+    texts = [json.dumps(t) if isinstance(t, dict) else t for t in texts]
+    texts.append(texts[0].replace('"m": false', '"m": "false"'))
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert parse_feed(df).count() == 1
+    errors = feed_errors(df).collect()
+    assert all(e.failed_rules == ["json_object"] for e in errors)
+    assert {e.value for e in errors} == {*texts[1:6], *texts[7:]}
+
+
 def test_feed_ids(spark):
     df = feed(spark, feed_trade(), feed_trade(), feed_trade(t=7))
     random_ids = {r.trade_id for r in parse_feed(df).collect()}
@@ -244,26 +257,25 @@ def test_feed_ids(spark):
         parse_feed(df, id_mode="other")
 
 
-def test_registry():
-    registry = SchemaRegistry()
-    assert registry.get_schema(1) == TRADE == registry.get_latest_schema()
-    with pytest.raises(SchemaVersionError) as error:
-        registry.get_schema(99)
-    assert error.value.version == 99
-    with pytest.raises(ValueError, match="already registered"):
-        registry.register(1, TRADE)
-    with pytest.raises(ValueError, match="drops"):
-        registry.register(2, StructType(TRADE.fields[:-1]))
-    assert get_schema_registry() is get_schema_registry()
+def test_versions():
+    assert newest() == TRADE == TRADE_VERSIONS[1]
+    with pytest.raises(ValueError, match="version 1"):
+        with_version(1, TRADE)
+    with pytest.raises(ValueError, match="lacks schema_version"):
+        with_version(2, StructType(TRADE.fields[:-1]))
+
+
+def test_known_versions(spark):
+    df = spark.createDataFrame([("1",), ("99",), ("x",), (None,)], "v string")
+    assert [r[0] for r in df.select(known_version(F.col("v"))).collect()] == [True, False, False, False]
 
 
 def test_later_version_reads_old_and_new_messages(spark):
-    registry = SchemaRegistry()
     commission = StructField("commission", DecimalType(18, 8), True, {"default": "0"})
-    registry.register(2, StructType([*TRADE.fields, commission]))
-    assert registry.get_latest_version() == 2
+    versions = with_version(2, StructType([*TRADE.fields, commission]))
+    assert newest(versions).fieldNames()[-1] == "commission"
     rows = topic(spark, envelope(), envelope(schemaVersion=2, commission="0.25", other="ignored"))
-    found = decode_events(rows, registry).orderBy("schema_version").collect()
+    found = decode_events(rows, versions).orderBy("schema_version").collect()
     assert [r.commission for r in found] == [Decimal("0"), Decimal("0.25")]
     # A reader of version 1 ignores the new field.
     assert decode_events(rows).columns == TRADE.fieldNames()

@@ -14,7 +14,7 @@ from marketspark.plans import marts
 
 
 def silver(df):
-    return q.create_silver_trades_suite().validate(q.SILVER_TRADES, df)
+    return q.SILVER_TRADES_SUITE.report(df)
 
 
 def failed(result):
@@ -61,59 +61,59 @@ def test_empty_table_has_no_columns(spark):
 
 def test_gold_suite(spark):
     candles = aggregate_ohlc(trades(spark, trade()))
-    suite = q.create_gold_ohlc_suite()
-    assert suite.validate(q.GOLD_OHLC, candles)["success"]
+    suite = q.GOLD_OHLC_SUITE
+    assert suite.report(candles)["success"]
     negative = candles.selectExpr("* EXCEPT (volume)", "-1 AS volume")
-    assert failed(suite.validate(q.GOLD_OHLC, negative)) == [(q.BETWEEN, "volume")]
+    assert failed(suite.report(negative)) == [(q.BETWEEN, "volume")]
 
 
 def test_other_expectations(spark):
     df = spark.createDataFrame([(1.0, None), (float("nan"), "x")], "number double, text string")
-    runner = q.ValidationRunner()
-    runner.register_expectation("s", q.BETWEEN, {"column": "number", "max_value": 5})
-    runner.register_expectation("s", q.IN_SET, {"column": "text", "value_set": ["x", None]})
-    runner.register_expectation("s", q.IN_SET, {"column": "absent", "value_set": ["x"]})
-    runner.register_expectation("s", q.BETWEEN, {"column": "absent", "min_value": 0})
-    runner.register_expectation("s", q.UNIQUE, {"column": "absent"})
-    runner.register_expectation("s", q.ROW_COUNT, {"min_value": 1, "max_value": 1})
-    runner.register_expectation("s", "expect_the_moon", {})
-    results = runner.validate("s", df)["results"]
+    results = q.Suite("s", (
+        (q.BETWEEN, {"column": "number", "max_value": 5}),
+        (q.IN_SET, {"column": "text", "value_set": ["x", None]}),
+        (q.IN_SET, {"column": "absent", "value_set": ["x"]}),
+        (q.BETWEEN, {"column": "absent", "min_value": 0}),
+        (q.UNIQUE, {"column": "absent"}),
+        (q.ROW_COUNT, {"min_value": 1, "max_value": 1}),
+        ("expect_the_moon", {}),
+    )).report(df)["results"]
     assert [r["success"] for r in results] == [True, True, False, True, True, False, True]
     assert results[2]["unexpected_count"] == 2
     assert results[5]["row_count"] == 2
-    assert "not implemented" in results[6]["note"]
-    unknown = runner.validate("nothing", df)
+    assert "expect_the_moon" in results[6]["note"]
+    unknown = q.Suite("nothing").report(df)
     assert unknown["success"] is True and unknown["results"] == []
 
 
 def test_row_checks_share_one_aggregate_and_nothing_is_collected(spark):
-    results = q.create_silver_trades_suite().results(q.SILVER_TRADES, trades(spark, trade()))
+    results = q.SILVER_TRADES_SUITE.results(trades(spark, trade()))
     plan = results._jdf.queryExecution().optimizedPlan().toString()
     # One aggregate for the row checks, two for uniqueness.
     assert plan.count("Aggregate") == 3
 
 
 def test_check_counts(spark):
-    results = q.create_silver_trades_suite().results(q.SILVER_TRADES, trades(spark, trade("1", price=Decimal("-1"))))
+    results = q.SILVER_TRADES_SUITE.results(trades(spark, trade("1", price=Decimal("-1"))))
     assert [tuple(r) for r in q.check_counts(results).collect()] == [("silver.trades", 11, 1)]
 
 
 @pytest.mark.parametrize("dataset", sorted(AGGREGATES))
 def test_gold_contracts(spark, dataset):
     golden = AGGREGATES[dataset](trades(spark, trade("1"), trade("2", side="SELL")))
-    suite = q.create_gold_contract_suite(dataset)
-    assert suite.validate(f"gold.{dataset}", golden)["success"]
+    suite = q.gold_contract_suite(dataset)
+    assert suite.report(golden)["success"]
     column = q.GOLD_COUNTS[dataset][0]
     negative = golden.selectExpr(f"* EXCEPT ({column})", f"-1 AS {column}")
-    assert failed(suite.validate(f"gold.{dataset}", negative)) == [(q.BETWEEN, column)]
+    assert failed(suite.report(negative)) == [(q.BETWEEN, column)]
 
 
 def test_ohlc_invariants(spark):
     candles = aggregate_ohlc(trades(spark, trade("1"), trade("2", symbol="B")))
-    suite = q.create_ohlc_invariants_suite()
-    assert suite.validate(q.GOLD_OHLC, candles)["success"]
+    suite = q.OHLC_INVARIANTS_SUITE
+    assert suite.report(candles)["success"]
     broken = candles.selectExpr("* EXCEPT (high_price)", "IF(symbol = 'B', 1, high_price) AS high_price")
-    result = suite.validate(q.GOLD_OHLC, broken)
+    result = suite.report(broken)
     assert [c for _, c in failed(result)] == list(q.OHLC_INVARIANTS[:3])
     rows = q.failing_rows(broken, q.CONDITION, {"condition": q.OHLC_INVARIANTS[0]}).collect()
     assert [r.symbol for r in rows] == ["B"]
@@ -121,10 +121,10 @@ def test_ohlc_invariants(spark):
 
 def test_strict_silver(spark):
     df = with_partition_date(trades(spark, trade("1"), trade("2", quantity=Decimal("0"))))
-    fresh = q.create_strict_silver_suite(as_of=START + timedelta(seconds=119))
-    assert failed(fresh.validate(q.SILVER_TRADES, df)) == [(q.CONDITION, "quantity > 0")]
-    stale = q.create_strict_silver_suite(as_of=START + timedelta(seconds=121))
-    result = stale.validate(q.SILVER_TRADES, df.filter("quantity > 0"))
+    fresh = q.strict_silver_suite(as_of=START + timedelta(seconds=119))
+    assert failed(fresh.report(df)) == [(q.CONDITION, "quantity > 0")]
+    stale = q.strict_silver_suite(as_of=START + timedelta(seconds=121))
+    result = stale.report(df.filter("quantity > 0"))
     assert failed(result) == [(q.FRESH, "event_time")]
     assert result["results"][-1]["lag_seconds"] == 121.0
 
@@ -151,5 +151,7 @@ def test_stored_table_run_writes_results(spark, tmp_path):
         q.require(result)
     written = [json.loads(line) for f in (tmp_path / "results").glob("*.json") for line in f.read_text().splitlines()]
     assert len(written) == 12 and sum(not w["success"] for w in written) == 1
+    assert all(w["suite"] == "silver.trades" and w["timestamp"] and w["duration_seconds"] > 0 for w in written)
+    assert [(w["unique_count"], w["total_count"]) for w in written if w["expectation"] == q.UNIQUE] == [(1, 1)]
     with pytest.raises(ValueError):
         q.validate_table(spark, "other", path)

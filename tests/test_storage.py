@@ -17,7 +17,7 @@ from marketspark.schemas import TRADE
 from marketspark.sinks.compaction import compact, file_counts, fingerprint
 from marketspark.sinks.writers import StorageWriter
 from marketspark.sources.tables import Layout, read_bronze, read_gold, read_silver, scan_union_by_name
-from marketspark.sources.topics import ConsumerConfig, ProducerConfig
+from marketspark.sources.topics import publishing_options, reading_options
 
 
 def writer(spark, lake):
@@ -150,7 +150,7 @@ def test_shared_folder_follows_the_session(spark):
 
 
 def test_topic_options():
-    options = ConsumerConfig("broker:9092", group_id="g").to_spark_kafka_options("raw.trades")
+    options = reading_options("broker:9092", "raw.trades", "g")
     assert options["kafka.bootstrap.servers"] == "broker:9092"
     assert options["subscribe"] == "raw.trades"
     assert options["kafka.group.id"] == "g"
@@ -158,8 +158,8 @@ def test_topic_options():
     assert options["failOnDataLoss"] == "false"
     assert options["kafka.isolation.level"] == "read_committed"
     assert options["kafka.max.poll.interval.ms"] == "600000"
-    assert ConsumerConfig("b", max_offsets_per_trigger=5).to_spark_kafka_options()["maxOffsetsPerTrigger"] == "5"
-    producer = ProducerConfig("b", client_id="c", retries=5, request_timeout_ms=60000).to_spark_kafka_options()
+    assert reading_options("b", maxOffsetsPerTrigger=5)["maxOffsetsPerTrigger"] == "5"
+    producer = publishing_options("b", "c", **{"kafka.retries": 5, "kafka.request.timeout.ms": 60000})
     assert producer["kafka.acks"] == "all" and producer["kafka.enable.idempotence"] == "true"
     assert producer["kafka.compression.type"] == "snappy" and producer["kafka.retries"] == "5"
     assert producer["kafka.request.timeout.ms"] == "60000"
