@@ -47,15 +47,17 @@ def filter_invalid_events(df: DataFrame, as_of: Clock = None) -> tuple[DataFrame
 def anti_join_invalid(df: DataFrame, as_of: Clock = None) -> DataFrame:
     """Rows whose trade id belongs to no valid row (batch).
 
-    A valid row with an id always finds itself, so only invalid rows and rows without id can remain;
-    nothing else is sent to the join. Rows without id match nothing and go around it, which keeps a
-    large NULL group out of the shuffle. The other side is one row per id.
+    A valid row with an id always finds itself, so only invalid rows and rows without id can remain. The
+    few ids of invalid rows first pick the valid rows that share one (a semi join that can broadcast them);
+    only those ids, one row each, meet the invalid rows. So no table of all valid ids is shuffled. Rows
+    without id match nothing and go around the joins.
     """
     rules = business_rules(as_of)
     identified = df.filter(F.col("trade_id").isNotNull())
     candidates = identified.filter(any_broken(rules))
-    valid_ids = identified.filter(all_hold(rules)).select("trade_id").distinct()
-    unmatched = candidates.join(valid_ids, "trade_id", "left_anti").select(*df.columns)
+    suspects = candidates.select("trade_id").distinct()
+    cleared = identified.filter(all_hold(rules)).select("trade_id").join(suspects, "trade_id", "left_semi").distinct()
+    unmatched = candidates.join(cleared, "trade_id", "left_anti").select(*df.columns)
     return unmatched.unionByName(df.filter(F.col("trade_id").isNull()))
 
 
@@ -121,6 +123,44 @@ def split_by_version(df: DataFrame, versions: Versions = TRADE_VERSIONS) -> tupl
     return df.filter(known), df.filter(~known).withColumn("failure_reason", F.lit(UNKNOWN_VERSION))
 
 
+def bronze_rows(topic_rows: DataFrame, versions: Versions = TRADE_VERSIONS) -> DataFrame:
+    """Readable messages as trades, with the contract rules that their text breaks in ``contract_failures``.
+
+    Bronze keeps that judgement because typed columns no longer show it: a price is rounded to its type.
+    """
+    rows = read_envelopes(topic_rows, versions).filter("readable")
+    raw = {name: F.col(f"raw.{name}") for name in newest(versions).fieldNames()}
+    parsed = {name: F.col(f"trade.{name}") for name in ("event_time", "ingest_time")}
+    failures = F.concat_ws(",", broken(contract_rules(raw, parsed)))
+    return computed_once(rows, F.struct("trade", failures.alias("contract_failures")), "_row").select(
+        "_row.trade.*", "_row.contract_failures")
+
+
+def judge(trades: DataFrame, as_of: Clock = None, versions: Versions = TRADE_VERSIONS) -> DataFrame:
+    """Stored trades with ``failure_reason`` (NULL when accepted) and ``failed_rules``: the stages of ``triage``
+    that follow reading. Trades stored without ``contract_failures`` are not held to the contract again."""
+    business = broken(business_rules(as_of))
+    contract = F.array().cast("array<string>")
+    if "contract_failures" in trades.columns:
+        stored = F.coalesce("contract_failures", F.lit(""))
+        contract = F.when(stored == "", contract).otherwise(F.split(stored, ","))
+    reason, failed = _first_failure(F.lit(True), known_version(F.col("schema_version"), versions), contract, business)
+    kept = [F.col(name) for name in trades.columns if name != "contract_failures"]
+    return trades.select(*kept, reason.alias("failure_reason"), failed.alias("failed_rules"))
+
+
+def _first_failure(readable: Column, known: Column, contract: Column, business: Column) -> tuple[Column, Column]:
+    """The reason of the first stage that fails, and its broken rules."""
+    reason = (
+        F.when(~readable, UNREADABLE)
+        .when(~known, UNKNOWN_VERSION)
+        .when(F.size(contract) > 0, CONTRACT_BROKEN)
+        .when(F.size(business) > 0, RULE_BROKEN)
+    )
+    failed = F.when(reason == CONTRACT_BROKEN, contract).when(reason == RULE_BROKEN, business)
+    return reason, F.coalesce(failed, F.array().cast("array<string>"))
+
+
 def triage(topic_rows: DataFrame, as_of: Clock = None, versions: Versions = TRADE_VERSIONS) -> DataFrame:
     """Topic rows with the decoded ``trade``, ``failure_reason`` (NULL when accepted) and ``failed_rules``.
 
@@ -134,17 +174,7 @@ def triage(topic_rows: DataFrame, as_of: Clock = None, versions: Versions = TRAD
         "_contract": broken(contract_rules(raw, parsed)),
         "_business": broken(business_rules(as_of, parent="trade")),
     })
-    reason = (
-        F.when(~F.col("readable"), UNREADABLE)
-        .when(~known, UNKNOWN_VERSION)
-        .when(F.size("_contract") > 0, CONTRACT_BROKEN)
-        .when(F.size("_business") > 0, RULE_BROKEN)
-    )
-    failed = (
-        F.when(reason == CONTRACT_BROKEN, F.col("_contract"))
-        .when(reason == RULE_BROKEN, F.col("_business"))
-        .otherwise(F.array().cast("array<string>"))
-    )
+    reason, failed = _first_failure(F.col("readable"), known, F.col("_contract"), F.col("_business"))
     outcome = F.struct("trade", "readable", reason.alias("failure_reason"), failed.alias("failed_rules"))
     return computed_once(judged, outcome, "_outcome").select(*topic_rows.columns, "_outcome.*")
 

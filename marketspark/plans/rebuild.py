@@ -6,14 +6,10 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketspark.operators.gold import aggregate_all
-from marketspark.operators.silver import (
-    deduplicate_by_trade_id,
-    normalize_fields,
-    split_by_version,
-    validate_business_rules,
-)
+from marketspark.operators.silver import deduplicate_by_trade_id, judge, normalize_fields
 from marketspark.plans.marts import build_daily_summary, marts_over
 from marketspark.schemas import GOLD
 from marketspark.session import working_path
@@ -24,9 +20,15 @@ from marketspark.sources.tables import Layout
 def rebuild_silver(
     spark: SparkSession, bronze: DataFrame, layout: Layout, as_of: datetime | str | None = None
 ) -> DataFrame:
-    known, _ = split_by_version(bronze)
-    trades = validate_business_rules(normalize_fields(known.drop("partition_date")), as_of)
-    StorageWriter(spark, layout.checkpoints).write_silver(deduplicate_by_trade_id(trades), layout.silver)
+    """Silver by the rules of the stream. Refused rows are stored with their reason, so none goes unseen.
+
+    Both tables take the place of what an earlier run left: a rebuild can be repeated.
+    """
+    judged = judge(normalize_fields(bronze.drop("partition_date")), as_of)
+    writer = StorageWriter(spark, layout.checkpoints, replace=True)
+    writer.write_dead_letters(judged.filter(F.col("failure_reason").isNotNull()), layout.rejects)
+    trades = judged.filter(F.col("failure_reason").isNull()).drop("failure_reason", "failed_rules")
+    writer.write_silver(deduplicate_by_trade_id(trades), layout.silver)
     return spark.read.parquet(layout.silver)
 
 
@@ -35,13 +37,14 @@ def rebuild_gold(
 ) -> dict[str, DataFrame]:
     """All gold datasets. Each window size scans silver once: one aggregate holds the measures of all
     datasets and is stored, and each dataset is a projection of it."""
-    writer = StorageWriter(spark, layout.checkpoints)
+    writer = StorageWriter(spark, layout.checkpoints, replace=True)
+    paths = []
     for duration in window_durations:
-        path = working_path(spark, "windows")
-        aggregate_all(silver, duration).write.parquet(path)
-        windows = spark.read.parquet(path)
-        for dataset in GOLD:
-            writer.write_gold(windows, dataset, layout.gold("{dataset}"))
+        paths.append(working_path(spark, "windows"))
+        aggregate_all(silver, duration).write.parquet(paths[-1])
+    windows = spark.read.parquet(*paths)
+    for dataset in GOLD:
+        writer.write_gold(windows, dataset, layout.gold("{dataset}"))
     return {dataset: spark.read.parquet(layout.gold(dataset)) for dataset in GOLD}
 
 
@@ -64,7 +67,10 @@ def rebuild(
     as_of: datetime | str | None = None,
     window_durations: Sequence[str] = ("1 minute",),
 ) -> dict[str, DataFrame]:
-    """Bronze to marts. Bronze itself is only read; ``layout`` must be another location than its own."""
+    """Bronze to marts. Bronze itself is only read; ``layout`` must be another location than its own, since
+    silver, gold and marts there are replaced."""
+    if bronze_path.rstrip("/") == layout.bronze:
+        raise ValueError(f"{layout.root} is the root of this bronze; rebuild into another one")
     silver = rebuild_silver(spark, spark.read.parquet(bronze_path), layout, as_of)
     gold = rebuild_gold(spark, silver, layout, window_durations)
     return {"silver": silver, **gold, **rebuild_marts(spark, gold, layout)}

@@ -17,7 +17,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
-    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -52,14 +51,32 @@ def build_session(
     app_name: str = "marketspark",
     master: str | None = None,
     options: dict[str, str] | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
-    """A session with the library defaults; ``options`` (for example the object store) win over them."""
+    """A session with the library defaults; ``options`` (for example the object store) win over them.
+
+    Shuffles are sized for ``total_cores``, or else for the cores that the session finds itself with.
+    """
+    chosen = {**SESSION_DEFAULTS, **(options or {})}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_DEFAULTS, **(options or {})}.items():
+    for key, value in chosen.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    for key, value in sized_for(total_cores or _cores(spark)).items():
+        if key not in chosen and spark.sparkContext.getConf().get(key) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
+def _cores(spark: SparkSession) -> int:
+    """Cores that the settings ask for, or those the scheduler has so far."""
+    conf = spark.sparkContext.getConf()
+    instances = conf.get("spark.executor.instances") or conf.get("spark.dynamicAllocation.maxExecutors")
+    if instances and not spark.sparkContext.master.startswith("local"):
+        return int(instances) * int(conf.get("spark.executor.cores", "1"))
+    return spark.sparkContext.defaultParallelism
 
 
 def use_utc(spark: SparkSession) -> SparkSession:

@@ -64,6 +64,8 @@ def compact(
     partition by their position in the input files, which a repeated task computes alike. ``verify``
     reads both tables once more and compares their rows. ``output_path`` must be new.
     """
+    if not _absent(spark, output_path):
+        raise ValueError(f"{output_path} exists; compact into a new path")
     rows = spark.read.parquet(input_path)
     kind = rows.schema[partition_column].dataType
     plan = plan_files(rows, target_file_size_mb, partition_column).orderBy(partition_column).collect()
@@ -103,6 +105,11 @@ def compact(
     }
 
 
+def _absent(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def file_counts(df: DataFrame, partition_column: str = "partition_date") -> DataFrame:
     """Rows and files per partition of a table read from Parquet."""
     return df.groupBy(partition_column).agg(

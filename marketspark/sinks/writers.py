@@ -5,6 +5,7 @@ A batch frame is appended at once; a streaming frame starts a query with a check
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 
@@ -20,8 +21,17 @@ ROWS_PER_FILE = 5_000_000
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
+_STATE_STORE_LOCK = threading.Lock()
+
+
+def _writers(spark: SparkSession) -> int:
+    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+
+
 class StorageWriter:
-    """``available_now`` makes the streaming sinks take what is there and stop, instead of running on.
+    """``replace`` lets a batch frame take the place of what its path holds; without it the rows are added.
+
+    ``available_now`` makes the streaming sinks take what is there and stop, instead of running on.
 
     ``state_store`` is the provider of the started queries; the default keeps state on disk, off the JVM
     heap, since deduplication holds every trade until the watermark passes it.
@@ -33,20 +43,23 @@ class StorageWriter:
         checkpoint_base: str,
         available_now: bool = False,
         state_store: str = ROCKSDB_STATE_STORE,
+        replace: bool = False,
     ) -> None:
         self.spark = spark
         self.checkpoint_base = checkpoint_base.rstrip("/")
         self.available_now = available_now
         self.state_store = state_store
+        self.replace = replace
 
     def write_bronze(self, df: DataFrame, path: str, trigger_seconds: int = 30) -> StreamingQuery | None:
         return self._append(with_partition_date(df), path, "bronze", ["partition_date"], trigger_seconds)
 
     def write_silver(
-        self, df: DataFrame, path: str, trigger_seconds: int = 30, writers_per_partition: int = 4
+        self, df: DataFrame, path: str, trigger_seconds: int = 30, writers_per_partition: int | None = None
     ) -> StreamingQuery | None:
-        """``writers_per_partition`` tasks share a date and symbol in each micro-batch: enough for a symbol
-        with much of the traffic, without one file per task for all the others."""
+        """``writers_per_partition`` tasks share a date and symbol in each micro-batch, a quarter of the
+        shuffle width unless given: a symbol with much of the traffic then has a share of the cluster."""
+        writers_per_partition = writers_per_partition or _writers(self.spark)
         enriched = enrich_with_processing_metadata(df)
         keys = ["partition_date", "symbol"]
         if df.isStreaming:
@@ -83,7 +96,8 @@ class StorageWriter:
         if not df.isStreaming:
             # Rebalancing brings a partition's rows together and splits the large ones by size.
             balanced = df.hint("rebalance", *partitions)
-            balanced.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partitions).mode("append").parquet(path)
+            balanced.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partitions).mode(
+                "overwrite" if self.replace else "append").parquet(path)
             return None
         trigger = {"availableNow": True} if self.available_now else {"processingTime": f"{trigger_seconds} seconds"}
         stream = (
@@ -96,10 +110,11 @@ class StorageWriter:
             .queryName(f"{name}-{uuid.uuid4().hex[:8]}")
             .trigger(**trigger)
         )
-        # A query copies the session's settings when it starts.
-        before = self.spark.conf.get(STATE_STORE)
-        self.spark.conf.set(STATE_STORE, self.state_store)
-        try:
-            return stream.start()
-        finally:
-            self.spark.conf.set(STATE_STORE, before)
+        # A query copies the session's settings when it starts; two threads must not mix theirs.
+        with _STATE_STORE_LOCK:
+            before = self.spark.conf.get(STATE_STORE)
+            self.spark.conf.set(STATE_STORE, self.state_store)
+            try:
+                return stream.start()
+            finally:
+                self.spark.conf.set(STATE_STORE, before)

@@ -32,6 +32,11 @@ class Layout:
     def dead_letters(self) -> str:
         return self._under("dead-letter", "trades")
 
+    @property
+    def rejects(self) -> str:
+        """Stored trades that a rebuild refused, with the reason."""
+        return self._under("rejects", "trades")
+
     def gold(self, dataset: str, window_duration: str | None = None) -> str:
         """A dataset, or the tree one streaming query keeps for one window size."""
         sizes = [window_duration.replace(" ", "_")] if window_duration else []

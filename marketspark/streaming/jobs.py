@@ -8,10 +8,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from marketspark.operators.codec import decode_events
 from marketspark.operators.gold import AGGREGATES, apply_watermark
 from marketspark.operators.silver import (
     accepted,
+    bronze_rows,
     dead_letters,
     deduplicate_stream,
     normalize_fields,
@@ -41,8 +41,8 @@ class TradeStreams:
         self.writer = StorageWriter(spark, layout.checkpoints, available_now)
 
     def bronze(self) -> StreamingQuery:
-        """Every readable message, as it came."""
-        return self.writer.write_bronze(decode_events(self.source), self.layout.bronze)
+        """Every readable message, as it came, with the contract rules its text breaks."""
+        return self.writer.write_bronze(bronze_rows(self.source), self.layout.bronze)
 
     def dead_letters(self) -> StreamingQuery:
         """Every message that some stage refuses, with its raw bytes."""

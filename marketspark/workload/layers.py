@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from marketspark.operators.codec import decode_events, parse_feed, read_feed, validate_contract
 from marketspark.operators.silver import (
+    accepted,
     anti_join_invalid,
+    bronze_rows,
     dead_letters,
     deduplicate_by_trade_id,
     duplicate_count,
@@ -270,6 +272,34 @@ def _read_silver(spark, sf_dir):
     return _dated(shown(read_silver(spark, root.silver).drop("processing_timestamp")))
 
 
+@query("rebuild_equals_stream", f"""
+    WITH {sql.TRIAGED} SELECT count(*) AS both, 0 AS stream_only, 0 AS rebuild_only
+    FROM triaged WHERE failure_reason IS NULL""")
+def _rebuild_equals_stream(spark, sf_dir):
+    # One set of messages, once through the stages of the stream and once through stored bronze.
+    messages = topic_rows(events(spark, sf_dir))
+    source, target = Layout(working_path(spark, "judged-from")), Layout(working_path(spark, "judged-to"))
+    StorageWriter(spark, source.checkpoints).write_bronze(bronze_rows(messages), source.bronze)
+    rebuilt = rebuild_silver(spark, read_bronze(spark, source.bronze), target, AS_OF)
+    names = TRADE.fieldNames()
+    streamed = deduplicate_by_trade_id(validate_business_rules(normalize_fields(accepted(triage(messages, AS_OF))), AS_OF))
+    sides = streamed.select(*names, F.lit(1).alias("side_bit")).unionByName(rebuilt.select(*names, F.lit(2).alias("side_bit")))
+    rows = sides.groupBy(*names).agg(F.bit_or("side_bit").alias("found"))
+    return rows.agg(
+        F.count_if(F.col("found") == 3).alias("both"), F.count_if(F.col("found") == 1).alias("stream_only"),
+        F.count_if(F.col("found") == 2).alias("rebuild_only"))
+
+
+@query("rebuild_rejects", f"""
+    WITH {sql.TRIAGED} SELECT failure_reason, count(*) AS refused FROM triaged
+    WHERE readable AND failure_reason IS NOT NULL GROUP BY 1""")
+def _rebuild_rejects(spark, sf_dir):
+    source, target = Layout(working_path(spark, "rejects-from")), Layout(working_path(spark, "rejects-to"))
+    StorageWriter(spark, source.checkpoints).write_bronze(bronze_rows(topic_rows(events(spark, sf_dir))), source.bronze)
+    rebuild_silver(spark, read_bronze(spark, source.bronze), target, AS_OF)
+    return spark.read.parquet(target.rejects).groupBy("failure_reason").agg(F.count(F.lit(1)).alias("refused"))
+
+
 @query("compact_bronze", f"""
     WITH {sql.TRADES}
     SELECT strftime(event_time, '%Y-%m-%d') AS partition_date, count(*) AS rows,

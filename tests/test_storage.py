@@ -139,6 +139,35 @@ def test_rebuild_writes_every_layer(spark, lake, tmp_path):
     assert (summary.trade_count, summary.buy_count, summary.sell_count) == (2, 1, 1)
     assert spark.read.parquet(target.mart("market_activity")).count() == 1
     assert read_bronze(spark, lake.bronze).count() == 5
+    refused = {r.trade_id: r.failure_reason for r in spark.read.parquet(target.rejects).collect()}
+    assert refused == {"3": "business_rule_violation", "4": "unknown_schema_version"}
+    # A second run takes the place of the first.
+    again = rebuild(spark, lake.bronze, target, AS_OF, ("1 minute", "1 hour"))
+    assert again["silver"].count() == 2 and again["ohlc"].count() == 3 and again["daily_summary"].count() == 1
+    assert spark.read.parquet(target.rejects).count() == 2
+    with pytest.raises(ValueError, match="another"):
+        rebuild(spark, lake.bronze, lake, AS_OF)
+
+
+def test_compaction_refuses_an_existing_target(spark, lake):
+    df = trades(spark, trade()).withColumn("partition_date", F.lit("2026-05-24"))
+    df.write.parquet(lake.bronze)
+    compact(spark, lake.bronze, lake.compacted)
+    with pytest.raises(ValueError, match="exists"):
+        compact(spark, lake.bronze, lake.compacted)
+    assert spark.read.parquet(lake.compacted).count() == 1
+
+
+def test_sessions_are_sized_for_their_cores(spark):
+    assert session.sized_for(100)["spark.sql.shuffle.partitions"] == "200"
+    assert session._cores(spark) == spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    session.build_session(total_cores=40)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "320"
+    if before is None:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    else:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", before)
 
 
 def test_shared_folder_follows_the_session(spark):
