@@ -98,6 +98,29 @@ def build_daily_summary(
     )
 
 
+def daily_summary_of(windows: DataFrame, base_window: str | None = BASE_WINDOW) -> DataFrame:
+    """The daily summary of windows that hold the measures of candles and volume profiles side by side.
+
+    One aggregate gives what ``build_daily_summary`` joins from two tables; a day without a priced window, or
+    a window without volume, shows in the measures themselves.
+    """
+    rows = windows.withColumn("trade_date", F.date_trunc("day", "window_start"))
+    if base_window:
+        rows = rows.filter(F.col("window_duration") == base_window)
+    ratio = F.try_divide(F.sum("buy_volume").cast("double"), F.sum("total_volume").cast("double"))
+    return rows.groupBy("symbol", "trade_date").agg(
+        F.min_by("open_price", "window_start").alias("open_price"),
+        F.max("high_price").alias("high_price"),
+        F.min("low_price").alias("low_price"),
+        F.max_by("close_price", "window_start").alias("close_price"),
+        F.sum("volume").alias("volume"),
+        F.sum("trade_count").alias("trade_count"),
+        *[F.sum(name).alias(name) for name in ("buy_volume", "sell_volume", "buy_count", "sell_count")],
+        F.avg("vwap").cast("double").alias("avg_vwap"),
+        ratio.alias("buy_ratio"),
+    )
+
+
 def symbol_performance(summary: DataFrame) -> DataFrame:
     spread = F.col("high_price") - F.col("low_price")
     relative = F.try_divide(spread.cast("double"), F.col("close_price").cast("double"))

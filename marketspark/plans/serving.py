@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.functions.durations import resolve_window
@@ -35,33 +35,23 @@ def _of_symbol(df: DataFrame, symbol: str) -> DataFrame:
     return df.filter(F.col("symbol") == symbol.upper())
 
 
-def _newest_days(trades: DataFrame, limit: int) -> DataFrame:
-    """Only the newest stored days that hold ``limit`` rows between them.
-
-    ``partition_date`` is the day of the event, so no older row can be among the latest. Counting rows
-    per partition reads no column; one row per day is summed and a single date comes back.
-    """
-    if "partition_date" not in trades.columns or trades.isStreaming:
-        return trades
-    counts = trades.groupBy("partition_date").agg(F.count(F.lit(1)).alias("n"))
-    newer = Window.orderBy(F.col("partition_date").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    needed = counts.withColumn("_newer", F.coalesce(F.sum("n").over(newer), F.lit(0))).filter(F.col("_newer") < limit)
-    oldest, undated = needed.agg(F.min("partition_date"), F.count_if(F.col("partition_date").isNull())).first()
-    if oldest is None or undated:
-        return trades
-    return trades.filter(F.col("partition_date") >= F.lit(oldest))
+def _latest(trades: DataFrame, limit: int, since: Instant) -> DataFrame:
+    if since and "partition_date" in trades.columns:
+        trades = trades.filter(F.col("partition_date") >= _instant(since).cast("date"))
+    return trades.orderBy(F.col("event_time").desc_nulls_last(), F.col("trade_id").asc_nulls_last()).limit(limit)
 
 
-def _latest(trades: DataFrame, limit: int) -> DataFrame:
-    return _newest_days(trades, limit).orderBy(F.col("event_time").desc_nulls_last(), F.col("trade_id").asc_nulls_last()).limit(limit)
+def latest_trades(trades: DataFrame, limit: int = TRADES_DEFAULT, since: Instant = None) -> DataFrame:
+    """The newest trades: each task keeps ``limit`` rows, and only those meet.
 
-
-def latest_trades(trades: DataFrame, limit: int = TRADES_DEFAULT) -> DataFrame:
-    return _latest(trades, _checked(limit))
+    Where partitions are known to be right (the partition check passes), ``since`` limits the days that are
+    read; the caller then vouches that ``limit`` trades lie in them. No job runs before the result is asked for.
+    """
+    return _latest(trades, _checked(limit), since)
 
 
-def latest_trades_of(trades: DataFrame, symbol: str, limit: int = TRADES_DEFAULT) -> DataFrame:
-    return _latest(_of_symbol(trades, symbol), _checked(limit))
+def latest_trades_of(trades: DataFrame, symbol: str, limit: int = TRADES_DEFAULT, since: Instant = None) -> DataFrame:
+    return _latest(_of_symbol(trades, symbol), _checked(limit), since)
 
 
 def _windows(df: DataFrame, symbol: str, window: str | None, start_time: Instant, end_time: Instant) -> DataFrame:

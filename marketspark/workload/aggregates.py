@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketspark.operators.gold import (
+    aggregate_all,
     aggregate_ohlc,
     aggregate_ohlc_multi,
     aggregate_trade_stats,
@@ -35,7 +36,7 @@ def profiles(spark, sf_dir):
 
 
 def summary(spark, sf_dir):
-    return marts.build_daily_summary(candles(spark, sf_dir), profiles(spark, sf_dir))
+    return marts.daily_summary_of(aggregate_all(valid(spark, sf_dir)))
 
 
 @query("ohlc_1m", f"WITH {sql.GOLD} SELECT {sql.OHLC} FROM gold")
@@ -128,6 +129,18 @@ def daily_summary(spark, sf_dir):
     return shown(summary(spark, sf_dir))
 
 
+_ONE_SIDED = sql.MARTS.replace(
+    "FROM gold GROUP BY 1, 2),\nmetrics", "FROM gold WHERE symbol <> 'CLICK' GROUP BY 1, 2),\nmetrics"
+).replace("FROM gold GROUP BY 1, 2),\nsummary", "FROM gold WHERE symbol <> 'VIEW' GROUP BY 1, 2),\nsummary")
+
+
+@query("daily_summary_joined", f"WITH {_ONE_SIDED} SELECT {sql.SUMMARY} FROM summary")
+def _daily_summary_joined(spark, sf_dir):
+    # Separate tables, each without one symbol: rows that only one side has must stay.
+    priced, traded = candles(spark, sf_dir).filter("symbol <> 'CLICK'"), profiles(spark, sf_dir).filter("symbol <> 'VIEW'")
+    return shown(marts.build_daily_summary(priced, traded))
+
+
 @query("symbol_performance", f"""
     WITH {sql.MARTS} SELECT symbol, trade_date, volume, trade_count, close_price,
            round(high_price - low_price, 6) AS price_range,
@@ -171,6 +184,16 @@ def _latest_trades(spark, sf_dir):
     return shown(serving.latest_trades(valid(spark, sf_dir)))
 
 
+@query("latest_trades_stored", f"""
+    WITH {sql.VALID} SELECT {sql.TRADE_COLUMNS} FROM valid ORDER BY event_time DESC, trade_id LIMIT 100""")
+def _latest_trades_stored(spark, sf_dir):
+    # A stored table in which every tenth trade lies in the partition of the first day.
+    path = working_path(spark, "misfiled")
+    first = F.when(F.col("trade_id").cast("bigint") % 10 == 0, "2024-01-01").otherwise(F.date_format("event_time", "yyyy-MM-dd"))
+    valid(spark, sf_dir).withColumn("partition_date", first).write.partitionBy("partition_date").parquet(path)
+    return shown(serving.latest_trades(spark.read.parquet(path)).drop("partition_date"))
+
+
 @query("latest_trades_symbol", f"""
     WITH {sql.VALID} SELECT {sql.TRADE_COLUMNS} FROM valid WHERE symbol = 'PURCHASE'
     ORDER BY event_time DESC, trade_id LIMIT 1000""")

@@ -47,14 +47,36 @@ def _dq_silver_trades(spark, sf_dir):
     return quality.SILVER_TRADES_SUITE.results(table).select(*_RESULT)
 
 
-@query("dq_gold_ohlc", f"WITH {sql.GOLD} " + " UNION ALL ".join([
-    *_exist_sql(["symbol", "open_price", "high_price", "low_price", "close_price"], "gold"),
-    _result_sql(5, quality.NOT_NULL, "symbol", "symbol IS NULL", "gold"),
-    _result_sql(6, quality.BETWEEN, "volume", "volume < 0", "gold"),
-    _result_sql(7, quality.BETWEEN, "trade_count", "trade_count < 0", "gold"),
+# Bad windows, keyed by the hour of their start, so that every check has rows to find.
+_BAD_WINDOWS = {
+    "volume": {3: "-volume - 1"},
+    "trade_count": {4: "-1"},
+    "symbol": {5: "NULL"},
+    "high_price": {6: "low_price - 1"},
+    "window_end": {7: "window_start"},
+    "open_price": {8: "high_price + 1"},
+    "close_price": {9: "low_price - 1"},
+}
+_WRONG = {
+    name: f"CASE {' '.join(f'WHEN hour(window_start) = {h} THEN {value}' for h, value in cases.items())} ELSE {name} END"
+    for name, cases in _BAD_WINDOWS.items()
+}
+_BAD_GOLD = f"{sql.GOLD}, bad AS (SELECT * REPLACE ({', '.join(f'{value} AS {name}' for name, value in _WRONG.items())}) FROM gold)"
+
+
+def _bad_candles(spark, sf_dir):
+    table = candles(spark, sf_dir)
+    return table.select(*[F.expr(_WRONG[name]).alias(name) if name in _WRONG else name for name in table.columns])
+
+
+@query("dq_gold_ohlc", f"WITH {_BAD_GOLD} " + " UNION ALL ".join([
+    *_exist_sql(["symbol", "open_price", "high_price", "low_price", "close_price"], "bad"),
+    _result_sql(5, quality.NOT_NULL, "symbol", "symbol IS NULL", "bad"),
+    _result_sql(6, quality.BETWEEN, "volume", "volume < 0", "bad"),
+    _result_sql(7, quality.BETWEEN, "trade_count", "trade_count < 0", "bad"),
 ]))
 def _dq_gold_ohlc(spark, sf_dir):
-    return quality.GOLD_OHLC_SUITE.results(candles(spark, sf_dir)).select(*_RESULT)
+    return quality.GOLD_OHLC_SUITE.results(_bad_candles(spark, sf_dir)).select(*_RESULT)
 
 
 @query("dq_row_count", f"""
@@ -80,7 +102,19 @@ _ACTIVITY = """activity AS (SELECT trade_date, sum(volume) AS total_volume FROM
 _COMBINATION = quality.UNIQUE_COMBINATION
 
 
-@query("dq_marts", f"WITH {sql.MARTS}, {_ACTIVITY} " + " UNION ALL ".join([
+# Bad rows of the daily summary, keyed by the day; rows of the seventh stand twice.
+_BAD_SUMMARY = {
+    "volume": "CASE day(trade_date) WHEN 3 THEN NULL WHEN 4 THEN -volume - 1 ELSE volume END",
+    "trade_count": "CASE day(trade_date) WHEN 5 THEN NULL WHEN 6 THEN -1 ELSE trade_count END",
+    "symbol": "CASE day(trade_date) WHEN 8 THEN NULL ELSE symbol END",
+    "trade_date": "CASE WHEN day(trade_date) = 9 THEN NULL ELSE trade_date END",
+}
+_BAD_MARTS = sql.MARTS.replace("\nsummary AS (", "\ngood AS (") + f""", summary AS (
+  SELECT * REPLACE ({', '.join(f'{value} AS {name}' for name, value in _BAD_SUMMARY.items())}) FROM good
+  UNION ALL SELECT * FROM good WHERE day(trade_date) = 7)"""
+
+
+@query("dq_marts", f"WITH {_BAD_MARTS}, {_ACTIVITY} " + " UNION ALL ".join([
     _mart_sql("daily_summary", 0, quality.NOT_NULL, "symbol", _count_if("symbol IS NULL"), "summary"),
     _mart_sql("daily_summary", 1, quality.NOT_NULL, "trade_date", _count_if("trade_date IS NULL"), "summary"),
     _mart_sql("daily_summary", 2, quality.NOT_NULL, "volume", _count_if("volume IS NULL"), "summary"),
@@ -101,7 +135,9 @@ _COMBINATION = quality.UNIQUE_COMBINATION
 def _dq_marts(spark, sf_dir):
     # As in production, the tests read stored marts rather than computing each mart once per test.
     path = working_path(spark, "dq-summary")
-    summary(spark, sf_dir).write.parquet(path)
+    good = summary(spark, sf_dir)
+    changed = good.select(*[F.expr(_BAD_SUMMARY[name]).alias(name) if name in _BAD_SUMMARY else name for name in good.columns])
+    changed.unionByName(good.filter("day(trade_date) = 7")).write.parquet(path)
     stored = spark.read.parquet(path)
     results = quality.mart_tests({"daily_summary": stored, **marts.marts_over(stored)})
     return results.select("mart", "position", "expectation", "column", "success", "unexpected_count")
@@ -111,7 +147,7 @@ def _dq_marts(spark, sf_dir):
     WITH {sql.MARTS}
     SELECT 0 AS position, 'symbol,trade_date' AS "column", count(*) = 0 AS success, count(*) AS unexpected_count
     FROM summary s WHERE NOT EXISTS (
-      SELECT 1 FROM gold g WHERE g.symbol = s.symbol AND date_trunc('day', g.window_start) = s.trade_date)
+      SELECT 1 FROM gold g WHERE g.symbol = s.symbol AND g.symbol <> 'CLICK' AND date_trunc('day', g.window_start) = s.trade_date)
     UNION ALL
     SELECT 1, 'symbol,window_start', count(*) = 0, count(*) FROM (
       SELECT DISTINCT symbol, window_start FROM gold g WHERE NOT EXISTS (
@@ -120,7 +156,7 @@ def _dq_relationships(spark, sf_dir):
     staged = marts.stg_ohlc(candles(spark, sf_dir))
     bought = profiles(spark, sf_dir).filter("buy_count > 0")
     keys = ["symbol", "trade_date"]
-    first = quality.Suite("summary", ((quality.RELATIONSHIP, {"columns": keys, "parent": staged}),)).results(summary(spark, sf_dir))
+    first = quality.Suite("summary", ((quality.RELATIONSHIP, {"columns": keys, "parent": staged.filter("symbol <> 'CLICK'")}),)).results(summary(spark, sf_dir))
     second = quality.Suite("windows", (
         ("expect_nothing", {}),
         (quality.RELATIONSHIP, {"columns": ["symbol", "window_start"], "parent": bought}),
@@ -128,13 +164,13 @@ def _dq_relationships(spark, sf_dir):
     return first.unionByName(second).select("position", "column", "success", "unexpected_count")
 
 
-@query("dq_ohlc_invariants", f"WITH {sql.GOLD} " + " UNION ALL ".join(
+@query("dq_ohlc_invariants", f"WITH {_BAD_GOLD} " + " UNION ALL ".join(
     f"SELECT {i} AS position, '{condition}' AS \"column\", {_count_if(f'NOT ({condition})')} = 0 AS success, "
-    f"{_count_if(f'NOT ({condition})')} AS unexpected_count FROM gold"
+    f"{_count_if(f'NOT ({condition})')} AS unexpected_count FROM bad"
     for i, condition in enumerate(quality.OHLC_INVARIANTS)
 ))
 def _dq_ohlc_invariants(spark, sf_dir):
-    results = quality.OHLC_INVARIANTS_SUITE.results(candles(spark, sf_dir))
+    results = quality.OHLC_INVARIANTS_SUITE.results(_bad_candles(spark, sf_dir))
     return results.select("position", "column", "success", "unexpected_count")
 
 

@@ -303,10 +303,11 @@ def _rebuild_rejects(spark, sf_dir):
 @query("compact_bronze", f"""
     WITH {sql.TRADES}
     SELECT strftime(event_time, '%Y-%m-%d') AS partition_date, count(*) AS rows,
-           greatest(1, count(*) * 500 // (128 * 1024 * 1024)) AS files
+           greatest(1, CAST(floor(count(*) * 500 / (0.05 * 1024 * 1024)) AS BIGINT)) AS files
     FROM trades GROUP BY 1""")
 def _compact_bronze(spark, sf_dir):
     root = Layout(working_path(spark, "compaction-run"))
     StorageWriter(spark, root.checkpoints).write_bronze(trades(events(spark, sf_dir)), root.bronze)
-    compact(spark, root.bronze, root.compacted)
+    # A target of some kilobytes, so that a day has several files to fill.
+    compact(spark, root.bronze, root.compacted, target_file_size_mb=0.05)
     return _dated(file_counts(spark.read.parquet(root.compacted)))

@@ -5,9 +5,10 @@ from decimal import Decimal
 from statistics import mean, stdev
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import START, rows_of, trade, trades
-from marketspark.operators.gold import aggregate_ohlc, aggregate_volume_profile
+from marketspark.operators.gold import aggregate_all, aggregate_ohlc, aggregate_volume_profile
 from marketspark.operators.silver import with_partition_date
 from marketspark.plans import marts, serving
 
@@ -101,7 +102,7 @@ def test_latest_trades(spark):
     assert "TakeOrderedAndProject" in plan
 
 
-def test_latest_trades_read_only_the_newest_days(spark, tmp_path):
+def test_latest_trades_of_stored_days(spark, tmp_path):
     path = str(tmp_path / "silver")
     df = trades(spark, *[trade(f"{d}-{i}", seconds=86400 * d + i) for d in range(5) for i in range(4)])
     with_partition_date(df).write.partitionBy("partition_date", "symbol").parquet(path)
@@ -109,10 +110,27 @@ def test_latest_trades_read_only_the_newest_days(spark, tmp_path):
     for limit in (1, 4, 5, 20, 100):
         latest = serving.latest_trades_of(stored, "btcusdt", limit)
         assert [r.trade_id for r in latest.collect()] == [r.trade_id for r in serving.latest_trades(df, limit).collect()]
-    plan = serving.latest_trades(stored, 5)._jdf.queryExecution().executedPlan().toString()
+    plan = serving.latest_trades(stored, 5, since="2026-05-27")._jdf.queryExecution().executedPlan().toString()
     assert "2026-05-27" in plan[plan.index("PartitionFilters"): plan.index("PushedFilters")]
 
 
+def test_latest_trades_find_misfiled_rows(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    df = with_partition_date(trades(spark, *[trade(str(d), seconds=86400 * d) for d in range(5)]))
+    misfiled = df.withColumn("partition_date", F.when(F.col("trade_id") == "4", "2026-05-24").otherwise(F.col("partition_date")))
+    misfiled.write.partitionBy("partition_date").parquet(path)
+    assert [r.trade_id for r in serving.latest_trades(spark.read.parquet(path), 2).collect()] == ["4", "3"]
+
+
+def test_daily_summary_of_windows_reads_trades_once(spark):
+    df = trades(spark, *[trade(str(i), seconds=40 * i, side="BUY" if i % 3 else "SELL") for i in range(9)])
+    joined = marts.build_daily_summary(aggregate_ohlc(df), aggregate_volume_profile(df))
+    single = marts.daily_summary_of(aggregate_all(df))
+    assert single.columns == joined.columns and single.collect() == joined.collect()
+    count = [p._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for p in (single, joined)]
+    assert count[0] < count[1]
+
+
 def test_ranges_filter_by_label_and_time(spark):
     ohlc, volume = gold(spark)
     stored = ohlc.unionByName(ohlc.selectExpr("* EXCEPT (window_duration)", "'1 hour' AS window_duration"))
