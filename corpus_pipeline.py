@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import broadcast_if_small, stored, table
+from marketspark.llm.common import broadcast_if_small, stored, table, with_package
 from marketspark.llm.decontamination import decontaminate
 from marketspark.llm.near_duplicates import near_duplicates
 from marketspark.llm.packing import pack
@@ -19,6 +19,7 @@ from marketspark.llm.secrets import redact, scan_secrets
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+@with_package
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failed lines go from every text, and documents that the rules reject go altogether."""
     judged = judge_documents(docs.select(*COLUMNS)).filter("verdict.kept")
@@ -26,6 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.select("doc_id", text.alias("text"), "lang", "source", F.char_length(text).cast("long").alias("n_chars"))
 
 
+@with_package
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near duplicates stays; of rows that repeat an id and text, one."""
     found = stored(near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
@@ -38,6 +40,7 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
 
 
+@with_package
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
     found = decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
@@ -46,12 +49,14 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return docs.select(*COLUMNS).join(broadcast_if_small(leaks), same, "left_anti")
 
 
+@with_package
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live-looking secrets are taken out of texts; values that several owners hold stay."""
     docs = docs.select(*COLUMNS)
     return redact(docs, scan_secrets(docs)).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@with_package
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens, with their ids."""
     return pack(docs, vocabulary("word_bpe_49k.json"))
@@ -69,6 +74,7 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@with_package
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``, each written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +19,30 @@ from marketspark.session import working_path
 BATCH_CHARS = 1 << 20
 
 
+@functools.cache
+def _ship(application: str) -> None:
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="marketspark-")) / "marketspark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    SparkContext.getOrCreate().addPyFile(str(archive))
+
+
+def with_package(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Sends this package to the executors with the first call of an application.
+
+    Tasks import it by name; a session that was not started with it on their path would fail.
+    """
+
+    @functools.wraps(function)
+    def call(spark: SparkSession, *arguments: object) -> DataFrame:
+        _ship(spark.sparkContext.applicationId)
+        return function(spark, *arguments)
+
+    return call
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

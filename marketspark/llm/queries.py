@@ -10,7 +10,7 @@ from marketspark.llm import (
     archives, decontamination, near_duplicates, packing, quality_rules, repeated_strings, secrets, sharding,
     surrogates, token_counts,
 )
-from marketspark.llm.common import table
+from marketspark.llm.common import table, with_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +28,7 @@ def vocabulary(name: str) -> str:
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
-        QUERIES[name] = function
+        QUERIES[name] = with_package(function)
         if sql is not None:
             ORACLES[name] = sql
         return function
