@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketspark.llm import (
-    archives, decontamination, near_duplicates, packing, quality_rules, repeated_strings, secrets, sharding,
+    archives, decontamination, near_duplicates, oracles, packing, quality_rules, repeated_strings, secrets, sharding,
     surrogates, token_counts,
 )
 from marketspark.llm.common import table, with_package
@@ -42,7 +42,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "verdict.*").drop("cleaned")
 
 
-@query("op2_radix_suffix_dedup")
+@query("op2_radix_suffix_dedup", oracles.REPEATED_STRINGS)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_strings.repeated_strings(table(spark, sf_dir, "documents"), threshold=50)
 
@@ -53,13 +53,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
-@query("op4_positional_index")
+@query("op4_positional_index", oracles.DECONTAMINATION)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("item_ids")
+    return found.drop("item_ids", "n_near_items", "version")
 
 
-@query("op5_bbit_minhash")
+@query("op5_bbit_minhash", oracles.NEAR_DUPLICATES)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
@@ -79,7 +79,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
 
 
-@query("op9_gzip_normaliser")
+@query("op9_gzip_normaliser", oracles.ARCHIVES)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archive_pages(table(spark, sf_dir, "pages"))
 
