@@ -61,24 +61,25 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, d.doc_id = compon
 FROM documents d JOIN least USING (doc_id) LEFT JOIN size s ON d.doc_id = s.doc_id"""
 
 REPEATED_STRINGS = """
-WITH doc AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS raw, strlen(coalesce(text, '')) AS n FROM documents),
+WITH doc AS MATERIALIZED (SELECT doc_id, any_value(encode(coalesce(text, ''))) AS raw, any_value(strlen(coalesce(text, ''))) AS n
+  FROM documents GROUP BY doc_id),
 string AS MATERIALIZED (
-  SELECT doc_id, pos, md5_number(substr(raw, 2 * pos + 1, 100)) AS id
+  SELECT doc_id, pos, md5(raw[pos + 1:pos + 50]) AS id
   FROM (SELECT *, unnest(range(n - 49)) AS pos FROM doc WHERE n >= 50)),
-owner AS (SELECT id, min(doc_id) AS first_id FROM string GROUP BY id),
+owner AS MATERIALIZED (SELECT id, min(doc_id) AS first_id FROM string GROUP BY id),
 start AS MATERIALIZED (SELECT doc_id, pos FROM string JOIN owner USING (id) WHERE doc_id > first_id),
-run AS (
+run AS MATERIALIZED (
   SELECT doc_id, pos, pos > 50 + lag(pos) OVER own OR lag(pos) OVER own IS NULL AS fresh FROM start
   WINDOW own AS (PARTITION BY doc_id ORDER BY pos)),
-numbered AS (SELECT doc_id, pos, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM run),
+numbered AS MATERIALIZED (SELECT doc_id, pos, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM run),
 span AS MATERIALIZED (SELECT doc_id, run, min(pos) AS low, max(pos) + 50 AS high FROM numbered GROUP BY 1, 2),
-gap AS (
+gap AS MATERIALIZED (
   SELECT doc_id, coalesce(lag(high) OVER own, 0) AS low, low AS high FROM span WINDOW own AS (PARTITION BY doc_id ORDER BY low)
   UNION ALL SELECT doc_id, max(high), NULL FROM span GROUP BY doc_id),
-kept AS (
-  SELECT g.doc_id, string_agg(substr(raw, 2 * low + 1, 2 * (coalesce(high, n) - low)), '' ORDER BY low) AS raw
+kept AS MATERIALIZED (
+  SELECT g.doc_id, string_agg(hex(raw[low + 1:coalesce(high, n)]), '' ORDER BY low) AS raw
   FROM gap g JOIN doc d ON g.doc_id = d.doc_id GROUP BY g.doc_id),
-lost AS (SELECT doc_id, CAST(sum(high - low) AS BIGINT) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+lost AS MATERIALIZED (SELECT doc_id, CAST(sum(high - low) AS BIGINT) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
 SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(coalesce(k.raw, d.raw))) AS kept_sha256
+       sha256(coalesce(unhex(k.raw), d.raw)) AS kept_sha256
 FROM doc d LEFT JOIN lost l ON d.doc_id = l.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id"""
