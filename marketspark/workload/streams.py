@@ -1,8 +1,13 @@
-"""Streaming queries: the events table as one micro-batch, the sink read back."""
+"""Streaming queries: the events table as micro-batches, the sink read back.
+
+Candles and deduplication take the table in files of rising time, one for each micro-batch, so that state is
+kept, restored and evicted on the way; the others take it as one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marketspark.operators.codec import decode_events
 from marketspark.operators.gold import AGGREGATES, apply_watermark
@@ -18,10 +23,12 @@ from marketspark.workload.registry import query
 from marketspark.workload.tables import AS_OF, event_stream, events, repeated_trades, shown, topic_rows, trades
 
 
-def _finish(running) -> None:
+def _finish(running, batches: int = 1) -> None:
     running.awaitTermination()
     if running.exception() is not None:
         raise running.exception()
+    if running.lastProgress["batchId"] + 1 < batches:
+        raise RuntimeError(f"the replay took {running.lastProgress['batchId'] + 1} micro-batches, not {batches}")
 
 
 @query("stream_replay", f"WITH {sql.TRIAGED} SELECT {sql.TRADE_COLUMNS} FROM triaged WHERE readable")
@@ -34,17 +41,33 @@ def _stream_replay(spark, sf_dir):
     return shown(spark.read.parquet(root.bronze).select(*TRADE.fieldNames()))
 
 
-def _valid_stream(spark, sf_dir) -> DataFrame:
-    return apply_watermark(validate_business_rules(trades(event_stream(spark, sf_dir)), AS_OF))
+SLICES = 5
+
+
+def _event_slices(spark, sf_dir) -> DataFrame:
+    """The events as a stream of ``SLICES`` files in order of time, one file to a micro-batch."""
+    table = events(spark, sf_dir)
+    path = working_path(spark, "event-slices")
+    first, last = table.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    width = (last - first) // SLICES + 1
+    nth = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - first) / width)
+    for n in range(SLICES):  # one write after the other: a replay takes files by the time they were written
+        table.filter(nth == n).coalesce(1).write.mode("append").parquet(path)
+    return replay_files(spark, path, table.schema, max_files_per_trigger=1)
+
+
+def _valid_stream(spark, sf_dir, source=event_stream) -> DataFrame:
+    return apply_watermark(validate_business_rules(trades(source(spark, sf_dir)), AS_OF))
 
 
-def _gold_stream(spark, sf_dir, dataset: str) -> DataFrame:
+def _gold_stream(spark, sf_dir, dataset: str, source=event_stream) -> DataFrame:
     root = Layout(working_path(spark, f"stream-{dataset}"))
-    windows = AGGREGATES[dataset](_valid_stream(spark, sf_dir))
+    windows = AGGREGATES[dataset](_valid_stream(spark, sf_dir, source))
     # State of one row per symbol and window: the session's own state store will do.
     store = spark.conf.get(STATE_STORE)
     writer = StorageWriter(spark, root.checkpoints, available_now=True, state_store=store)
-    _finish(writer.write_gold(windows, dataset, root.gold("{dataset}")))
+    running = writer.write_gold(windows, dataset, root.gold("{dataset}"))
+    _finish(running, SLICES if source is _event_slices else 1)
     return spark.read.parquet(root.gold(dataset)).select(*GOLD[dataset].fieldNames())
 
 
@@ -53,7 +76,7 @@ _CLOSED = sql.closed_windows("valid")
 
 @query("stream_ohlc", f"WITH {sql.GOLD} SELECT {sql.OHLC} FROM gold WHERE {_CLOSED}")
 def _stream_ohlc(spark, sf_dir):
-    return shown(_gold_stream(spark, sf_dir, "ohlc"))
+    return shown(_gold_stream(spark, sf_dir, "ohlc", _event_slices))
 
 
 @query("stream_volume_profile", f"WITH {sql.GOLD} SELECT {sql.PROFILE} FROM gold WHERE {_CLOSED}")
@@ -73,7 +96,7 @@ def _stream_trade_stats(spark, sf_dir):
       AND event_time <= (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 60 SECOND FROM repeated)""")
 def _stream_dedup(spark, sf_dir):
     root = Layout(working_path(spark, "stream-dedup"))
-    source = apply_watermark(repeated_trades(event_stream(spark, sf_dir)))
+    source = apply_watermark(repeated_trades(_event_slices(spark, sf_dir)))
     writer = StorageWriter(spark, root.checkpoints, available_now=True)
-    _finish(writer.write_silver(deduplicate_stream(source), root.silver))
+    _finish(writer.write_silver(deduplicate_stream(source), root.silver), SLICES)
     return shown(spark.read.parquet(root.silver).select(*TRADE.fieldNames()))
