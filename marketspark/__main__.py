@@ -12,7 +12,7 @@ from marketspark.schemas import GOLD, RAW_TOPIC
 from marketspark.session import build_session, object_store_options
 from marketspark.sinks.compaction import TARGET_FILE_SIZE_MB, compact
 from marketspark.sources.tables import Layout
-from marketspark.sources.topics import reading_options, topic_stream
+from marketspark.sources.topics import publishing_options, reading_options, topic_stream
 from marketspark.streaming.jobs import TradeStreams
 
 
@@ -28,6 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--watermark-seconds", type=int, default=60)
     stream.add_argument("--gold", nargs="*", choices=sorted(GOLD), default=[])
     stream.add_argument("--windows", nargs="+", default=["1 minute"])
+    stream.add_argument("--publish-dead-letters", action="store_true", help="to their topic instead of a table")
 
     again = commands.add_parser("rebuild", help="silver, gold and marts from stored bronze, into a new root")
     again.add_argument("--bronze", required=True)
@@ -56,7 +57,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session(f"marketspark-{args.command}", options=options)
     if args.command == "stream":
         source = topic_stream(spark, reading_options(args.bootstrap_servers, args.topic))
-        TradeStreams(spark, source, Layout(args.root), args.watermark_seconds).run(args.gold, args.windows)
+        publishing = publishing_options(args.bootstrap_servers) if args.publish_dead_letters else None
+        TradeStreams(spark, source, Layout(args.root), args.watermark_seconds, publishing=publishing).run(args.gold, args.windows)
     elif args.command == "rebuild":
         rebuild(spark, args.bronze, Layout(args.root), window_durations=args.windows)
     elif args.command == "compact":

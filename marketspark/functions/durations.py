@@ -7,15 +7,27 @@ import re
 # The labels the serving queries accept.
 WINDOW_LABELS = {"1m": "1 minute", "5m": "5 minutes", "15m": "15 minutes", "1h": "1 hour"}
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+_UNIT_MICROS = {
+    "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000,
+    "day": 86_400_000_000, "week": 604_800_000_000,
+}
+_PART = rf"(\d+)\s+({'|'.join(_UNIT_MICROS)})s?"
 
 
-def duration_seconds(duration: str) -> int:
-    """Length of a window such as ``"5 minutes"``."""
-    match = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day|week)s?\s*", duration.lower())
-    if not match or int(match[1]) == 0:
+def duration_micros(duration: str) -> int:
+    """Length of a window such as ``"5 minutes"``, ``"1 hour 30 minutes"`` or ``"500 milliseconds"``."""
+    text = duration.lower().strip()
+    if not re.fullmatch(rf"{_PART}(\s+{_PART})*", text):
         raise ValueError(f"not a window duration: {duration!r}")
-    return int(match[1]) * _UNIT_SECONDS[match[2]]
+    length = sum(int(n) * _UNIT_MICROS[unit] for n, unit in re.findall(_PART, text))
+    if length == 0:
+        raise ValueError(f"not a window duration: {duration!r}")
+    return length
+
+
+def duration_seconds(duration: str) -> int | float:
+    micros = duration_micros(duration)
+    return micros / 1_000_000 if micros % 1_000_000 else micros // 1_000_000
 
 
 def duration_text(seconds: int) -> str:

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.functions.durations import WINDOW_LABELS, duration_seconds, duration_text
+from marketspark.functions.durations import WINDOW_LABELS, duration_micros, duration_seconds, duration_text
 
 WATERMARK_KEY = "spark.watermarkDelayMs"
 
@@ -77,7 +77,7 @@ def _by_window(
     window = F.col("_window")
     keys = [window] if df.isStreaming else [window["start"].alias("_start")]
     start = window["start"] if df.isStreaming else F.col("_start")
-    length = F.expr(f"INTERVAL {duration_seconds(window_duration)} SECONDS")
+    length = F.expr(f"INTERVAL {duration_micros(window_duration)} MICROSECONDS")
     return (
         apply_watermark(df, watermark_seconds)
         .withColumn("_window", F.window("event_time", window_duration))
@@ -129,12 +129,12 @@ def aggregate_all(df: DataFrame, window_duration: str = "1 minute", order_by: Se
 
 def roll_up_ohlc(candles: DataFrame, window_durations: Sequence[str]) -> DataFrame:
     """Larger candles from small ones (batch). Each size must be a multiple of the candles' own size."""
-    seconds = F.array(*[F.lit(duration_seconds(d)) for d in window_durations])
+    micros = F.array(*[F.lit(duration_micros(d)) for d in window_durations])
     labels = F.array(*[F.lit(d) for d in window_durations])
-    sized = candles.withColumn("_size", F.explode(F.arrays_zip(seconds.alias("s"), labels.alias("d"))))
+    sized = candles.withColumn("_size", F.explode(F.arrays_zip(micros.alias("us"), labels.alias("d"))))
     # Windows are aligned to the epoch, as those of F.window are.
     start = F.unix_micros("window_start")
-    length = F.col("_size.s").cast("bigint") * 1_000_000
+    length = F.col("_size.us").cast("bigint")
     return (
         sized.withColumn("_start", start - F.pmod(start, length))
         .groupBy("symbol", F.col("_size.d").alias("window_duration"), "_start", length.alias("_length"))
@@ -170,5 +170,5 @@ def aggregate_ohlc_multi(
 
     Trades are reduced to candles of the greatest common divisor of the sizes, and these to each size.
     """
-    base = math.gcd(*[duration_seconds(d) for d in window_durations])
-    return roll_up_ohlc(aggregate_ohlc(df, duration_text(base), order_by=order_by), window_durations)
+    base = math.gcd(*[duration_micros(d) for d in window_durations])
+    return roll_up_ohlc(aggregate_ohlc(df, f"{base} microseconds", order_by=order_by), window_durations)

@@ -14,9 +14,9 @@ BASE_WINDOW = "1 minute"
 
 
 def _stage(gold: DataFrame, dataset: str) -> DataFrame:
-    columns = [*GOLD[dataset].fieldNames(), "partition_date"]
-    present = [name for name in columns if name in gold.columns]
-    return gold.select(*present, F.date_trunc("day", "window_start").alias("trade_date"))
+    """The dataset's contract columns, all of which must be there, and the partition where it is stored."""
+    stored = [name for name in ("partition_date",) if name in gold.columns]
+    return gold.select(*GOLD[dataset].fieldNames(), *stored, F.date_trunc("day", "window_start").alias("trade_date"))
 
 
 def stg_ohlc(gold_ohlc: DataFrame) -> DataFrame:

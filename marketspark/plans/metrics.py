@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketspark.functions.durations import duration_seconds
-from marketspark.operators.silver import UNREADABLE
+from marketspark.functions.durations import duration_micros
+from marketspark.operators.silver import UNREADABLE, deduplicate_by_trade_id
 from marketspark.session import working_path
 
 # Thresholds, and how long a breach has to last.
 LAG_WARNING_SECONDS = 120
 LAG_CRITICAL_SECONDS = 300
-DEAD_LETTERS_PER_INTERVAL = 10
-WARNING_FOR_INTERVALS = 2
-CRITICAL_FOR_INTERVALS = 5
-DEAD_LETTERS_FOR_INTERVALS = 5
+DEAD_LETTERS_PER_MINUTE = 10
+WARNING_FOR_MINUTES = 2
+CRITICAL_FOR_MINUTES = 5
+DEAD_LETTERS_FOR_MINUTES = 5
 
 
 def _interval(column: str, interval: str) -> Column:
@@ -82,13 +84,30 @@ def ingested(trades: DataFrame, interval: str = "1 minute") -> DataFrame:
     )
 
 
+def duplicates_dropped(trades: DataFrame, interval: str = "1 minute") -> DataFrame:
+    """Rows per ingest interval that deduplication drops: all rows less the kept ones."""
+    rows = trades.select("ingest_time", F.lit(1).alias("n"))
+    kept = deduplicate_by_trade_id(trades).select("ingest_time", F.lit(-1).alias("n"))
+    counts = rows.unionByName(kept).groupBy(_interval("ingest_time", interval)).agg(F.sum("n").alias("duplicates"))
+    return counts.filter("duplicates > 0").select(_interval_start(), "duplicates")
+
+
 def breaches(
     lag: DataFrame,
     dead_letter_counts: DataFrame,
     interval: str = "1 minute",
-    dead_letter_limit: int = DEAD_LETTERS_PER_INTERVAL,
+    dead_letters_per_minute: float = DEAD_LETTERS_PER_MINUTE,
 ) -> DataFrame:
-    """Intervals in which a threshold rule fires: over its limit in each of the last intervals it asks for."""
+    """Intervals in which a threshold rule fires: over its limit in each interval of the time it asks for.
+
+    Rules are stated by the minute. The interval decides how many intervals that time has, one at least, and
+    how many dead letters an interval may hold.
+    """
+    minutes = duration_micros(interval) / 60_000_000
+
+    def lasting(time: int) -> int:
+        return max(1, math.ceil(time / minutes))
+
     lag_values = lag.select("window_start", F.col("topic").alias("label"), F.col("lag_seconds").alias("value"))
     letters = dead_letter_counts.groupBy("window_start").agg(F.sum("events").cast("double").alias("value"))
     letter_values = letters.select("window_start", F.lit("all").alias("label"), "value")
@@ -102,10 +121,11 @@ def breaches(
         )
 
     lag_rules = F.array(
-        rule("ConsumerLagHigh", "warning", LAG_WARNING_SECONDS, WARNING_FOR_INTERVALS),
-        rule("ConsumerLagCritical", "critical", LAG_CRITICAL_SECONDS, CRITICAL_FOR_INTERVALS),
+        rule("ConsumerLagHigh", "warning", LAG_WARNING_SECONDS, lasting(WARNING_FOR_MINUTES)),
+        rule("ConsumerLagCritical", "critical", LAG_CRITICAL_SECONDS, lasting(CRITICAL_FOR_MINUTES)),
     )
-    letter_rules = F.array(rule("DeadLetterRateHigh", "warning", dead_letter_limit, DEAD_LETTERS_FOR_INTERVALS))
+    letter_rules = F.array(
+        rule("DeadLetterRateHigh", "warning", dead_letters_per_minute * minutes, lasting(DEAD_LETTERS_FOR_MINUTES)))
     over = (
         lag_values.select("*", F.inline(lag_rules))
         .unionByName(letter_values.select("*", F.inline(letter_rules)))
@@ -114,7 +134,7 @@ def breaches(
     # Each breach counts for its own interval and the following ones that look back on it; a rule fires in
     # a breaching interval for which all the intervals it looks back on count.
     back = F.col("_back")
-    later = F.unix_micros("window_start") + back.cast("bigint") * duration_seconds(interval) * 1_000_000
+    later = F.unix_micros("window_start") + back.cast("bigint") * duration_micros(interval)
     return (
         over.withColumn("_back", F.explode(F.sequence(F.lit(0), F.col("intervals") - 1)))
         .groupBy(F.timestamp_micros(later).alias("window_start"), "alert", "severity", "label", "intervals")

@@ -12,14 +12,18 @@ from marketspark.operators.gold import AGGREGATES, apply_watermark
 from marketspark.operators.silver import (
     accepted,
     bronze_rows,
+    dead_letter_messages,
     dead_letters,
     deduplicate_stream,
     normalize_fields,
     triage,
     validate_business_rules,
 )
+from marketspark.schemas import DEAD_LETTER_TOPIC
 from marketspark.sinks.writers import StorageWriter
 from marketspark.sources.tables import Layout, scan_union_by_name
+from marketspark.sources.topics import publish
+
 
 class TradeStreams:
     """Queries over one source of topic rows. Each has its own checkpoint and resumes from it."""
@@ -32,12 +36,14 @@ class TradeStreams:
         watermark_seconds: int = 60,
         available_now: bool = False,
         as_of: datetime | str | Column | None = None,
+        publishing: dict[str, str] | None = None,
     ) -> None:
         self.spark = spark
         self.source = source
         self.layout = layout
         self.watermark_seconds = watermark_seconds
         self.as_of = as_of
+        self.publishing = publishing
         self.writer = StorageWriter(spark, layout.checkpoints, available_now)
 
     def bronze(self) -> StreamingQuery:
@@ -45,7 +51,12 @@ class TradeStreams:
         return self.writer.write_bronze(bronze_rows(self.source), self.layout.bronze)
 
     def dead_letters(self) -> StreamingQuery:
-        """Every message that some stage refuses, with its raw bytes."""
+        """Every message that some stage refuses, with its raw bytes: to the dead-letter topic where
+        ``publishing`` gives its options, else to a table."""
+        if self.publishing:
+            letters = dead_letters(triage(self.source, self.as_of))
+            return publish(
+                dead_letter_messages(letters, DEAD_LETTER_TOPIC), self.publishing, f"{self.layout.checkpoints}/dead-letter-topic")
         return self.writer.write_dead_letters(dead_letters(triage(self.source, self.as_of)), self.layout.dead_letters)
 
     def valid_trades(self) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketspark.operators import quality
-from marketspark.operators.silver import triage, with_partition_date
+from marketspark.operators.silver import dead_letter_messages, dead_letters, triage, with_partition_date
 from marketspark.plans import marts, metrics
+from marketspark.schemas import DEAD_LETTER_TOPIC
 from marketspark.session import working_path
 from marketspark.workload import sql
 from marketspark.workload.aggregates import candles, profiles, summary
@@ -249,9 +250,9 @@ def _metric_ingest(spark, sf_dir):
 @query("metric_breaches", f"""
     WITH {sql.TRIAGED}, {_LAG}, {_LETTERS}, readings AS (
       SELECT window_start, 'ConsumerLagHigh' AS alert, 'warning' AS severity, topic AS label, lag_seconds AS value,
-             120.0 AS lim, 2 AS intervals FROM lag
-      UNION ALL SELECT window_start, 'ConsumerLagCritical', 'critical', topic, lag_seconds, 300.0, 5 FROM lag
-      UNION ALL SELECT window_start, 'DeadLetterRateHigh', 'warning', 'all', CAST(sum(events) AS DOUBLE), 1.0, 5
+             120.0 AS lim, 1 AS intervals FROM lag
+      UNION ALL SELECT window_start, 'ConsumerLagCritical', 'critical', topic, lag_seconds, 300.0, 1 FROM lag
+      UNION ALL SELECT window_start, 'DeadLetterRateHigh', 'warning', 'all', CAST(sum(events) AS DOUBLE), 1.0, 1
                 FROM letters GROUP BY window_start),
     over_limit AS (SELECT * FROM readings WHERE value > lim)
     SELECT a.window_start, a.alert, a.severity, a.label, round(a.value, 6) AS value
@@ -264,11 +265,35 @@ def _metric_breaches(spark, sf_dir):
     _activity(spark, sf_dir).write.parquet(path)
     activity = spark.read.parquet(path)
     fired = metrics.breaches(
-        metrics.consumer_lag(activity), metrics.dead_letters_by_reason(activity), "1 hour", dead_letter_limit=1
+        metrics.consumer_lag(activity), metrics.dead_letters_by_reason(activity), "1 hour", dead_letters_per_minute=1 / 60
     )
     return shown(fired, value=6)
 
 
+@query("metric_duplicates", f"""
+    WITH {REPEATED}, ranked AS (
+      SELECT ingest_time, row_number() OVER (PARTITION BY trade_id ORDER BY ingest_time DESC) AS n FROM repeated)
+    SELECT {_bucket('ingest_time')} AS window_start, count(*) AS duplicates FROM ranked WHERE n > 1 GROUP BY 1""")
+def _metric_duplicates(spark, sf_dir):
+    return shown(metrics.duplicates_dropped(repeated_trades(events(spark, sf_dir)), "1 hour"))
+
+
+@query("dead_letter_messages", f"""
+    WITH {sql.TRIAGED}
+    SELECT trade_id, CASE WHEN slot = 1 THEN ' ' || lower(upper(ltrim(symbol))) ELSE symbol END AS message_key,
+           'dead-letter.trades' AS topic, failure_reason, CASE failure_reason WHEN 'schema_validation_error' THEN contract
+           WHEN 'business_rule_violation' THEN 'event_time_not_in_future' ELSE '' END AS failed_rules
+    FROM triaged WHERE failure_reason IN ('schema_validation_error', 'business_rule_violation')""")
+def _dead_letter_messages(spark, sf_dir):
+    letters = dead_letters(triage(topic_rows(events(spark, sf_dir)), AS_OF)).filter(
+        F.col("failure_reason").isin("schema_validation_error", "business_rule_violation"))
+    messages = dead_letter_messages(letters, DEAD_LETTER_TOPIC)
+    return messages.select(
+        F.get_json_object(F.col("value").cast("string"), "$.payload.tradeId").alias("trade_id"),
+        F.col("key").cast("string").alias("message_key"), "topic",
+        *[F.col("headers")[i]["value"].cast("string").alias(name) for i, name in enumerate(("failure_reason", "failed_rules"))])
+
+
 @query("late_events", f"""
     WITH {sql.DELAYED}, batched AS (SELECT *, epoch_us(ingest_time) // 30000000 AS batch FROM delayed),
     newest AS (SELECT batch, max(event_time) AS newest FROM batched GROUP BY batch),

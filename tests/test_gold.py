@@ -162,9 +162,19 @@ def test_gold_contract_types(spark):
 def test_durations():
     assert duration_seconds("15 minutes") == 900
     assert duration_seconds("1 day") == 86400
+    assert duration_seconds("1 hour 30 minutes") == 5400 and duration_seconds("500 milliseconds") == 0.5
     for bad in ("", "0 minutes", "1 month", "minute"):
         with pytest.raises(ValueError):
             duration_seconds(bad)
     assert resolve_window("1h") == resolve_window("1 hour") == "1 hour"
     with pytest.raises(ValueError):
         resolve_window("2m")
+
+
+@pytest.mark.parametrize(("duration", "starts"), [("500 milliseconds", [0, 0.5, 90]), ("1 hour 30 minutes", [-3600])])
+def test_compound_and_short_windows(spark, duration, starts):
+    rows = [trade("1"), trade("2", seconds=0.6), trade("3", seconds=90.2)]
+    found = aggregate_ohlc(trades(spark, *rows), duration).orderBy("window_start").collect()
+    assert [(r.window_start - START).total_seconds() for r in found] == starts
+    length = {(r.window_end - r.window_start).total_seconds() for r in found}
+    assert length == {duration_seconds(duration)}
