@@ -106,7 +106,7 @@ def signatures(sets: list[np.ndarray], count: int) -> np.ndarray:
 
 
 def packed_bits(minima: np.ndarray) -> list[bytes]:
-    """The low ``KEPT_BITS`` bits of each minimum, from its well mixed upper half, packed into bytes."""
+    """``KEPT_BITS`` bits of each minimum, above its 40 lowest, packed into bytes."""
     low = (minima >> np.uint64(40)) & np.uint64((1 << KEPT_BITS) - 1)
     bits = np.stack([(low >> np.uint64(b)) & np.uint64(1) for b in range(KEPT_BITS)], axis=-1).astype(np.uint8)
     return [row.tobytes() for row in np.packbits(bits.reshape(len(minima), -1), axis=1)]
@@ -246,7 +246,8 @@ def components(links: DataFrame) -> DataFrame:
     labels = stored(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("component", F.col("node")), "labels")
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a")).toDF("at", "near")
-        nearest = both.groupBy("at").agg(F.min("near").alias("near")).select("at", F.least("at", "near").alias("to"))
+        # Stored, so that the join below has plain tables on both sides and a hub of many nodes can be split.
+        nearest = stored(both.groupBy("at").agg(F.min("near").alias("near")).select("at", F.least("at", "near").alias("to")), "nearest")
         up = nearest.select(F.col("at").alias("to"), F.col("to").alias("further"))
         jumps = stored(nearest.join(up, "to", "left").select("at", F.coalesce("further", "to").alias("to")), "jumps")
         ends = jumps.toDF("a", "to_a"), jumps.toDF("b", "to_b")
