@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import picked, stored, text_slices
+from marketspark.llm.common import mixed, picked, stored, text_slices
 
 ROWS_PER_BAND = 5
 KEPT_BITS = 2
@@ -46,13 +46,6 @@ def multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return odd, rng.integers(0, 1 << 63, count, dtype=np.uint64)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit over the others."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """A 64-bit hash of each word; each spelling is hashed once."""
     coded = pa.array(words, pa.binary()).dictionary_encode()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import picked, shuffle_width
+from marketspark.llm.common import mixed, picked, shuffle_width
 
 CHUNK_BYTES = 4 << 20
 DIGIT_BYTES = 5
@@ -31,12 +31,6 @@ NONE, WHOLE, ASKED = 0, 1, 2
 FACTORS = [np.uint64(2 * x + 1) for x in (0x3C6EF372FE94F82A, 0x510E527FADE682D1, 0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)]
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
 def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     """``pick`` over each run of ``width`` values, by doubling."""
     done = 1
