@@ -49,7 +49,8 @@ def rarest_terms(phrases: DataFrame, docs: DataFrame) -> DataFrame:
     """``phrases`` that can occur at all, with their rarest word over the whole corpus and its offset in them."""
     used = phrases.select("phrase_id", F.posexplode("phrase").alias("offset", "term"))
     terms = broadcast_if_small(stored(used.select("term").distinct(), "benchmark-terms"))
-    counted = tokens_of(docs).select("term").join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counted = stored(
+        tokens_of(docs).select("term").join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
     ranked = used.join(counted, "term", "left").groupBy("phrase_id").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset")).alias("rarest"))
     return phrases.join(ranked.filter("rarest.n > 0"), "phrase_id").select("*", "rarest.term", "rarest.offset").drop("rarest")
