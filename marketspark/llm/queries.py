@@ -14,6 +14,8 @@ from marketspark.llm.common import table, with_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# A value is a copied example if more owners than this hold it in texts that are no copies of one another.
+FEW_OWNERS = 4
 SURROGATE_KEY = "change this key for each corpus"
 
 QUERIES: dict[str, Query] = {}
@@ -66,7 +68,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_secret_ownership")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"), max_owners=FEW_OWNERS, by_text=True)
 
 
 @query("op7_keyed_surrogates")

@@ -2,6 +2,8 @@
 
 Every document is scanned once for candidates. Their hashes are counted by distinct repositories and owners
 over the whole corpus; a value of one owner looks live, a value of more than ``max_owners`` owners is copied.
+With ``by_text`` copies of one text are one witness, whoever holds them, so that crawl copies of a live key
+do not make it an example.
 Named formats add spans in any case; a quoted opaque string is a span only if its value looks live.
 """
 
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 
 from marketspark.llm.common import broadcast_if_small, stored, text_slices
+from marketspark.llm.near_duplicates import near_duplicates
 
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
@@ -110,9 +113,30 @@ def ownership(candidates: DataFrame) -> DataFrame:
         F.sum("n").alias("n_rows"), F.sum("repositories").alias("n_repositories"), F.count(F.lit(1)).alias("n_owners"))
 
 
+def witnesses(places: DataFrame, groups: DataFrame) -> DataFrame:
+    """For each value its distinct repositories and owners, of which each group of near copies of a text has one.
+
+    ``places`` has value, repository, owner and version of each candidate; ``groups`` the group of each version.
+    """
+    each = places.groupBy("value", "repository", "owner", "version").agg(F.count(F.lit(1)).alias("n"))
+    first = each.join(groups, "version").groupBy("value", "text_group").agg(
+        F.sum("n").alias("n"), F.min(F.struct("owner", "repository")).alias("witness"))
+    held = first.groupBy("value", "witness.owner", "witness.repository").agg(F.sum("n").alias("n"))
+    return held.groupBy("value").agg(
+        F.sum("n").alias("n_rows"), F.count_distinct("repository").alias("n_repositories"), F.count_distinct("owner").alias("n_owners"))
+
+
+def text_groups(source: DataFrame, versions: DataFrame) -> DataFrame:
+    """(version, text_group) of ``versions``: near copies (five words, 0.8) are one group, and so is a text by itself."""
+    texts = source.join(broadcast_if_small(stored(versions, "shared-versions")), "version", "left_semi")
+    once = stored(texts.groupBy("version").agg(F.min("text").alias("text")), "shared-texts")
+    return near_duplicates(once, id_column="version").select(
+        F.col("doc_id").alias("version"), F.col("component_id").alias("text_group"))
+
+
 def scan_secrets(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", repository_column: str = "source",
-    owner: str | None = None, max_owners: int = 1,
+    owner: str | None = None, max_owners: int = 1, by_text: bool = False,
 ) -> DataFrame:
     """One row for each row of ``docs``: base counts and digest, version, ``spans``, ``verdicts``, n_live, n_copied.
 
@@ -122,8 +146,12 @@ def scan_secrets(
     no repository count as one owner of their own name, ''. Repeated rows each give a row and are one
     repository's. Extra columns are left out; an empty table gives an empty result.
 
-    The text is read once and never shuffled. A value that very many rows hold is one row a task after the
-    first aggregate, and only the values of several owners are joined back.
+    With ``by_text`` a value is copied only if it has more than ``max_owners`` repositories and as many owners,
+    counted over groups of near copies: each group is one witness, the first of its owners.
+
+    The text is read once and never shuffled; with ``by_text`` those that hold a value of several owners are
+    read again and grouped. A value that very many rows hold is one row a task after the first aggregate, and
+    only the values of several owners are joined back.
     """
     repository = F.coalesce(F.col(repository_column).cast("string"), F.lit(""))
     source = docs.select(
@@ -133,7 +161,14 @@ def scan_secrets(
     )
     rows = stored(scanned(source).withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
     exploded = rows.select("row", "repository", "owner", F.inline("candidates"))
-    copied = ownership(exploded).filter(F.col("n_owners") > max_owners).select("value", F.lit(True).alias("copied"))
+    many = ownership(exploded).filter(F.col("n_owners") > max_owners)
+    if by_text:
+        shared = broadcast_if_small(stored(many.select("value"), "shared-values"))
+        places = stored(rows.select("repository", "owner", "version", F.inline("candidates")).join(shared, "value").select(
+            "value", "repository", "owner", "version"), "shared-places")
+        seen = witnesses(places, text_groups(source, places.select("version").distinct()))
+        many = stored(seen.filter((F.col("n_owners") > max_owners) & (F.col("n_repositories") > max_owners)), "copied-values")
+    copied = many.select("value", F.lit(True).alias("copied"))
     names = F.array(*[F.lit(k) for k in KINDS])
     span = F.concat_ws(":", F.element_at(names, F.col("s.kind") + 1), F.col("s.at"), F.col("s.till"))
     settled = (

@@ -73,3 +73,30 @@ def test_edges(spark, documents):
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
     long = documents(("filler text " * 100_000) + f"token={H40}")
     assert secrets.scan_secrets(long).first().n_hex == 1
+
+
+def test_copies_of_one_text_are_one_witness(spark):
+    def prose(k):
+        return " ".join(f"w{k}x{j}" for j in range(40))
+
+    live, pasted, example = H40, H40[::-1], "ab12cd34" * 5
+    rows = [(i, f'{prose(0)} token = "{live}" or "{OPAQUE}"', f"src{i}") for i in range(9)]
+    rows += [(9, f'{prose(0)} more token = "{live}" or "{OPAQUE}"', "src9")]
+    rows += [(10 + i, f'{prose(20 + i)} secret = "{pasted}"', f"src{i}") for i in range(2)]
+    rows += [(20 + i, f'{prose(30 + i)} token = "{example}"', f"org{i}/r") for i in range(5)]
+    rows += [(30 + i, f'{prose(40 + i)} token = "{example[::-1]}"', f"org/r{i}") for i in range(5)]
+    docs = corpus(spark, rows)
+    found = {r.doc_id: r for r in secrets.scan_secrets(docs, max_owners=4, by_text=True).collect()}
+    assert len(found) == len(rows)
+    assert all(found[i].verdicts == "live,live,live" and "opaque" in found[i].spans for i in range(10))
+    assert all(found[i].verdicts == "live,live" for i in [10, 11, *range(30, 35)])
+    assert all(found[i].verdicts == "copied,copied" for i in range(20, 25))
+    assert secrets.scan_secrets(docs.limit(0), max_owners=4, by_text=True).count() == 0
+
+
+def test_op6_judges_crawl_copies_of_a_live_key(spark, tmp_path):
+    from marketspark.llm.queries import QUERIES
+
+    rows = [(i, f'{"some words " * 20} token = "{H40}"', f"src{i}") for i in range(9)]
+    corpus(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.verdicts for r in QUERIES["op6_secret_ownership"](spark, str(tmp_path)).collect()} == {"live,live"}
