@@ -24,7 +24,9 @@ TITLES = {
     "n": ("Dr", "Prof"),
 }
 NO_WORD_BEFORE = r"(?<![\p{L}\p{N}])"
-NAME_WORD = r"\p{Lu}[\p{L}'’-]{1,40}+"
+# A mark belongs to the word if a letter follows, but for a possessive 's.
+NAME_WORD = r"\p{Lu}(?:\p{L}|['’-](?=\p{L})(?![sS](?!\p{L}))){1,40}+"
+MENTION = NO_WORD_BEFORE + NAME_WORD
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}(?<![.-])",
@@ -190,17 +192,45 @@ def rendered(kind: Column, surface: Column, replacement: Column) -> Column:
             .when(upper, F.upper(replacement)).otherwise(replacement))
 
 
+def is_named(entity: Column) -> Column:
+    """Whether an entity is a title and a name."""
+    return kind_of(entity) == "name"
+
+
+def untitled(found: DataFrame, named: DataFrame) -> DataFrame:
+    """(row, said, n_said): the parts of texts between entities with the words of the same row's names replaced.
+
+    ``named`` has row, kind, identity and replacement of name words. Only rows that have a mention are here.
+    """
+    own = F.flatten(F.transform(F.filter("entities", is_named), lambda e: F.slice(F.split(F.lower(e), " "), 2, 2)))
+    words = F.flatten(F.transform("parts", lambda p: F.regexp_extract_all(p, F.lit(MENTION), F.lit(0))))
+    titles = [t.lower() for all_of in TITLES.values() for t in all_of]
+    known = named.filter(~F.col("identity").isin(titles)).groupBy("row", F.col("identity").alias("word")).agg(
+        F.min(F.struct("kind", "replacement")).alias("known"))
+    tokens = found.filter(F.arrays_overlap(own, F.transform(words, F.lower))).select("row", F.posexplode("parts").alias("part", "text")).select(
+        "row", "part", F.posexplode(F.arrays_zip(
+            F.split("text", MENTION, -1).alias("gap"), F.regexp_extract_all("text", F.lit(MENTION), F.lit(0)).alias("surface"))).alias("nth", "token"))
+    tokens = tokens.select("row", "part", "nth", "token.*").withColumn("word", F.lower("surface"))
+    new = F.coalesce(rendered(F.col("known.kind"), F.col("surface"), F.col("known.replacement")), F.lit(""))
+    by_part = tokens.join(known, ["row", "word"], "left").groupBy("row", "part").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("nth", F.concat("gap", new).alias("new")))), lambda t: t["new"]), "").alias("new"),
+        F.count("known").alias("n"))
+    return by_part.groupBy("row").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("part", "new"))), lambda p: p["new"]).alias("said"), F.sum("n").alias("n_said"))
+
+
 def replace_personal_data(
     docs: DataFrame, key: str, id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, text with surrogates, n_entities, kinds (sorted, distinct).
 
+    ``n_entities`` counts what the patterns find, and each further mention of a name's word without a title.
     Texts without entity come back as they are, a null as null. Rows without id and repeated rows are treated
     like others; equal entities get equal surrogates in all of them. Extra columns are left out; an empty
     table gives an empty result.
 
     Texts are never shuffled as a whole: only those with entities are stored, and those are joined with their
-    own replacements. An entity that very many rows hold is one row a task in the dictionary; when it is
+    own replacements; those that repeat a name without its title are joined word by word. An entity that very many rows hold is one row a task in the dictionary; when it is
     joined back, Spark splits it.
     """
     texts = picked(docs, id_column, text_column)
@@ -216,7 +246,8 @@ def replace_personal_data(
         .select("row", "at", "whole", "nth", "piece.*"),
         "pieces")
     known = dictionary(pieces, key)
-    replaced = pieces.join(known, ["kind", "identity"], "left").select(
+    joined = pieces.join(known, ["kind", "identity"], "left")
+    replaced = joined.select(
         "row", "at", "whole", "nth", rendered(F.col("kind"), F.col("surface"), F.col("replacement")).alias("new"))
     entities = replaced.groupBy("row", "at").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("nth", "new"))), lambda p: p["new"]), " ").alias("new"),
@@ -224,7 +255,9 @@ def replace_personal_data(
     by_row = entities.groupBy("row").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("at", "new"))), lambda p: p["new"]).alias("new"),
         F.sort_array(F.collect_set("whole")).alias("kinds"))
-    text = F.array_join(F.zip_with("parts", "new", lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
-    changed = found.select("row", "doc_id", "parts").join(by_row, "row").select(
-        "doc_id", text.alias("text"), F.size("new").cast("long").alias("n_entities"), F.array_join("kinds", ",").alias("kinds"))
+    said = untitled(found, joined.filter(F.col("kind").isin("given", "family")).select("row", "kind", "identity", "replacement"))
+    parts = F.coalesce("said", "parts")
+    text = F.array_join(F.zip_with(parts, "new", lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
+    changed = found.select("row", "doc_id", "parts").join(by_row, "row").join(said, "row", "left").select(
+        "doc_id", text.alias("text"), (F.size("new") + F.coalesce("n_said", F.lit(0))).cast("long").alias("n_entities"), F.array_join("kinds", ",").alias("kinds"))
     return texts.filter(~has).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds")).unionByName(changed)

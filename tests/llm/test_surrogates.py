@@ -83,3 +83,18 @@ def test_edges(documents):
     found = sg.replace_personal_data(docs, "k").collect()
     assert len(found) == 2 and len({r.text for r in found}) == 1
     assert sg.replace_personal_data(docs.limit(0), "k").count() == 0
+
+
+def test_untitled_mentions_of_a_names_words_follow(documents):
+    found = replaced(documents, "Dr Anna Weiss spoke. Weiss then left; Anna agreed, as WEISS’s notes, Weissbier and Dr Nolan say", "Anna and Weiss",
+                     "Weiss? Mr Smith's case: Smith's. Call 555-123-4567, Smith-Jones or Smith", "Anna Weiss met Dr Weiss and asked the Dr", "Mr 'x'", None)
+    text = found[0].text
+    _, given, family, *_ = text.split()
+    assert text.startswith(f"Dr {given} {family} spoke. {family} then left; {given} agreed, as {family.upper()}’s notes, Weissbier and Dr ")
+    assert "Weiss " not in text and "Anna" not in text and found[0].n_entities == 5 and found[0].kinds == "name"
+    assert found[1].text == "Anna and Weiss" and found[1].n_entities == 0
+    smith = found[2].text.split()[2].removesuffix("'s")
+    assert re.fullmatch(rf"Weiss\? Mr {smith}'s case: {smith}'s\. Call \d{{3}}-\d{{3}}-\d{{4}}, Smith-Jones or {smith}", found[2].text)
+    assert found[3].text == f"Anna {family} met Dr {family} and asked the Dr"
+    many = "Mr Abel Smith. " + "Smith and Other words " * 20_000
+    assert "Smith" not in replaced(documents, many)[0].text
