@@ -98,3 +98,15 @@ def test_untitled_mentions_of_a_names_words_follow(documents):
     assert found[3].text == f"Anna {family} met Dr {family} and asked the Dr"
     many = "Mr Abel Smith. " + "Smith and Other words " * 20_000
     assert "Smith" not in replaced(documents, many)[0].text
+
+
+def test_one_phone_number_is_replaced_alike_with_and_without_separators(documents):
+    spellings = ["+14155552671", "+1 415 555 2671", "+1415 555 2671", "+1 (415) 555-2671"]
+    others = ["+493012345678", "+49 30 1234 5678", "+351213456789", "+351 213 456 789", "415 555 2671"]
+    found = replaced(documents, *[f"call {p} now" for p in spellings + others])
+    new = [re.sub("[^+0-9]", "", found[i].text) for i in range(len(found))]
+    assert len(set(new[:4])) == 1 and new[0] != spellings[0] and new[0].startswith("+1")
+    assert new[4] == new[5] and new[4].startswith("+49") and new[6] == new[7] and new[6].startswith("+351")
+    assert new[8] != new[0][2:]
+    old = [re.sub("[0-9]", "0", p) for p in spellings + others]
+    assert [re.sub("[0-9]", "0", found[i].text)[5:-4] for i in range(len(found))] == old
