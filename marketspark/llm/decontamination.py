@@ -87,11 +87,11 @@ def decontaminate(
     item_column: str = "item_id", item_text_column: str = "text",
 ) -> DataFrame:
     """One row for each row of ``docs``: n_words, n_hit, n_items, items_sha256, contaminated, n_near_items,
-    version, item_ids; ``version`` (xxhash64 of the text) tells apart texts that share an id.
+    version, item_ids, near_item_ids; ``version`` (xxhash64 of the text) tells apart texts that share an id.
 
     A word is hit if it lies in an exact occurrence of a phrase of ``window`` words of an item (of all its
-    words, if it has fewer). ``n_near_items`` counts items of which only the words of a phrase stand close
-    together. A null text has no words; items without id, text or words match nothing. Repeated rows give
+    words, if it has fewer). ``near_item_ids``, counted in ``n_near_items``, are the items of which only the words of
+    a phrase stand close together. A null text has no words; items without id, text or words match nothing. Repeated rows give
     equal rows. Extra columns are left out; an empty table on either side gives no hit.
 
     Documents are read three times and not shuffled; what is shuffled are counts of benchmark words and hits.
@@ -111,12 +111,13 @@ def decontaminate(
     covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))
     hits = by_text.select(
         F.col("doc_id").alias("hit_id"), F.col("version").alias("hit_version"), F.size(F.array_distinct(covered)).alias("n_hit"),
-        F.array_sort("items").alias("item_ids"), F.size(F.array_except("near", "items")).alias("n_near_items"))
+        F.array_sort("items").alias("item_ids"), F.array_sort(F.array_except("near", "items")).alias("near_item_ids"))
     base = texts.select("doc_id", F.xxhash64("text").alias("version"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("version") == F.col("hit_version"))
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
+    near_ids = F.coalesce("near_item_ids", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return base.join(hits, same, "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
-        F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"), "version", ids.alias("item_ids"))
+        F.size(near_ids).cast("long").alias("n_near_items"), "version", ids.alias("item_ids"), near_ids.alias("near_item_ids"))

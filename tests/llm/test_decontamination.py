@@ -74,3 +74,28 @@ def test_without_broadcast_and_edges(spark, documents, monkeypatch):
     assert {r.n_hit for r in dc.decontaminate(docs, benchmark(spark, [])).collect()} == {0}
     long = documents("filler " * 200_000 + item)
     assert dc.decontaminate(long, benchmark(spark, [(3, item)])).first().n_hit == 11
+
+
+def test_near_items_equal_brute_force(spark, documents):
+    rng = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(12)]
+    items = [(i, " ".join(rng.sample(vocabulary, rng.choice([2, 3, 4, 6])))) for i in range(12)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 25))) for _ in range(50)]
+    counts = {v: sum(words(t).count(v) for t in texts) for v in vocabulary}
+    wanted = {}
+    for i, text in enumerate(texts):
+        own, exact, near = words(text), set(), set()
+        for item, t in items:
+            w = words(t)
+            for phrase in [w[s:s + 4] for s in range(max(1, len(w) - 3))]:
+                rarest = min(phrase, key=lambda v: (counts[v], v))
+                for p in [p for p, v in enumerate(own) if v == rarest]:
+                    begin = p - phrase.index(rarest)
+                    if begin >= 0 and own[begin:begin + len(phrase)] == phrase:
+                        exact.add(str(item))
+                    elif set(phrase) <= set(own[max(0, p - 3):p + 4]):
+                        near.add(str(item))
+        wanted[i] = sorted(near - exact)
+    found = {r.doc_id: r for r in dc.decontaminate(documents(*texts), benchmark(spark, items), window=4).collect()}
+    assert {i: r.near_item_ids for i, r in found.items()} == wanted and any(wanted.values())
+    assert all(r.n_near_items == len(r.near_item_ids) for r in found.values())
