@@ -34,9 +34,12 @@ NAMED = {
     "chat": (("xox",), re.compile(r"xox[abprs]-[A-Za-z0-9-]{20,}")),
     "signed": (("eyJ",), re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     "pem": (("PRIVATE KEY",), re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----")),
-    "login": (("://",), re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]{1,64}:([^\s:/@]{6,64})@")),
+    "login": (("://",), re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]*+:([^\s:/@]{6,}+(?=@)|[^\s/@\"'`<>]{6,}+)@")),
 }
-OPAQUE = re.compile(r"[\"'`]([A-Za-z0-9+/_=-]{20,128})[\"'`]")
+# With marks that paths and sentences also have, a stretch of twenty characters must have none of them.
+OPAQUE = re.compile(r"[\"'`]([A-Za-z0-9+/_=.~!@#$%^&*-]{20,}+)[\"'`]")
+PLAIN = re.compile(r"[A-Za-z0-9+/_=-]+")
+STRETCH = re.compile(r"[A-Za-z0-9+_=-]{20}")
 OPAQUE_BITS = 3.5
 KINDS = ("assign", "access", "hex", *NAMED, "opaque")
 
@@ -68,6 +71,7 @@ def more_spans(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[i
     for m in OPAQUE.finditer(text):
         value = m[1]
         if (re.search("[0-9]", value) and re.search("[A-Za-z]", value) and bits(value) >= OPAQUE_BITS
+                and (PLAIN.fullmatch(value) or STRETCH.search(value))
                 and not any(s < m.end(1) and m.start(1) < e for s, e in taken)):
             spans.append((m.start(1), len(KINDS) - 1, m.end(1), value))
     return spans

@@ -100,3 +100,30 @@ def test_op6_judges_crawl_copies_of_a_live_key(spark, tmp_path):
     rows = [(i, f'{"some words " * 20} token = "{H40}"', f"src{i}") for i in range(9)]
     corpus(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
     assert {r.verdicts for r in QUERIES["op6_secret_ownership"](spark, str(tmp_path)).collect()} == {"live,live"}
+
+
+def test_long_values_are_found_whole():
+    def made(n, marks=""):
+        return "".join((hashlib.sha256(str(i).encode()).hexdigest()[:7].replace("a", "Q") + "_" + marks) for i in range(n))[:n]
+
+    for n in (20, 128, 129, 150, 5000):
+        for value in (made(n), made(n - 1).replace("_", "x") + "~", "1//" + made(n)[:60].replace("_", "Z") + "." + made(n)):
+            base = secrets.base_spans(text := f'see "{value}" there')
+            spans = [*base, *secrets.more_spans(text, base)]
+            assert (5, len(secrets.KINDS) - 1, 5 + len(value), value) in spans or len(value) < 21 and "~" in value, (n, value)
+        for user in ("me", "u" * n, ""):
+            text = f"postgres://{user}:{made(n)}:x@host/db"
+            [(start, kind, end, value)] = [s for s in secrets.more_spans(text, []) if secrets.KINDS[s[1]] == "login"]
+            assert (start, end, value) == (0, text.index("@") + 1, made(n) + ":x")
+    for text in ('"it.is.only.words.in.a.row.2"', '"docs/some1/path/of/a/File2.java.txt"', "http://host:8080/path/a@b", '"http://host:8080","mail":"a@b"'):
+        assert not secrets.more_spans(text, [])
+    for text in ('"' + "aB3" * 300_000, '"aB3' * 100_000, "x://" + "u" * 300_000 + ":", "x://u:" * 50_000, "x://u:" + "p" * 300_000):
+        secrets.more_spans(text, [])
+
+
+def test_a_long_live_value_is_redacted(spark):
+    value = "".join(hashlib.sha256(str(i).encode()).hexdigest()[:9] + "G" for i in range(15))
+    docs = corpus(spark, [(1, f'so "{value}" it is', "a/b"), (2, f"at https://{'u' * 70}:{value}@host", "c/d")])
+    texts = {r.doc_id: r.text for i in (1, 2) for one in [docs.filter(f"doc_id = {i}")]
+             for r in secrets.redact(one, secrets.scan_secrets(one)).collect()}
+    assert texts == {1: f'so "{secrets.REMOVED}" it is', 2: f"at {secrets.REMOVED}host"}
