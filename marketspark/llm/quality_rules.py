@@ -26,7 +26,13 @@ STOCK_PHRASES = (
     "enable javascript", "javascript is disabled", "sign up for our newsletter", "click here", "read more",
     "log in", "lorem ipsum", "back to top", "skip to content", "share this",
 )
-STOCK = re.compile("|".join(map(re.escape, STOCK_PHRASES)))
+STOCK = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, STOCK_PHRASES)) + r")(?!\w)")
+# The words that furniture puts around a stock phrase. Any other word makes the line a sentence.
+FURNITURE = frozenset(
+    "a an and by continue cookie cookies copyright for here in javascript more must now of on or our page please policy "
+    "privacy read register see service services sign site terms the this to top up use view website you your".split())
+PLAIN_WORDS = re.compile(r"[^\W\d_]+")
+NOTICE = re.compile(r"^\W*(?:copyright\b|©|\(c\)).*\ball rights reserved\W*$")
 SENTENCE_MARKS = re.compile(r"[.!?…。！？:;,]")
 MENU_SEPARATORS = frozenset("| » › > → · • / -".split())
 
@@ -47,9 +53,16 @@ def navigation_ok(words: list[str]) -> bool:
     return separators < 3 or 4 * separators < len(words)
 
 
+def is_stock(line: str) -> bool:
+    """Whether a line is stock phrases, whole words of furniture and nothing else, or a copyright notice."""
+    low = line.lower()
+    rest, found = STOCK.subn(" ", low)
+    return found > 0 and (FURNITURE.issuperset(PLAIN_WORDS.findall(rest)) or NOTICE.match(low) is not None)
+
+
 def boilerplate_ok(line: str, words: list[str]) -> bool:
-    """No stock phrase in a line of up to 20 words, and no word that fills half of a line of ten or more."""
-    if len(words) <= 20 and STOCK.search(line.lower()):
+    """No stock line of up to 20 words, and no word that fills half of a line of ten or more."""
+    if len(words) <= 20 and is_stock(line):
         return False
     return len(words) < 10 or 2 * max(Counter(words).values()) < len(words)
 

@@ -67,3 +67,15 @@ def test_very_long_text(documents):
     text = "\n".join(f"This is line{i} of a very{i} long text." for i in range(60_000))
     [row] = quality_rules.judge_documents(documents(text)).collect()
     assert row.verdict.n_words == 8 * 60_000 and row.verdict.n_repeat_words == 0 and row.verdict.cleaned == text
+
+
+def test_sentences_that_hold_a_stock_phrase_stay(documents):
+    clean = ["The catalog in the hall is old.", "Her blog in spring was read.", "They turned the dialog into a play.",
+             "Butter is spread more thinly here.", "He read more than his brother.", "We share this view.", "I log in.",
+             "They log in at nine.", "The privacy policy was debated in parliament.", "He has all rights reserved by law."]
+    stock = ["All rights reserved.", "© 2019 Example Media Group Ltd. All rights reserved.", "READ MORE »", "Log in", "Read our privacy policy.",
+             "Privacy Policy | Terms of Use", "Click here to continue", "Share this:", "Lorem ipsum", "Back to top", "Please enable JavaScript to view this page."]
+    [row] = quality_rules.judge_documents(documents("\n".join(x for pair in zip(clean, stock) for x in pair) + "\n" + stock[-1])).collect()
+    assert row.verdict.cleaned == "\n".join(clean) and row.verdict.n_lines_removed == len(stock)
+    [row] = quality_rules.judge_documents(documents("\n".join(clean))).collect()
+    assert row.verdict.kept and row.verdict.cleaned == row.text
