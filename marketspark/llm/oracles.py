@@ -83,3 +83,34 @@ lost AS MATERIALIZED (SELECT doc_id, CAST(sum(high - low) AS BIGINT) AS n_remove
 SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
        sha256(coalesce(unhex(k.raw), d.raw)) AS kept_sha256
 FROM doc d LEFT JOIN lost l ON d.doc_id = l.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id"""
+
+
+def clusters(clusters: int, rounds: int) -> str:
+    """Exact integer centroids: assign and move ``rounds`` times, then assign once more."""
+    parts = [f"""
+kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda v: CAST(floor(64 * CAST(v AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = 64),
+centroid_0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, x AS c
+  FROM (SELECT sha256('1:' || vec_id) AS h, x FROM kept ORDER BY h LIMIT {clusters}))"""]
+    for k in range(rounds + 1):
+        parts.append(f"""
+place_{k} AS MATERIALIZED (
+  SELECT vec_id, x, cluster, distance FROM (
+    SELECT vec_id, x, cluster, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance
+    FROM kept, centroid_{k})
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1)""")
+        if k < rounds:
+            parts.append(f"""
+sum_{k} AS (
+  SELECT cluster, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(x) AS v, unnest(range(1, 65)) AS i FROM place_{k}) GROUP BY cluster, i),
+mean_{k} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM sum_{k} GROUP BY cluster),
+centroid_{k + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m.c, o.c) AS c FROM centroid_{k} o LEFT JOIN mean_{k} m USING (cluster))""")
+    return f"""WITH {",".join(parts)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM place_{rounds} JOIN centroid_{rounds} USING (cluster)"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketspark.llm import (
-    archives, decontamination, near_duplicates, oracles, packing, quality_rules, repeated_strings, secrets, sharding,
+    archives, centroid_clusters, decontamination, near_duplicates, oracles, packing, quality_rules, repeated_strings, secrets, sharding,
     surrogates, token_counts,
 )
 from marketspark.llm.common import table, with_package
@@ -89,3 +89,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op13_walsh_hadamard_clusters", oracles.clusters(clusters=16, rounds=3))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("centroid")
