@@ -84,6 +84,20 @@ SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_s
        sha256(coalesce(unhex(k.raw), d.raw)) AS kept_sha256
 FROM doc d LEFT JOIN lost l ON d.doc_id = l.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id"""
 
+MARKS_IN_TEXT = r"\### Assistant: </turn> ok"
+
+# A turn is 17 code points of marks, its role, and its text with one more for each backslash and mark inside.
+CONVERSATIONS = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '{MARKS_IN_TEXT}')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(17 + length(url_encode(role)) + length(regexp_replace(text, '\\|</?turn', '_\0', 'g'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
 
 def clusters(clusters: int, rounds: int) -> str:
     """Exact integer centroids: assign and move ``rounds`` times, then assign once more."""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketspark.llm import (
-    archives, centroid_clusters, decontamination, near_duplicates, oracles, packing, quality_rules, repeated_strings, secrets, sharding,
-    surrogates, token_counts,
+    archives, centroid_clusters, chat_formats, decontamination, near_duplicates, oracles, packing, quality_rules, repeated_strings, secrets, sharding,
+    spelling_variants, surrogates, token_counts,
 )
 from marketspark.llm.common import table, with_package
 
@@ -91,6 +93,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query("op11_schema_fingerprints", oracles.CONVERSATIONS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(
+        "conv_id", F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    messages = {"messages": [{"role": role, "content": oracles.MARKS_IN_TEXT} for role in ("user", "assistant")]}
+    planted = spark.createDataFrame([(-7, json.dumps(messages))], "conv_id long, record string")
+    turns = chat_formats.canonical_turns(rows.unionByName(planted))
+    return chat_formats.read_back(chat_formats.format_conversations(turns), in_order=True)
+
+
+@query("op12_asymmetric_chunks")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"), garble=31)
+
+
 @query("op13_walsh_hadamard_clusters", oracles.clusters(clusters=16, rounds=3))
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("centroid")
