@@ -78,12 +78,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most so many rows, which are counted; else as it is.
+def broadcast_if_small(df: DataFrame, rows: int = 500_000, size: int = 1 << 26) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most so many rows and bytes, which are counted; else as it is.
 
-    For stored tables of short rows: the count reads no column.
+    For stored tables: they are read to add up their bytes, as JSON, if their rows are few.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    if df.count() > rows:
+        return df
+    held = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    return F.broadcast(df) if (held or 0) <= size else df
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

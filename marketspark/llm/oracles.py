@@ -33,10 +33,28 @@ found AS (SELECT doc_id, item_id, start, p.size FROM place p JOIN phrase f ON p.
 hit AS (SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(start, start + size)) AS word FROM found) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id),
+word AS MATERIALIZED (SELECT doc_id, unnest(words) AS term, unnest(range(1, len(words) + 1)) AS position FROM doc),
+counted AS (SELECT term, count(*) AS n FROM word GROUP BY term),
+part AS (
+  SELECT words, unnest(string_split(words, ' ')) AS term, unnest(range(0, size)) AS place
+  FROM (SELECT DISTINCT words, size FROM phrase)),
+rarest AS (
+  SELECT words, arg_min(p.term, (coalesce(n, 0), p.term, place)) AS term FROM part p LEFT JOIN counted c ON p.term = c.term GROUP BY words),
+around AS (
+  SELECT w.doc_id, term, d.words[greatest(1, position - 9):position + 9] AS near
+  FROM word w JOIN doc d ON w.doc_id = d.doc_id WHERE term IN (SELECT term FROM rarest)),
+close AS (
+  SELECT DISTINCT a.doc_id, CAST(p.item_id AS VARCHAR) AS item_id
+  FROM around a JOIN rarest r ON a.term = r.term JOIN phrase p ON p.words = r.words
+  WHERE list_has_all(near, string_split(r.words, ' '))),
+near AS (
+  SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM close c
+  WHERE NOT EXISTS (FROM found f WHERE f.doc_id = c.doc_id AND CAST(f.item_id AS VARCHAR) = c.item_id) GROUP BY doc_id)
 SELECT d.doc_id, len(words) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
-FROM doc d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id"""
+       sha256(coalesce(i.ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated,
+       coalesce(r.n, 0) AS n_near_items, coalesce(r.ids, '') AS near_items
+FROM doc d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id LEFT JOIN near r ON d.doc_id = r.doc_id"""
 
 _SHINGLE_WORDS = _WORDS.format(UPPER, LOWER, r"[^\x20\x09-\x0D]+")
 

@@ -60,7 +60,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_positional_index", oracles.DECONTAMINATION)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("item_ids", "near_item_ids", "n_near_items", "version")
+    return found.withColumn("near_items", F.array_join("near_item_ids", ",")).drop("item_ids", "near_item_ids", "version")
 
 
 @query("op5_bbit_minhash", oracles.NEAR_DUPLICATES)

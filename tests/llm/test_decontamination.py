@@ -99,3 +99,40 @@ def test_near_items_equal_brute_force(spark, documents):
     found = {r.doc_id: r for r in dc.decontaminate(documents(*texts), benchmark(spark, items), window=4).collect()}
     assert {i: r.near_item_ids for i, r in found.items()} == wanted and any(wanted.values())
     assert all(r.n_near_items == len(r.near_item_ids) for r in found.values())
+
+
+def test_a_long_text_full_of_hits(spark, documents, monkeypatch):
+    """Rows hold a block of a text, never the whole of it: a million words of which a fifth are hits."""
+    texts = ["the cat sat on mats " * 200_000, "nothing", " the" * 600]
+    found = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in dc.decontaminate(documents(*texts), benchmark(spark, [(7, "The")])).collect()}
+    assert found == {0: (1_000_000, 200_000, ["7"]), 1: (1, 0, []), 2: (600, 600, ["7"])}
+
+
+def test_no_row_of_the_index_holds_a_text(spark, documents, capsys, monkeypatch):
+    plans = []
+    stored = dc.stored
+    monkeypatch.setattr(dc, "stored", lambda df, name, *rest: (plans.append((name, df)), stored(df, name, *rest))[1])
+    for keep in (dc.broadcast_if_small, lambda df: df):
+        monkeypatch.setattr(dc, "broadcast_if_small", keep)
+        dc.decontaminate(documents("one two three"), benchmark(spark, [(1, "two")])).collect()
+    checked = 0
+    for name, df in plans:
+        if name in ("postings", "term-places", "term-counts"):
+            df.explain("simple")
+            for line in capsys.readouterr().out.splitlines():
+                if "Generate " in line or "Exchange " in line:
+                    kept = line.split("], ", 1)[0] if "Exchange" in line else line.split(", [", 1)[1].split("]")[0]
+                    assert not any(part.strip().startswith("words#") for part in kept.split(","))
+                    checked += 1
+    assert checked > 4
+
+
+def test_blocks_meet_at_their_borders(spark, documents, monkeypatch):
+    monkeypatch.setattr(dc, "BLOCK", 3)
+    rng = random.Random(9)
+    items = [(i, " ".join(rng.choice("abc") for _ in range(rng.choice([1, 3, 6, 12])))) for i in range(8)]
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 40))) for _ in range(40)]
+    for keep in (dc.broadcast_if_small, lambda df: df):
+        monkeypatch.setattr(dc, "broadcast_if_small", keep)
+        found = dc.decontaminate(documents(*texts), benchmark(spark, items), window=5).collect()
+        assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found} == brute(texts, items, 5)
