@@ -132,6 +132,11 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     return pages.mapInArrow(write, "archive string, n_records long")
 
 
+def one_a_task(archives: DataFrame) -> DataFrame:
+    """Archives in as many partitions as there are, which adaptive execution does not merge by the bytes of names."""
+    return archives.repartition(max(1, archives.count()))
+
+
 def normalise(archives: DataFrame, source: str, target: str) -> DataFrame:
     """(archive, offset, length): every record of each archive as its own member of a new file, with a sidecar."""
 
@@ -188,7 +193,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                 ("record_type", pa.string()), ("refers_to", pa.int64())]))
 
-    dealt = index.withColumn("part", F.floor(F.col("offset") / SPLIT_BYTES)).repartition("archive", "part")
+    # An index row is small and what it stands for is not, so the number of tasks is given, not left to the rows' bytes.
+    parts = index.withColumn("part", F.floor(F.col("offset") / SPLIT_BYTES))
+    dealt = parts.repartition(max(1, parts.select("archive", "part").distinct().count()), "archive", "part")
     return dealt.sortWithinPartitions("archive", "offset").select("archive", "offset", "length").mapInArrow(read, RECORD)
 
 
@@ -199,7 +206,7 @@ def archive_pages(
 
     Of equal payloads of at least 100 bytes the smallest id is a response and others revisit it; shorter ones
     and rows without id are responses. Rows that repeat the smallest id are responses as well. A null html is
-    an empty payload. Extra columns are left out; an empty table writes no archive. ``folder`` keeps the
+    an empty payload, and one of any length is a record of its own. Extra columns are left out; an empty table writes no archive. ``folder`` keeps the
     archives; without it they go to the shared working folder.
 
     Pages are not shuffled while the payloads that repeat are few (their counted digests are then broadcast);
@@ -218,6 +225,5 @@ def archive_pages(
         "page_id", "url", "html", "digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, F.col("first_id")).alias("refers_to"))
     archives = stored(write_archives(judged, f"{folder}/monolithic"), "archives")
-    spread = archives.repartition("archive")
-    index = stored(normalise(spread.select("archive"), f"{folder}/monolithic", f"{folder}/records"), "record-index")
+    index = stored(normalise(one_a_task(archives.select("archive")), f"{folder}/monolithic", f"{folder}/records"), "record-index")
     return read_records(index, f"{folder}/records")

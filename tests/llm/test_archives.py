@@ -74,3 +74,9 @@ def test_normaliser_reads_any_cut_and_refuses_damage():
     assert b"".join(archives.inflated(io.BytesIO(two))) == whole
     with pytest.raises(ValueError):
         list(archives.inflated(io.BytesIO(gzip.compress(whole)[:-20])))
+
+
+def test_an_archive_is_a_task(spark):
+    names = spark.range(1000).selectExpr("concat('pages-', id, '.warc.gz') AS archive").repartition(3)
+    dealt = archives.one_a_task(names).groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) > 600 and max(r["count"] for r in dealt) <= 3
