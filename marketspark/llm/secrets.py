@@ -201,32 +201,47 @@ def scan_secrets(
 REMOVED = "[secret removed]"
 
 
-def without_live(text: str, spans: str, verdicts: str) -> str:
-    """``text`` with a mark in place of its live spans; spans that overlap get one mark."""
+def without_secrets(text: str, spans: str, verdicts: str, keep_copied: bool) -> str:
+    """``text`` with a mark in place of its spans; spans that overlap get one mark."""
     out, at = [], 0
     for span, verdict in zip(spans.split(","), verdicts.split(","), strict=True):
         _, start, end = span.split(":")
-        if verdict == "live":
+        if verdict == "live" or not keep_copied:
             if int(start) >= at:
                 out += [text[at:int(start)], REMOVED]
             at = max(at, int(end))
     return "".join(out) + text[at:]
 
 
-def redact(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with live secrets of ``found`` (a result of ``scan_secrets`` over them) taken out; all columns stay."""
-    live = stored(found.filter("n_live > 0").select(
-        F.col("doc_id").alias("_live_id"), F.col("version").alias("_live_version"), F.col("spans").alias("_spans"),
-        F.col("verdicts").alias("_verdicts")).distinct(), "live-secrets")
-    same = F.col(id_column).eqNullSafe(F.col("_live_id")) & (F.xxhash64(text_column) == F.col("_live_version"))
-    live = broadcast_if_small(live)
+def redact(
+    docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_copied: bool = False,
+) -> DataFrame:
+    """``docs`` with the secrets of ``found`` (a result of ``scan_secrets`` over them) taken out; all columns stay.
+
+    Every span goes: an assignment, an access key or an issuer's format is no less a secret for being held by
+    others, and opaque strings are spans only while they look live. ``keep_copied`` leaves copied values in. A row
+    without id is told by its text alone. Null and empty texts, and texts without a span, stay as they are, texts of
+    any length are rewritten whole, and repeated rows alike. Columns may have any name; an empty table gives an
+    empty result.
+    """
     columns = docs.columns
 
+    def free(name: str) -> str:
+        while name.lower() in {c.lower() for c in columns}:
+            name += "_"
+        return name
+
+    own_id, version, spans, verdicts = (free(c) for c in ("found_id", "found_version", "found_spans", "found_verdicts"))
+    chosen = found.filter(F.col("n_live") + F.lit(0 if keep_copied else 1) * F.col("n_copied") > 0)
+    hit = stored(chosen.select("doc_id", "version", "spans", "verdicts").distinct(), "found-secrets").toDF(own_id, version, spans, verdicts)
+    same = docs[id_column].cast("long").eqNullSafe(hit[own_id]) & (F.xxhash64(docs[text_column]) == hit[version])
+    hit = broadcast_if_small(hit)
+
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text_column):
-            texts = [without_live(*x) for x in zip(*(batch.column(c).to_pylist() for c in (text_column, "_spans", "_verdicts")), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if c == text_column else batch.column(c) for c in columns], columns)
+            rows = zip(*(batch.column(c).to_pylist() for c in (text_column, spans, verdicts)), strict=True)
+            texts = pa.array([without_secrets(*row, keep_copied) for row in rows], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if c == text_column else batch.column(c) for c in columns], columns)
 
-    changed = docs.join(live, same).drop("_live_id", "_live_version").mapInArrow(rewrite, docs.schema)
-    return docs.join(live, same, "left_anti").unionByName(changed)
+    changed = docs.join(hit, same).drop(own_id, version).mapInArrow(rewrite, docs.schema)
+    return docs.join(hit, same, "left_anti").unionByName(changed)

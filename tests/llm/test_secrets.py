@@ -127,3 +127,19 @@ def test_a_long_live_value_is_redacted(spark):
     texts = {r.doc_id: r.text for i in (1, 2) for one in [docs.filter(f"doc_id = {i}")]
              for r in secrets.redact(one, secrets.scan_secrets(one)).collect()}
     assert texts == {1: f'so "{secrets.REMOVED}" it is', 2: f"at {secrets.REMOVED}host"}
+
+
+def test_redaction_takes_out_every_named_format(spark):
+    rows = [(i, f'{k} token = "{H40}" AKIAIOSFODNN7EXAMPL{k} end', f"org{i}/r") for i, k in enumerate("ABCDEFG")]
+    rows += [(20, None, "a/b"), (21, "", "a/b"), (None, f"token={H40}", None), (22, f"token={H40}", "x/y"), (22, f"token={H40}", "x/y")]
+    docs = corpus(spark, rows).withColumn("found_spans", F.lit("kept")).withColumn("FOUND_ID", F.lit(1)).withColumn("version", F.lit(2))
+    found = secrets.scan_secrets(docs)
+    out = secrets.redact(docs, found)
+    assert out.columns == docs.columns
+    mark = secrets.REMOVED
+    wanted = [f"{k} {mark}\" {mark} end" for k in "ABCDEFG"] + ["None", "", mark, mark, mark]
+    assert sorted(str(r.text) for r in out.collect()) == sorted(wanted)
+    assert {(r.found_spans, r.FOUND_ID, r.version) for r in out.collect()} == {("kept", 1, 2)}
+    spared = secrets.redact(docs, found, keep_copied=True)
+    assert sum(H40 in (r.text or "") for r in spared.collect()) == 10
+    assert secrets.redact(docs.limit(0), secrets.scan_secrets(docs.limit(0))).count() == 0
