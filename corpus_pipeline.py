@@ -13,7 +13,7 @@ from marketspark.llm.decontamination import decontaminate
 from marketspark.llm.near_duplicates import near_duplicates
 from marketspark.llm.packing import pack
 from marketspark.llm.quality_rules import judge_documents
-from marketspark.llm.queries import vocabulary
+from marketspark.llm.queries import FEW_OWNERS, vocabulary
 from marketspark.llm.secrets import redact, scan_secrets
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,7 +21,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 @with_package
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failed lines go from every text, and documents that the rules reject go altogether."""
+    """Failed lines go from every text, and documents that the rules reject go altogether.
+
+    A null, empty or short text is rejected; texts of any length are judged whole. Rows without id and repeated rows
+    are judged like others. An empty table gives an empty result.
+    """
     judged = judge_documents(docs.select(*COLUMNS)).filter("verdict.kept")
     text = F.col("verdict.cleaned")
     return judged.select("doc_id", text.alias("text"), "lang", "source", F.char_length(text).cast("long").alias("n_chars"))
@@ -29,7 +33,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @with_package
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near duplicates stays; of rows that repeat an id and text, one."""
+    """The smallest id of each group of near duplicates stays; of rows that repeat an id and text, one.
+
+    A row without id stays, and so do texts without words, null and empty ones among them, which are like no other.
+    Texts of any length are compared by their whole sets. An empty table gives an empty result.
+    """
     found = stored(near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
     kept = docs.select(*COLUMNS).join(broadcast_if_small(stored(found.filter(~F.col("kept")).select("doc_id").distinct(), "copies")), "doc_id", "left_anti")
     repeated = stored(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
@@ -42,7 +50,11 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 @with_package
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go; near matches alone leave a document in.
+
+    Rows without id and repeated rows are told by their texts. Null and empty texts hold no passage, and texts of
+    any length are searched whole. An empty table on either side lets everything stay.
+    """
     found = decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
     leaks = stored(found.select(F.col("doc_id").alias("leak_id"), F.col("version").alias("leak_version")).distinct(), "leaks")
     same = F.col("doc_id").eqNullSafe(F.col("leak_id")) & (F.xxhash64("text") == F.col("leak_version"))
@@ -51,14 +63,23 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 @with_package
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Live-looking secrets are taken out of texts; values that several owners hold stay."""
+    """Secrets are taken out of texts: every named format, and opaque strings that look live.
+
+    Ownership is judged as in op6. Null and empty texts stay, rows without id and repeated rows are treated like
+    others, texts of any length are rewritten whole, and an empty table gives an empty result.
+    """
     docs = docs.select(*COLUMNS)
-    return redact(docs, scan_secrets(docs)).withColumn("n_chars", F.char_length("text").cast("long"))
+    found = scan_secrets(docs, max_owners=FEW_OWNERS, by_text=True)
+    return redact(docs, found).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 @with_package
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens, with their ids."""
+    """Pieces of documents in sequences of 4096 tokens, with their ids.
+
+    A null or empty text is an end id alone, a text of any length is cut over as many sequences as it needs, and
+    rows without id and repeated rows are packed like others. An empty table packs to nothing.
+    """
     return pack(docs, vocabulary("word_bpe_49k.json"))
 
 
