@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
+from marketspark.functions.durations import duration_text
 from marketspark.functions.rules import all_hold, any_broken, broken, business_rules, contract_rules
 from marketspark.operators.codec import computed_once, read_envelopes
 from marketspark.schemas import DATE_PATTERN, PIPELINE_VERSION, TRADE_VERSIONS, Versions, known_version, newest
+from marketspark.session import working_path
 
 # Reasons stored with dead letters.
 UNREADABLE = "deserialization_error"
@@ -20,6 +22,9 @@ RULE_BROKEN = "business_rule_violation"
 
 Clock = datetime | str | Column | None
 
+# Invalid rows of so many ids at most are broadcast: an id is a UUID of 36 bytes.
+SUSPECTS_BROADCAST = 500_000
+
 
 def normalize_fields(df: DataFrame) -> DataFrame:
     return df.withColumns({
@@ -47,18 +52,26 @@ def filter_invalid_events(df: DataFrame, as_of: Clock = None) -> tuple[DataFrame
 def anti_join_invalid(df: DataFrame, as_of: Clock = None) -> DataFrame:
     """Rows whose trade id belongs to no valid row (batch).
 
-    A valid row with an id always finds itself, so only invalid rows and rows without id can remain. The
-    few ids of invalid rows first pick the valid rows that share one (a semi join that can broadcast them);
-    only those ids, one row each, meet the invalid rows. So no table of all valid ids is shuffled. Rows
-    without id match nothing and go around the joins.
+    A valid row with an id always finds itself, so only invalid rows and rows without id can remain. One pass
+    stores them in the shared folder; their number decides how the other pass, over the ids of valid rows, meets
+    them. Few ids of invalid rows are broadcast and pick the valid rows that share one. Of many, each task first
+    reduces its rows to one for each id with whether any is valid, and only ids that have both kinds go on.
     """
     rules = business_rules(as_of)
-    identified = df.filter(F.col("trade_id").isNotNull())
-    candidates = identified.filter(any_broken(rules))
-    suspects = candidates.select("trade_id").distinct()
-    cleared = identified.filter(all_hold(rules)).select("trade_id").join(suspects, "trade_id", "left_semi").distinct()
-    unmatched = candidates.join(cleared, "trade_id", "left_anti").select(*df.columns)
-    return unmatched.unionByName(df.filter(F.col("trade_id").isNull()))
+    spark = df.sparkSession
+    path = working_path(spark, "suspects")
+    df.filter(any_broken(rules) | F.col("trade_id").isNull()).write.parquet(path)
+    suspects = spark.read.schema(df.schema).parquet(path)
+    identified = suspects.filter(F.col("trade_id").isNotNull())
+    valid = df.filter(all_hold(rules) & F.col("trade_id").isNotNull()).select("trade_id", F.lit(True).alias("_valid"))
+    if identified.count() <= SUSPECTS_BROADCAST:
+        cleared = valid.join(F.broadcast(identified.select("trade_id").distinct()), "trade_id", "left_semi").select("trade_id").distinct()
+    else:
+        both = valid.unionByName(identified.select("trade_id", F.lit(False).alias("_valid")))
+        cleared = both.groupBy("trade_id").agg(F.bool_or("_valid").alias("_any"), F.bool_and("_valid").alias("_all")).filter(
+            "_any and not _all").select("trade_id")
+    unmatched = identified.join(cleared, "trade_id", "left_anti").select(*df.columns)
+    return unmatched.unionByName(suspects.filter(F.col("trade_id").isNull()).select(*df.columns))
 
 
 def _tie_break(df: DataFrame, used: set[str]) -> list[str]:
@@ -83,7 +96,7 @@ def deduplicate_stream(df: DataFrame, keep: str = "latest") -> DataFrame:
 
     ``latest`` emits the copy with the latest ingest time once the watermark passes the event;
     ``first`` emits the first copy at once. Copies with another event time are merged by
-    ``deduplicate_by_trade_id`` when silver is rebuilt from bronze.
+    ``deduplicate_stream_by_id``, which holds its state for longer.
     """
     keys = ["trade_id", "event_time"]
     if keep == "first":
@@ -99,6 +112,25 @@ def deduplicate_stream(df: DataFrame, keep: str = "latest") -> DataFrame:
     )
 
 
+def deduplicate_stream_by_id(df: DataFrame, horizon_seconds: int = 300) -> DataFrame:
+    """One row per trade id on a stream, whatever event times its copies have: the one that ``deduplicate_by_trade_id``
+    keeps.
+
+    Copies are merged while no more than ``horizon_seconds`` of event time lie between one and the next; state is
+    kept for so long past the newest copy, and then the row is emitted once. Of the copies of a later session the
+    rebuild from bronze keeps one. Rows without id form one group, as in the batch form.
+    """
+    rest = [name for name in df.columns if name != "trade_id"]
+    first = [name for name in ("ingest_time", "event_time") if name in rest]
+    order = F.struct(*first, *_tie_break(df, {"trade_id", *first}))
+    session = F.session_window("event_time", duration_text(horizon_seconds)).alias("_session")
+    return (
+        df.groupBy("trade_id", session)
+        .agg(F.max_by(F.struct(*rest), order).alias("_latest"))
+        .select(*[F.col(n) if n == "trade_id" else F.col(f"_latest.{n}").alias(n) for n in df.columns])
+    )
+
+
 def with_partition_date(df: DataFrame, time_column: str = "event_time") -> DataFrame:
     return df.withColumn("partition_date", F.date_format(time_column, DATE_PATTERN))
 
@@ -161,10 +193,10 @@ def _first_failure(readable: Column, known: Column, contract: Column, business:
     return reason, F.coalesce(failed, F.array().cast("array<string>"))
 
 
-def triage(topic_rows: DataFrame, as_of: Clock = None, versions: Versions = TRADE_VERSIONS) -> DataFrame:
-    """Topic rows with the decoded ``trade``, ``failure_reason`` (NULL when accepted) and ``failed_rules``.
+def decoded_rows(topic_rows: DataFrame, as_of: Clock = None, versions: Versions = TRADE_VERSIONS) -> DataFrame:
+    """``triage`` with the contract rules that a message's text breaks in ``contract_failures``, as bronze keeps them.
 
-    The first stage that fails names the reason: reading, schema version, trade contract, business rules.
+    All that any layer needs of a message: stored once, it spares the layers from parsing the text again.
     """
     rows = read_envelopes(topic_rows, versions)
     raw = {name: F.col(f"raw.{name}") for name in newest(versions).fieldNames()}
@@ -175,17 +207,32 @@ def triage(topic_rows: DataFrame, as_of: Clock = None, versions: Versions = TRAD
         "_business": broken(business_rules(as_of, parent="trade")),
     })
     reason, failed = _first_failure(F.col("readable"), known, F.col("_contract"), F.col("_business"))
-    outcome = F.struct("trade", "readable", reason.alias("failure_reason"), failed.alias("failed_rules"))
+    outcome = F.struct(
+        "trade", "readable", reason.alias("failure_reason"), failed.alias("failed_rules"),
+        F.concat_ws(",", "_contract").alias("contract_failures"))
     return computed_once(judged, outcome, "_outcome").select(*topic_rows.columns, "_outcome.*")
 
 
+def triage(topic_rows: DataFrame, as_of: Clock = None, versions: Versions = TRADE_VERSIONS) -> DataFrame:
+    """Topic rows with the decoded ``trade``, ``failure_reason`` (NULL when accepted) and ``failed_rules``.
+
+    The first stage that fails names the reason: reading, schema version, trade contract, business rules.
+    """
+    return decoded_rows(topic_rows, as_of, versions).drop("contract_failures")
+
+
+def bronze_of(decoded: DataFrame) -> DataFrame:
+    """The rows of ``bronze_rows`` from decoded messages."""
+    return decoded.filter("readable").select("trade.*", "contract_failures")
+
+
 def accepted(triaged: DataFrame) -> DataFrame:
     return triaged.filter(F.col("failure_reason").isNull()).select("trade.*")
 
 
 def dead_letters(triaged: DataFrame) -> DataFrame:
     """The untouched message with the reason and the broken rules."""
-    kept = [c for c in triaged.columns if c not in ("trade", "readable")]
+    kept = [c for c in triaged.columns if c not in ("trade", "readable", "contract_failures")]
     return triaged.filter(F.col("failure_reason").isNotNull()).select(*kept)
 
 

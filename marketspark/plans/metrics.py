@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from marketspark.functions.durations import duration_micros
 from marketspark.operators.silver import UNREADABLE, deduplicate_by_trade_id
-from marketspark.session import working_path
 
 # Thresholds, and how long a breach has to last.
 LAG_WARNING_SECONDS = 120
@@ -175,14 +174,11 @@ def _batch_number(batch_seconds: int) -> Column:
 def late_events(bronze: DataFrame, watermark_seconds: int = 60, batch_seconds: int = 30) -> DataFrame:
     """Events per symbol that arrived after the watermark had passed them (batch, over bronze).
 
-    The watermark table is written once to the shared folder. Its stored size then tells Spark whether
-    it can be broadcast; where it cannot, the join shuffles and adaptive execution splits a batch with a
+    No job runs before the result is asked for. The watermarks, one row for each ingest batch, come out of a shuffle
+    whose size tells adaptive execution whether to broadcast them; where it does not, it splits a batch with a
     large share of the rows.
     """
-    spark = bronze.sparkSession
-    path = working_path(spark, "ingest-watermarks")
-    ingest_watermarks(bronze, watermark_seconds, batch_seconds).write.parquet(path)
-    watermarks = spark.read.parquet(path).filter(F.col("watermark").isNotNull())
+    watermarks = ingest_watermarks(bronze, watermark_seconds, batch_seconds).filter(F.col("watermark").isNotNull())
     rows = bronze.select("symbol", "event_time", _batch_number(batch_seconds).alias("batch"))
     late = rows.join(watermarks, "batch").filter(F.col("event_time") < F.col("watermark"))
     return late.groupBy("symbol").agg(F.count(F.lit(1)).alias("late_events"))

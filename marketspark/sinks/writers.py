@@ -90,6 +90,13 @@ class StorageWriter:
     def write_dead_letters(self, df: DataFrame, path: str, trigger_seconds: int = 30) -> StreamingQuery | None:
         return self._append(df, path, "dead-letter", ["failure_reason"], trigger_seconds)
 
+    def write_decoded(self, df: DataFrame, path: str, trigger_seconds: int = 30) -> StreamingQuery | None:
+        """Decoded messages by outcome, so that streams of accepted and of refused ones read their own files. The raw
+        bytes of accepted ones are left out."""
+        refused = F.col("failure_reason").isNotNull()
+        kept = df.withColumns({"value": F.when(refused, F.col("value")), "outcome": F.when(refused, "refused").otherwise("accepted")})
+        return self._append(kept, path, "decoded", ["outcome"], trigger_seconds)
+
     def _append(
         self, df: DataFrame, path: str, name: str, partitions: Sequence[str], trigger_seconds: int
     ) -> StreamingQuery | None:

@@ -32,6 +32,16 @@ class Layout:
     def dead_letters(self) -> str:
         return self._under("dead-letter", "trades")
 
+    @property
+    def decoded(self) -> str:
+        """Messages read and judged once, from which streams of all layers go on."""
+        return self._under("decoded", "messages")
+
+    @property
+    def late_events(self) -> str:
+        """Late rows of each micro-batch by symbol."""
+        return self._under("metrics", "late-events")
+
     @property
     def rejects(self) -> str:
         """Stored trades that a rebuild refused, with the reason."""

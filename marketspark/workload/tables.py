@@ -68,10 +68,10 @@ def messy_trades(source: DataFrame) -> DataFrame:
     }).drop("event_id")
 
 
-def delayed_trades(source: DataFrame) -> DataFrame:
-    """Trades of which every eleventh arrives an hour late."""
+def delayed_trades(source: DataFrame, seconds: int = 3600) -> DataFrame:
+    """Trades of which every eleventh arrives so much later, an hour unless told otherwise."""
     rows = _as_trades(source, "event_id")
-    late = _plus_seconds(F.col("ingest_time"), F.lit(3600))
+    late = _plus_seconds(F.col("ingest_time"), F.lit(seconds))
     return rows.withColumn(
         "ingest_time", F.when(F.col("event_id") % 11 == 0, late).otherwise(F.col("ingest_time"))
     ).drop("event_id")
@@ -92,6 +92,22 @@ def repeated_trades(source: DataFrame) -> DataFrame:
     )
 
 
+def corrected_trades(source: DataFrame, days: int) -> DataFrame:
+    """Trades of which every fifth is delivered again so many days later, with that event time and one more unit."""
+    rows = _as_trades(source, "event_id")
+    copies = F.when(F.col("event_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    later = F.col("_copy") * (days * 86_400)
+    return (
+        rows.withColumn("_copy", F.explode(copies))
+        .withColumns({
+            "quantity": (F.col("quantity") + F.col("_copy")).cast("decimal(18,8)"),
+            "event_time": _plus_seconds(F.col("event_time"), later),
+            "ingest_time": _plus_seconds(F.col("ingest_time"), later),
+        })
+        .drop("event_id", "_copy")
+    )
+
+
 def line_item_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as trades; order and line number repeat, which gives copies of an id."""
     items = use_utc(spark).read.parquet(f"{sf_dir}/lineitem.parquet")
