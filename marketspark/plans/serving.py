@@ -20,7 +20,7 @@ SUMMARIES_LIMIT = 200
 Instant = datetime | str | None
 
 
-def _checked(limit: int) -> int:
+def checked_limit(limit: int) -> int:
     if not 1 <= limit <= TRADES_MAX:
         raise ValueError(f"limit must be between 1 and {TRADES_MAX}, got {limit}")
     return limit
@@ -38,6 +38,10 @@ def _of_symbol(df: DataFrame, symbol: str) -> DataFrame:
 def _latest(trades: DataFrame, limit: int, since: Instant) -> DataFrame:
     if since and "partition_date" in trades.columns:
         trades = trades.filter(F.col("partition_date") >= _instant(since).cast("date"))
+    return newest_first(trades, limit)
+
+
+def newest_first(trades: DataFrame, limit: int) -> DataFrame:
     return trades.orderBy(F.col("event_time").desc_nulls_last(), F.col("trade_id").asc_nulls_last()).limit(limit)
 
 
@@ -46,12 +50,13 @@ def latest_trades(trades: DataFrame, limit: int = TRADES_DEFAULT, since: Instant
 
     Where partitions are known to be right (the partition check passes), ``since`` limits the days that are
     read; the caller then vouches that ``limit`` trades lie in them. No job runs before the result is asked for.
+    ``latest_trades_indexed`` opens only the files of a stored layer that can hold them, misfiled rows or not.
     """
-    return _latest(trades, _checked(limit), since)
+    return _latest(trades, checked_limit(limit), since)
 
 
 def latest_trades_of(trades: DataFrame, symbol: str, limit: int = TRADES_DEFAULT, since: Instant = None) -> DataFrame:
-    return _latest(_of_symbol(trades, symbol), _checked(limit), since)
+    return _latest(_of_symbol(trades, symbol), checked_limit(limit), since)
 
 
 def _windows(df: DataFrame, symbol: str, window: str | None, start_time: Instant, end_time: Instant) -> DataFrame:

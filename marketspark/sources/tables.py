@@ -42,6 +42,15 @@ class Layout:
         """Late rows of each micro-batch by symbol."""
         return self._under("metrics", "late-events")
 
+    def file_bounds(self, layer: str) -> str:
+        """The index of the files of ``bronze``, ``silver`` or another layer."""
+        return self._under("file-bounds", layer)
+
+    @property
+    def fingerprints(self) -> str:
+        """What bronze held, day by day, when the layers were last rebuilt from it."""
+        return self._under("fingerprints", "bronze")
+
     @property
     def rejects(self) -> str:
         """Stored trades that a rebuild refused, with the reason."""

@@ -13,14 +13,15 @@ from marketspark.operators.gold import (
 )
 from marketspark.operators.silver import validate_business_rules
 from marketspark.plans import marts, serving
-from marketspark.plans.rebuild import rebuild_gold, rebuild_silver
+from marketspark.plans.rebuild import rebuild, rebuild_changed_days, rebuild_gold, rebuild_silver
 from marketspark.session import working_path
 from marketspark.sinks.writers import StorageWriter
+from marketspark.sources.file_index import latest_trades_indexed, refresh_file_bounds
 from marketspark.sources.tables import Layout, read_bronze, read_gold, scan_union_by_name
 from marketspark.workload import sql
 from marketspark.workload.layers import REPEATED
 from marketspark.workload.registry import query
-from marketspark.workload.tables import AS_OF, events, repeated_trades, shown, trades
+from marketspark.workload.tables import AS_OF, corrected_trades, events, repeated_trades, shown, trades
 
 
 def valid(spark, sf_dir):
@@ -187,11 +188,15 @@ def _latest_trades(spark, sf_dir):
 @query("latest_trades_stored", f"""
     WITH {sql.VALID} SELECT {sql.TRADE_COLUMNS} FROM valid ORDER BY event_time DESC, trade_id LIMIT 100""")
 def _latest_trades_stored(spark, sf_dir):
-    # A stored table in which every tenth trade lies in the partition of the first day.
-    path = working_path(spark, "misfiled")
+    # A stored table in which every tenth trade lies in the partition of the first day; a tenth is not indexed yet.
+    root = Layout(working_path(spark, "misfiled"))
     first = F.when(F.col("trade_id").cast("bigint") % 10 == 0, "2024-01-01").otherwise(F.date_format("event_time", "yyyy-MM-dd"))
-    valid(spark, sf_dir).withColumn("partition_date", first).write.partitionBy("partition_date").parquet(path)
-    return shown(serving.latest_trades(spark.read.parquet(path)).drop("partition_date"))
+    rows = valid(spark, sf_dir).withColumn("partition_date", first)
+    new = F.col("trade_id").cast("bigint") % 10 == 7
+    rows.filter(~new).repartition("partition_date").write.partitionBy("partition_date").parquet(root.silver)
+    refresh_file_bounds(spark, root.silver, root.file_bounds("silver"))
+    rows.filter(new).repartition("partition_date").write.mode("append").partitionBy("partition_date").parquet(root.silver)
+    return shown(latest_trades_indexed(spark, root.silver, root.file_bounds("silver")).drop("partition_date"))
 
 
 @query("latest_trades_symbol", f"""
@@ -238,3 +243,34 @@ def _replay_gold(spark, sf_dir):
     StorageWriter(spark, source.checkpoints).write_bronze(repeated_trades(events(spark, sf_dir)), source.bronze)
     silver = rebuild_silver(spark, read_bronze(spark, source.bronze), target, AS_OF)
     return shown(rebuild_gold(spark, silver, target)["ohlc"].drop("partition_date"))
+
+
+# What changes in bronze between two rebuilds: the events of two days, of which some go and the others have more quantity.
+_CHANGED = ("2024-01-10", "2024-01-11")
+
+
+@query("replay_changed_days", f"""
+    WITH {sql.TRADES}, bronze AS (
+      SELECT trade_id, symbol, price, side, event_id, schema_version, CAST(quantity + copy AS DECIMAL(18,8)) AS quantity,
+             event_time + to_days(copy * 4) AS event_time, ingest_time + to_days(copy * 4) AS ingest_time
+      FROM trades JOIN (VALUES (0), (1)) c(copy) ON copy = 0 OR event_id % 5 = 0),
+    changed AS (
+      SELECT * REPLACE (CAST(quantity + CASE WHEN strftime(event_time, '%Y-%m-%d') IN {_CHANGED} THEN 2 ELSE 0 END AS DECIMAL(18,8)) AS quantity)
+      FROM bronze WHERE strftime(event_time, '%Y-%m-%d') NOT IN {_CHANGED} OR event_id % 3 <> 0),
+    latest AS (
+      SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY ingest_time DESC, event_time DESC) AS n
+      FROM changed WHERE {sql.HOLDS}),
+    silver AS (SELECT * FROM latest WHERE n = 1), {sql.windows('gold', 'silver', 60, '1 minute')}
+    SELECT {sql.OHLC} FROM gold""")
+def _replay_changed_days(spark, sf_dir):
+    """A rebuild, then two days of bronze change, whose ids have copies on other days; only what they reach is replaced."""
+    source, target = Layout(working_path(spark, "changed-from")), Layout(working_path(spark, "changed-to"))
+    first = corrected_trades(events(spark, sf_dir), 4)
+    StorageWriter(spark, source.checkpoints).write_bronze(first, source.bronze)
+    rebuild(spark, source.bronze, target, AS_OF)
+    on_days = F.date_format("event_time", "yyyy-MM-dd").isin(*_CHANGED)
+    days = first.filter(on_days & (F.col("trade_id").cast("bigint") % 3 != 0)).withColumns({
+        "quantity": (F.col("quantity") + 2).cast("decimal(18,8)"), "partition_date": F.date_format("event_time", "yyyy-MM-dd")})
+    days.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("partition_date").parquet(source.bronze)
+    rebuild_changed_days(spark, source.bronze, target, AS_OF)
+    return shown(read_gold(spark, "ohlc", target.gold("{dataset}")).drop("partition_date"))

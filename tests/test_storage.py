@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -12,10 +13,12 @@ from helpers import AS_OF, START, rows_of, trade, trades
 from marketspark import session
 from marketspark.operators.gold import aggregate_ohlc
 from marketspark.operators.silver import with_partition_date
-from marketspark.plans.rebuild import rebuild
-from marketspark.schemas import TRADE
+from marketspark.plans.rebuild import changed_days, rebuild, rebuild_changed_days
+from marketspark.plans.serving import latest_trades, latest_trades_of
+from marketspark.schemas import GOLD, TRADE
 from marketspark.sinks.compaction import compact, file_counts, fingerprint
 from marketspark.sinks.writers import StorageWriter
+from marketspark.sources import file_index
 from marketspark.sources.tables import Layout, read_bronze, read_gold, read_silver, scan_union_by_name
 from marketspark.sources.topics import publishing_options, reading_options
 
@@ -199,3 +202,115 @@ def test_object_store_options():
     assert options["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
     assert options["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert options["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+
+
+def indexed(spark, lake, limit, symbol=None):
+    found = file_index.latest_trades_indexed(spark, lake.silver, lake.file_bounds("silver"), limit, symbol)
+    stored = spark.read.parquet(lake.silver)
+    plain = latest_trades(stored, limit) if symbol is None else latest_trades_of(stored, symbol, limit)
+    columns = [*TRADE.fieldNames(), "partition_date"]
+    assert [tuple(r) for r in found.select(columns).collect()] == [tuple(r) for r in plain.select(columns).collect()]
+    return len(found.inputFiles())
+
+
+def test_latest_trades_open_only_files_that_can_hold_them(spark, lake):
+    rows = [trade(f"{day}-{i}", seconds=86400 * day + 60 * i, symbol="A B" if i % 3 else "Z") for day in range(12) for i in range(9)]
+    rows += [trade("none", event_time=None), trade("tie", seconds=86400 * 11 + 480)]
+    for at in range(0, len(rows), 20):
+        writer(spark, lake).write_silver(trades(spark, *rows[at:at + 20]).coalesce(1), lake.silver)
+    assert file_index.refresh_file_bounds(spark, lake.silver, lake.file_bounds("silver")) >= 20
+    assert file_index.refresh_file_bounds(spark, lake.silver, lake.file_bounds("silver")) == 0
+    whole = len(spark.read.parquet(lake.silver).inputFiles())
+    assert indexed(spark, lake, 3) <= 3 < 20 <= whole
+    assert indexed(spark, lake, 25) < whole / 2
+    assert indexed(spark, lake, 4, "a b") <= 2 and indexed(spark, lake, 10, "z") <= 5
+    assert indexed(spark, lake, 1000) == whole and indexed(spark, lake, 5, "none") == 0
+    with pytest.raises(ValueError):
+        indexed(spark, lake, 0)
+
+
+def test_the_file_index_may_be_behind(spark, lake, tmp_path):
+    writer(spark, lake).write_silver(trades(spark, *[trade(str(i), seconds=86400 * i) for i in range(6)]), lake.silver)
+    assert indexed(spark, lake, 2) == 6
+    file_index.refresh_file_bounds(spark, lake.silver, lake.file_bounds("silver"))
+    # A newer trade in a file that is not indexed, misfiled under the first day.
+    misfiled = spark.read.parquet(lake.silver).limit(1).withColumns({
+        "trade_id": F.lit("new"), "event_time": F.lit(START + timedelta(days=50)), "partition_date": F.lit("2026-05-24")})
+    misfiled.write.mode("append").partitionBy("partition_date", "symbol").parquet(lake.silver)
+    assert indexed(spark, lake, 2) <= 3
+    newest = max(Path(str(tmp_path / "lake")).glob("silver/trades/partition_date=2026-05-29/**/*.parquet"))
+    newest.rename(newest.with_name("moved-" + newest.name))
+    assert indexed(spark, lake, 2) <= 4
+
+
+def test_many_files_are_scanned_with_a_bound(spark, lake, monkeypatch):
+    writer(spark, lake).write_silver(trades(spark, *[trade(str(i), seconds=86400 * i) for i in range(6)]), lake.silver)
+    monkeypatch.setattr(file_index, "MOST_FILES", 2)
+    assert file_index.refresh_file_bounds(spark, lake.silver, lake.file_bounds("silver")) == 6
+    assert indexed(spark, lake, 1) == 1 and indexed(spark, lake, 5) == 6
+
+
+def all_layers(spark, layout):
+    names = {"silver": layout.silver, "rejects": layout.rejects, **{d: layout.gold(d) for d in GOLD},
+             **{m: layout.mart(m) for m in ("daily_summary", "symbol_performance", "volatility_metrics", "market_activity")}}
+    out = {}
+    for name, path in names.items():
+        df = spark.read.parquet(path)
+        df = df.drop("processing_timestamp")
+        out[name] = rows_of(df.select(*[F.col(c).cast("string") for c in sorted(df.columns)]))
+    return out
+
+
+def bronze_days(rng, days):
+    rows = []
+    for day in days:
+        for i in range(12):
+            rows.append(trade(rng.choice([f"{day}-{i}", f"id{rng.randrange(12)}"]), seconds=86400 * day + rng.choice([0, 60 * i, 85970, 50395]),
+                              price=Decimal(rng.randrange(0, 40)), symbol=rng.choice(["A", "B/C", "D"]), side=rng.choice(["BUY", "SELL"])))
+    return [{**r, "ingest_time": r["event_time"] + timedelta(days=rng.randrange(9))} for r in rows]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_changed_days_equal_a_full_rebuild(spark, lake, tmp_path, seed):
+    rng = random.Random(seed)
+    durations = ("1 minute", "1 day")
+    rows = bronze_days(rng, range(10))
+    moved, whole = Layout(str(tmp_path / "moved")), Layout(str(tmp_path / "whole"))
+    later = "2027-01-01 00:00:00"
+    again = StorageWriter(spark, lake.checkpoints, replace=True)
+    again.write_bronze(trades(spark, *rows), lake.bronze)
+    rebuild(spark, lake.bronze, moved, later, durations)
+    assert rebuild_changed_days(spark, lake.bronze, moved, later, durations) == []
+    bronze = read_bronze(spark, lake.bronze).repartition(7)
+    assert changed_days(bronze, moved).count() == 0
+
+    def day(r):
+        return (r["event_time"] - START.replace(hour=0)).days
+
+    new = [r for r in rows if day(r) not in (2, 6)] + bronze_days(rng, [6]) + bronze_days(rng, [14])
+    again.write_bronze(trades(spark, *new), lake.bronze)
+    written = {p: p.stat().st_mtime_ns for p in (tmp_path / "moved").glob("silver/**/*.parquet")}
+    days = rebuild_changed_days(spark, lake.bronze, moved, later, durations)
+    rebuild(spark, lake.bronze, whole, later, durations)
+    assert all_layers(spark, moved) == all_layers(spark, whole)
+    assert set(days) >= {"2026-05-26", "2026-05-30", "2026-06-07"}
+    kept = [p for p in written if not any(f"partition_date={d}/" in str(p) for d in days)]
+    assert all(p.exists() and p.stat().st_mtime_ns == written[p] for p in kept)
+    assert rebuild_changed_days(spark, lake.bronze, moved, later, durations) == []
+    with pytest.raises(ValueError, match="divide"):
+        rebuild_changed_days(spark, lake.bronze, moved, later, ("7 hours",))
+
+
+def test_one_changed_day_leaves_the_others(spark, lake, tmp_path):
+    """Ids of a day that are on no other day move that day alone."""
+    rows = [trade(f"{d}-{i}", seconds=86400 * d + i) for d in range(5) for i in range(4)]
+    target = Layout(str(tmp_path / "to"))
+    again = StorageWriter(spark, lake.checkpoints, replace=True)
+    again.write_bronze(trades(spark, *rows), lake.bronze)
+    rebuild(spark, lake.bronze, target, "2027-01-01 00:00:00")
+    again.write_bronze(trades(spark, *rows[:8], *rows[9:]), lake.bronze)
+    written = {p: p.stat().st_mtime_ns for p in (tmp_path / "to").glob("[sg]*/**/*.parquet")}
+    assert rebuild_changed_days(spark, lake.bronze, target, "2027-01-01 00:00:00") == ["2026-05-26"]
+    days = ("2026-05-24", "2026-05-25", "2026-05-28")
+    assert all(p.stat().st_mtime_ns == at for p, at in written.items() if any(f"={d}" in str(p) for d in days))
+    assert sum(r.trade_count for r in spark.read.parquet(target.mart("daily_summary")).collect()) == 19
