@@ -10,7 +10,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import BinaryType, DoubleType, FloatType, StringType
 
 from marketspark.functions.rules import instant
 from marketspark.schemas import DATE_PATTERN, GOLD, SIDES
@@ -159,10 +159,25 @@ def _row(position: int, kind: str, column: str | None, success: Column, **values
     ])
 
 
+def _key_hash(column: Column) -> Column:
+    return F.xxhash64(column)
+
+
 def _unique(df: DataFrame, position: int, column: str) -> DataFrame:
-    """Distinct values against rows, NULL being one value. Reads and shuffles only this column."""
+    """Distinct values against rows, NULL being one value. Reads and shuffles only this column.
+
+    Texts are counted by their 8-byte hashes first. A hash that only one row has stands for one value; only the rows
+    whose hash is repeated, by copies or by chance, are compared as texts, so the count is exact.
+    """
     if column not in df.columns:
         counts = df.agg(F.lit(0).alias("values"), F.lit(0).alias("total"))
+    elif isinstance(df.schema[column].dataType, (StringType, BinaryType)):
+        hashed = df.select(_key_hash(F.col(column)).alias("_hash"), column)
+        groups = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("copies"))
+        alone = groups.agg(F.count_if(F.col("copies") == 1).alias("values"), F.coalesce(F.sum("copies"), F.lit(0)).alias("total"))
+        repeated = hashed.join(groups.filter("copies > 1"), "_hash", "left_semi").select(column).distinct()
+        compared = repeated.agg(F.count(F.lit(1)).alias("values"), F.lit(0).cast("bigint").alias("total"))
+        counts = alone.unionByName(compared).agg(F.sum("values").alias("values"), F.sum("total").alias("total"))
     else:
         groups = df.groupBy(column).agg(F.count(F.lit(1)).alias("copies"))
         counts = groups.agg(

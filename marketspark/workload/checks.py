@@ -152,7 +152,10 @@ def _dq_marts(spark, sf_dir):
     UNION ALL
     SELECT 1, 'symbol,window_start', count(*) = 0, count(*) FROM (
       SELECT DISTINCT symbol, window_start FROM gold g WHERE NOT EXISTS (
-        SELECT 1 FROM gold p WHERE p.symbol = g.symbol AND p.window_start = g.window_start AND p.buy_count > 0))""")
+        SELECT 1 FROM gold p WHERE p.symbol = g.symbol AND p.window_start = g.window_start AND p.buy_count > 0))
+    UNION ALL
+    SELECT 2, 'symbol,window_start', count(*) = 0, count(*) FROM gold g WHERE NOT EXISTS (
+      SELECT 1 FROM gold p WHERE p.symbol = g.symbol AND p.window_start = g.window_start)""")
 def _dq_relationships(spark, sf_dir):
     staged = marts.stg_ohlc(candles(spark, sf_dir))
     bought = profiles(spark, sf_dir).filter("buy_count > 0")
@@ -161,18 +164,25 @@ def _dq_relationships(spark, sf_dir):
     second = quality.Suite("windows", (
         ("expect_nothing", {}),
         (quality.RELATIONSHIP, {"columns": ["symbol", "window_start"], "parent": bought}),
-    )).results(staged).filter("position = 1")
+        (quality.RELATIONSHIP, {"columns": ["symbol", "window_start"], "parent": profiles(spark, sf_dir)}),
+    )).results(staged).filter("position > 0")
     return first.unionByName(second).select("position", "column", "success", "unexpected_count")
 
 
-@query("dq_ohlc_invariants", f"WITH {_BAD_GOLD} " + " UNION ALL ".join(
+# Prices and times are wrong and volumes and counts are not, so that some invariants hold.
+_WRONG_PRICES = {name: value for name, value in _WRONG.items() if name not in ("volume", "trade_count")}
+_BAD_PRICES = f"{sql.GOLD}, bad AS (SELECT * REPLACE ({', '.join(f'{value} AS {name}' for name, value in _WRONG_PRICES.items())}) FROM gold)"
+
+
+@query("dq_ohlc_invariants", f"WITH {_BAD_PRICES} " + " UNION ALL ".join(
     f"SELECT {i} AS position, '{condition}' AS \"column\", {_count_if(f'NOT ({condition})')} = 0 AS success, "
     f"{_count_if(f'NOT ({condition})')} AS unexpected_count FROM bad"
     for i, condition in enumerate(quality.OHLC_INVARIANTS)
 ))
 def _dq_ohlc_invariants(spark, sf_dir):
-    results = quality.OHLC_INVARIANTS_SUITE.results(_bad_candles(spark, sf_dir))
-    return results.select("position", "column", "success", "unexpected_count")
+    table = candles(spark, sf_dir)
+    bad = table.select(*[F.expr(_WRONG_PRICES[name]).alias(name) if name in _WRONG_PRICES else name for name in table.columns])
+    return quality.OHLC_INVARIANTS_SUITE.results(bad).select("position", "column", "success", "unexpected_count")
 
 
 @query("dq_freshness", f"""
@@ -199,24 +209,30 @@ def _dq_partition_date(spark, sf_dir):
     return results.filter(F.col("expectation") == quality.CONDITION).select("position", "unexpected_count")
 
 
-def _activity(spark, sf_dir):
-    return metrics.message_activity(triage(topic_rows(events(spark, sf_dir)), AS_OF), "1 hour")
+def _activity(spark, sf_dir, interval="1 hour"):
+    return metrics.message_activity(triage(topic_rows(events(spark, sf_dir)), AS_OF), interval)
 
 
 def _bucket(column: str, seconds: int = 3600) -> str:
     return f"time_bucket(INTERVAL {seconds} SECOND, {column})"
 
 
-_LAG = f"""lag AS (
-  SELECT {_bucket('sent')} AS window_start, 'raw.trades' AS topic,
+def _lag_sql(seconds: int = 3600) -> str:
+    return f"""lag AS (
+  SELECT {_bucket('sent', seconds)} AS window_start, 'raw.trades' AS topic,
          (epoch_us(max(sent)) - epoch_us(max(CASE WHEN readable THEN event_time END))) / 1e6 AS lag_seconds
   FROM triaged GROUP BY 1)"""
 
-_LETTERS = f"""letters AS (
-  SELECT {_bucket('sent')} AS window_start, failure_reason AS reason, count(*) AS events
+
+def _letters_sql(seconds: int = 3600) -> str:
+    return f"""letters AS (
+  SELECT {_bucket('sent', seconds)} AS window_start, failure_reason AS reason, count(*) AS events
   FROM triaged WHERE failure_reason IS NOT NULL GROUP BY 1, 2)"""
 
 
+_LAG, _LETTERS = _lag_sql(), _letters_sql()
+
+
 @query("metric_events_by_stage", f"""
     WITH {sql.TRIAGED}, counts AS (
       SELECT {_bucket('sent')} AS window_start, count(*) AS raw, {_count_if("readable")} AS bronze,
@@ -247,29 +263,43 @@ def _metric_ingest(spark, sf_dir):
     return shown(metrics.ingested(trades(events(spark, sf_dir))))
 
 
-@query("metric_breaches", f"""
-    WITH {sql.TRIAGED}, {_LAG}, {_LETTERS}, readings AS (
+def _breaches_sql(seconds: int, lag_warning: int, lag_critical: int, letters: int, letter_limit: float) -> str:
+    """Rules of so many intervals each that fire in intervals of so many seconds."""
+    return f"""
+    WITH {sql.TRIAGED}, {_lag_sql(seconds)}, {_letters_sql(seconds)}, readings AS (
       SELECT window_start, 'ConsumerLagHigh' AS alert, 'warning' AS severity, topic AS label, lag_seconds AS value,
-             120.0 AS lim, 1 AS intervals FROM lag
-      UNION ALL SELECT window_start, 'ConsumerLagCritical', 'critical', topic, lag_seconds, 300.0, 1 FROM lag
-      UNION ALL SELECT window_start, 'DeadLetterRateHigh', 'warning', 'all', CAST(sum(events) AS DOUBLE), 1.0, 1
+             120.0 AS lim, {lag_warning} AS intervals FROM lag
+      UNION ALL SELECT window_start, 'ConsumerLagCritical', 'critical', topic, lag_seconds, 300.0, {lag_critical} FROM lag
+      UNION ALL SELECT window_start, 'DeadLetterRateHigh', 'warning', 'all', CAST(sum(events) AS DOUBLE), {letter_limit}, {letters}
                 FROM letters GROUP BY window_start),
     over_limit AS (SELECT * FROM readings WHERE value > lim)
     SELECT a.window_start, a.alert, a.severity, a.label, round(a.value, 6) AS value
     FROM over_limit a
-    WHERE a.intervals = (SELECT count(*) FROM over_limit b WHERE b.alert = a.alert AND b.label = a.label
-      AND b.window_start > a.window_start - to_hours(a.intervals) AND b.window_start <= a.window_start)""")
-def _metric_breaches(spark, sf_dir):
+    JOIN over_limit b ON b.alert = a.alert AND b.label = a.label
+      AND b.window_start > a.window_start - to_seconds(a.intervals * {seconds}) AND b.window_start <= a.window_start
+    GROUP BY a.window_start, a.alert, a.severity, a.label, a.value, a.intervals HAVING count(*) = a.intervals"""
+
+
+def _fired(spark, sf_dir, interval: str, **limits):
     # The rules read the stored metric table, not the messages once per rule.
     path = working_path(spark, "activity")
-    _activity(spark, sf_dir).write.parquet(path)
+    _activity(spark, sf_dir, interval).write.parquet(path)
     activity = spark.read.parquet(path)
-    fired = metrics.breaches(
-        metrics.consumer_lag(activity), metrics.dead_letters_by_reason(activity), "1 hour", dead_letters_per_minute=1 / 60
-    )
+    fired = metrics.breaches(metrics.consumer_lag(activity), metrics.dead_letters_by_reason(activity), interval, **limits)
     return shown(fired, value=6)
 
 
+@query("metric_breaches", _breaches_sql(3600, 1, 1, 1, 1.0))
+def _metric_breaches(spark, sf_dir):
+    return _fired(spark, sf_dir, "1 hour", dead_letters_per_minute=1 / 60)
+
+
+@query("metric_breaches_by_minute", _breaches_sql(60, 2, 5, 5, 10.0))
+def _metric_breaches_by_minute(spark, sf_dir):
+    """The rules at their own interval and limits: each has to be broken for several minutes on end."""
+    return _fired(spark, sf_dir, "1 minute")
+
+
 @query("metric_duplicates", f"""
     WITH {REPEATED}, ranked AS (
       SELECT ingest_time, row_number() OVER (PARTITION BY trade_id ORDER BY ingest_time DESC) AS n FROM repeated)

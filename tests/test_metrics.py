@@ -104,3 +104,22 @@ def test_running_watermark_is_not_taken_in_one_task(spark):
     single = [line for line in plan.splitlines() if "Window [" in line and "_day_newest" in line]
     # The only window without a partition works on one row per day.
     assert len(single) == 1
+
+
+def test_late_events_is_a_plan_until_asked(spark):
+    """Neither the call nor explain starts a job."""
+    from marketspark.plans.metrics import late_events
+    from marketspark.workload.tables import delayed_trades
+
+    source = spark.range(500).selectExpr(
+        "id AS event_id", "timestamp '2024-01-01' + make_interval(0, 0, 0, 0, 0, id) AS ts", "id AS user_id", "'view' AS event_type",
+        "1.0D AS value", "'{\"k\": 1}' AS props")
+    group = "late-events-plan"
+    spark.sparkContext.setJobGroup(group, "no job")
+    try:
+        found = late_events(delayed_trades(source))
+        found.explain("formatted")
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+        assert found.count() == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

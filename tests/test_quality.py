@@ -6,6 +6,8 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from helpers import START, trade, trades
 from marketspark.operators import quality as q
 from marketspark.operators.gold import AGGREGATES, aggregate_ohlc, aggregate_volume_profile
@@ -89,8 +91,8 @@ def test_other_expectations(spark):
 def test_row_checks_share_one_aggregate_and_nothing_is_collected(spark):
     results = q.SILVER_TRADES_SUITE.results(trades(spark, trade()))
     plan = results._jdf.queryExecution().optimizedPlan().toString()
-    # One aggregate for the row checks, two for uniqueness.
-    assert plan.count("Aggregate") == 3
+    # One aggregate for the row checks; for uniqueness two over hashes, three over repeated ones, and their sum.
+    assert plan.count("Aggregate") == 7
 
 
 def test_check_counts(spark):
@@ -155,3 +157,21 @@ def test_stored_table_run_writes_results(spark, tmp_path):
     assert [(w["unique_count"], w["total_count"]) for w in written if w["expectation"] == q.UNIQUE] == [(1, 1)]
     with pytest.raises(ValueError):
         q.validate_table(spark, "other", path)
+
+
+@pytest.mark.parametrize("width", [1, 2, 64])
+def test_uniqueness_is_exact_where_hashes_collide(spark, monkeypatch, width):
+    """Hashes of a few values only, so that other texts meet copies in one hash."""
+    monkeypatch.setattr(q, "_key_hash", lambda column: F.pmod(F.xxhash64(column), F.lit(width)))
+    for ids in (["a", "b", "c"], ["a", "a", "b"], [None, "a", None], [None], [], ["", " ", "a"]):
+        df = spark.createDataFrame([(i,) for i in ids], "trade_id string").repartition(3)
+        row, = q.Suite("ids", ((q.UNIQUE, {"column": "trade_id"}),)).results(df).collect()
+        assert (row.unique_count, row.total_count, row.success) == (len(set(ids)), len(ids), len(set(ids)) == len(ids))
+
+
+def test_uniqueness_of_texts_shuffles_hashes(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(2000)], "trade_id string")
+    results = q.Suite("ids", ((q.UNIQUE, {"column": "trade_id"}),)).results(df)
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(_hash" in plan
+    assert results.collect()[0].unique_count == 2000

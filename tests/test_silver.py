@@ -4,9 +4,11 @@ import random
 from datetime import timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import AS_OF, START, rows_of, trade, trades
+from marketspark.operators import silver as silver_module
 from marketspark.operators.silver import (
     anti_join_invalid,
     count_duplicates_dropped,
@@ -143,3 +145,26 @@ def test_to_silver_chains_the_steps(spark):
     )
     row, = to_silver(df, AS_OF).collect()
     assert (row.trade_id, row.symbol, row.side, row.ingest_time) == ("1", "BTCUSDT", "SELL", START + timedelta(hours=2))
+
+
+def stored_trades(spark, path, seed=3, n=300):
+    rng = random.Random(seed)
+    rows = [trade(rng.choice([None, *map(str, range(40))]), seconds=i, side=rng.choice(["BUY", "HOLD"]), price=Decimal(i)) for i in range(n)]
+    trades(spark, *rows).repartition(3).write.parquet(path)
+    return rows, spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_anti_join_either_way(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(silver_module, "SUSPECTS_BROADCAST", limit)
+    rows, df = stored_trades(spark, str(tmp_path / "t"))
+
+    def valid(r):
+        return r["side"] == "BUY" and r["price"] > 0
+
+    ids = {r["trade_id"] for r in rows if valid(r) and r["trade_id"] is not None}
+    expected = sorted((r["trade_id"] or "", r["price"]) for r in rows if r["trade_id"] not in ids)
+    found = anti_join_invalid(df, AS_OF)
+    # The pass that stored the suspects, and one more over the input.
+    assert found._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/t") == 1
+    assert sorted((r.trade_id or "", r.price) for r in found.collect()) == expected and expected
