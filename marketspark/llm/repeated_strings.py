@@ -55,8 +55,10 @@ class Shape:
 
     def __init__(self, threshold: int, buckets: int):
         self.threshold, self.buckets = threshold, buckets
-        self.digit = threshold // 2 // 8 * 8
+        # Half the string, or more where its offsets around a digit would be over the 64 that a mask holds.
+        self.digit = max(threshold // 2, threshold - 56) // 8 * 8
         self.windows = threshold - self.digit + 1
+        self.bits = np.uint32 if self.windows <= 32 else np.uint64
         self.side = threshold - self.digit
         self.around = self.digit + 2 * self.side
         self.row = -(-(self.around + 8) // 8) * 8
@@ -158,7 +160,7 @@ class Chunk:
 
     def spread(self, values: dict[int, np.ndarray], chosen: np.ndarray) -> np.ndarray:
         """Answers by bucket for the ``chosen`` heads, as one array over all heads."""
-        out = np.zeros(len(self.heads), np.uint32)
+        out = np.zeros(len(self.heads), self.shape.bits)
         places = np.flatnonzero(chosen)
         edges = np.searchsorted(self.bucket[self.heads][places], np.arange(self.shape.buckets + 1))
         for bucket, own in values.items():
@@ -171,7 +173,7 @@ class Chunk:
         offsets = np.arange(shape.windows)
         valid = (offsets >= (shape.side - self.left)[:, None]) & (offsets <= self.right[:, None])
         whole = (self.owner > self.owner[self.heads][self.rank]) | (flags[self.rank] == WHOLE)
-        bits = (masks[self.rank][:, None] >> offsets.astype(np.uint32)) & np.uint32(1) > 0
+        bits = (masks[self.rank][:, None] >> offsets.astype(shape.bits)) & shape.bits(1) > 0
         anchor, offset = np.nonzero(valid & (whole[:, None] | bits))
         sizes = np.array([len(r) for r in self.raw], np.int64)
         starts = np.cumsum(sizes + 1) - sizes - 1
@@ -212,7 +214,7 @@ def repeated_strings(
     """One row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked, ``kept``.
 
     A byte goes if a string of ``threshold`` bytes over it also starts in a document of a smaller id; ``kept``
-    is what stays, as bytes. A null text is empty. A row without id removes nothing elsewhere and keeps all.
+    is what stays, as bytes; ``threshold`` is 16 or any larger number. A null text is empty. A row without id removes nothing elsewhere and keeps all.
     Repeated rows of an id are one document to the others and lose nothing to each other. Extra columns are
     left out; an empty table gives an empty result.
 
@@ -301,7 +303,7 @@ def repeated_strings(
         rows = np.frombuffer(b"".join(table.column("rows").to_pylist()), np.uint8).reshape(-1, shape.row)
         owners = np.frombuffer(b"".join(table.column("owners").to_pylist()), np.int64)
         left, right = (rows[:, shape.around + k].astype(np.int64) for k in (0, 1))
-        masks = np.zeros(len(rows), np.uint32)
+        masks = np.zeros(len(rows), shape.bits)
         for offset in range(shape.windows):
             own = np.flatnonzero((offset >= shape.side - left) & (offset <= right))
             if not len(own):
@@ -313,7 +315,7 @@ def repeated_strings(
             order, new = first_groups(hashes, owners[own])
             new[1:] |= (strings[order[1:]] != strings[order[:-1]]).any(axis=1)
             least = owners[own][order][new][np.cumsum(new) - 1]
-            masks[own[order[owners[own][order] > least]]] |= np.uint32(1 << offset)
+            masks[own[order[owners[own][order] > least]]] |= shape.bits(1 << offset)
         sizes = [len(x) // 8 for x in table.column("owners").to_pylist()]
         ends = np.cumsum(sizes)
         columns = [table.column(c).to_pylist() for c in ("chunk", "shared", "flags")]
@@ -324,7 +326,7 @@ def repeated_strings(
     def remove(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         chunk, _ = state(table, replies)
         flags = flags_of(chunk, replies)
-        masks = {b: np.frombuffer(x or b"", np.uint32) for b, x in answers(replies, "masks").items()}
+        masks = {b: np.frombuffer(x or b"", shape.bits) for b, x in answers(replies, "masks").items()}
         covered = chunk.removed(flags, chunk.spread(masks, flags == ASKED))
         kept, removed, spans = [], [], []
         for raw, gone in zip(chunk.raw, covered, strict=True):

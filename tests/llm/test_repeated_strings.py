@@ -53,7 +53,7 @@ def rows(df):
     return sorted((r.doc_id if r.doc_id is not None else -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
 
 
-@pytest.mark.parametrize(("seed", "alphabet", "threshold"), [(1, "abcdefghijklmnop é\n", 50), (2, "ab", 50), (3, "abc日", 20)])
+@pytest.mark.parametrize(("seed", "alphabet", "threshold"), [(1, "abcdefghijklmnop é\n", 50), (2, "ab", 50), (3, "abc日", 20), (4, "abcd ", 55), (5, "abcd ", 56), (6, "ab é", 64), (7, "abcd", 100), (8, "ab", 130)])
 def test_equals_brute_force(documents, seed, alphabet, threshold):
     texts = corpus(seed, alphabet)
     ids = random.Random(9).sample(range(1000), len(texts))
