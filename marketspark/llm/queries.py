@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from secrets import token_hex
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # A value is a copied example if more owners than this hold it in texts that are no copies of one another.
 FEW_OWNERS = 4
-SURROGATE_KEY = "change this key for each corpus"
+# The setting that holds the key of surrogates. Without it each run has a random key, which nobody can go back by.
+SURROGATE_KEY = "spark.marketspark.surrogateKey"
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -75,7 +77,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_keyed_surrogates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.replace_personal_data(table(spark, sf_dir, "documents"), key=SURROGATE_KEY)
+    key = spark.conf.get(SURROGATE_KEY, None) or token_hex(32)
+    return surrogates.replace_personal_data(table(spark, sf_dir, "documents"), key=key)
 
 
 @query("op8_best_fit_shards")

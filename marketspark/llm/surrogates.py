@@ -11,6 +11,7 @@ the next attempt until none is left.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,23 +21,28 @@ from marketspark.llm.common import picked, stored
 
 # Titles by gender (m, f, none) in the languages served.
 TITLES = {
-    "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин"),
+    "m": ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа", "госпожа"),
-    "n": ("Dr", "Prof"),
+    "n": ("Dr", "Prof", "Capt", "Rev"),
 }
 NO_WORD_BEFORE = r"(?<![\p{L}\p{N}])"
-# A mark belongs to the word if a letter follows, but for a possessive 's.
-NAME_WORD = r"\p{Lu}(?:\p{L}|['’-](?=\p{L})(?![sS](?!\p{L}))){1,40}+"
+# A mark belongs to the word if a letter follows, but for a possessive 's. Scripts without case have no capitals.
+NAME_WORD = r"[\p{Lu}\p{Lo}](?:[\p{L}\p{M}]|['’-](?=\p{L})(?![sS](?!\p{L})))++"
 MENTION = NO_WORD_BEFORE + NAME_WORD
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}(?<![.-])",
     "iban": NO_WORD_BEFORE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![\p{L}\p{N}])",
-    "card": NO_WORD_BEFORE + r"\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?![\p{L}\p{N}])",
+    "card": NO_WORD_BEFORE + r"(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -]?)\d{6}\2\d{5})(?![\p{L}\p{N}])",
     "ssn": NO_WORD_BEFORE + r"\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\p{L}\p{N}])"
-             r"|(?<![\p{L}\p{N}+])\+\d{9,14}(?![\p{L}\p{N}])",
+             r"|(?<![\p{L}\p{N}+])\+\d{9,14}(?![\p{L}\p{N}])"
+             r"|(?<![\p{L}\p{N}+])(?:\+\d{1,3} ?\(0\) ?\d{2,4}|\+\d{1,3}[ .-]\d{2,4}|\(?0\d{2,4}\)?)[ ./-]\d{5,8}(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{L}\p{N}.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?!\.?[\p{L}\p{N}])",
+    # Eight groups, or fewer around one gap; three colons and a digit at least, which names of program scopes have not.
+    "ip6": r"(?<![\p{L}\p{N}:.])(?=(?:[0-9A-Fa-f]*:){3})(?=[A-Fa-f:]*[0-9])"
+           r"(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+           r"|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\p{L}\p{N}:])",
     "name": NO_WORD_BEFORE + "(?:" + "|".join(t for own in TITLES.values() for t in own) + rf")\.? {NAME_WORD}(?: {NAME_WORD})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -52,13 +58,35 @@ CYRILLIC = {
     "m": ("н", "р", "слав", "мир"), "f": ("а", "на", "ия", "ина"), "n": ("я", "ша", "ни", "ля"), "family": ("енко", "ук", "ых", "ян"),
     "letters": "абвгдежзиклмнопрстуфхцчшэюя",
 }
+GREEK = {
+    "syllables": ("βα", "δε", "κι", "λο", "μυ", "νε", "πο", "ρα", "σι", "τυ", "φα", "ζε", "χο", "γα", "θι", "ξο"),
+    "m": ("ς", "νος", "ρης", "κος"), "f": ("α", "να", "λια", "νη"), "n": ("ω", "ρι", "λι", "τη"), "family": ("ιδης", "ακης", "οπουλος", "ου"),
+    "letters": "αβγδεζηθικλμνξοπρστυφχψω",
+}
+ARABIC = {
+    "syllables": ("با", "دي", "كي", "لو", "مو", "ني", "بو", "را", "سي", "تو", "فا", "زي", "حا", "جا", "هي", "شو"),
+    "m": ("د", "ر", "م", "ن"), "f": ("ة", "اء", "ى", "ين"), "n": ("ي", "و", "ا", "ل"), "family": ("اني", "اوي", "ري", "لي"),
+    "letters": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+}
+HEBREW = {
+    "syllables": ("בא", "דה", "קי", "לו", "מו", "נה", "פו", "רא", "סי", "טו", "וא", "זה", "חו", "גא", "הי", "יו"),
+    "m": ("ן", "ר", "ד", "ל"), "f": ("ה", "ית", "נה", "לה"), "n": ("י", "ו", "א", "ת"), "family": ("זון", "מן", "ברג", "אלי"),
+    "letters": "אבגדהוזחטיכלמנסעפצקרשת",
+}
+SCRIPTS = {r"\p{IsCyrillic}": CYRILLIC, r"\p{IsGreek}": GREEK, r"\p{IsArabic}": ARABIC, r"\p{IsHebrew}": HEBREW}
 # The country calling codes in use or reserved; none is the beginning of another.
 CALLING_CODE = (r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
                 r"|2[1-689]\d|3[578]\d|42\d|5[09]\d|6[7-9]\d|8[03578]\d|9[679]\d")
-IS_CYRILLIC = r"^\p{IsCyrillic}"
 MOST_ATTEMPTS = 30
 
 
+def by_script(text: Column, choose: Callable[[dict], Column]) -> Column:
+    """What ``choose`` makes of the script of the first character, Latin where the script is no other of ours."""
+    cases = reduce(lambda case, own: case.when(text.rlike(f"^{own}"), choose(SCRIPTS[own])), list(SCRIPTS)[1:],
+                   F.when(text.rlike(f"^{list(SCRIPTS)[0]}"), choose(CYRILLIC)))
+    return cases.otherwise(choose(LATIN))
+
+
 def may_hold_entities(text: Column) -> Column:
     """Whether a text has what every pattern needs somewhere: a digit, an at sign, or a title. Far cheaper
     than the patterns, and most texts go no further."""
@@ -78,11 +106,11 @@ def pieces_of(entity: Column, kind: Column) -> Column:
         return F.struct(kind.alias("kind"), identity.alias("identity"), gender.alias("gender"), surface.alias("surface"))
 
     none = F.lit(None).cast("string")
-    digits = F.regexp_replace(entity, "[^0-9]", "")
+    digits = F.regexp_replace(F.regexp_replace(entity, r"\(0\)", ""), "[^0-9]", "")
     country = F.when(entity.startswith("+"), F.regexp_extract(digits, f"^(?:{CALLING_CODE})", 0)).otherwise("")
     rest = F.substring(digits, F.length(country) + 1, 100)
     identity = (
-        F.when(kind == "email", F.lower(entity)).when(kind == "iban", F.regexp_replace(entity, " ", ""))
+        F.when(kind.isin("email", "ip6"), F.lower(entity)).when(kind == "iban", F.regexp_replace(entity, " ", ""))
         .when(kind == "phone", F.concat(country, F.lit(":"), rest)).when(kind == "ip", entity).otherwise(digits))
     words = F.split(entity, " ")
     title = F.regexp_replace(words[0], r"\.$", "")
@@ -105,7 +133,7 @@ def reshaped(text: Column, digest: Column) -> Column:
     """Each digit and letter changed for a keyed one of its kind, case and script; the rest stays."""
     def change(c: Column, i: Column) -> Column:
         number = byte_at(digest, F.pmod(i, F.lit(64)))
-        letter = F.when(c.rlike(IS_CYRILLIC), of_list(CYRILLIC["letters"], number)).otherwise(of_list(LATIN["letters"], number))
+        letter = by_script(c, lambda script: of_list(script["letters"], number))
         return (F.when(c.rlike("^[0-9]$"), F.pmod(number, F.lit(10)).cast("string"))
                 .when(c.rlike(r"^\p{Lu}$"), F.upper(letter)).when(c.rlike(r"^\p{L}$"), letter).otherwise(c))
 
@@ -152,6 +180,7 @@ def replacement(key: str) -> Column:
         return (F.when(kind == "family", of_list(script["family"], number)).when(gender == "m", of_list(script["m"], number))
                 .when(gender == "f", of_list(script["f"], number)).otherwise(of_list(script["n"], number)))
 
+    groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.substring(digest, (i * 4 + 1).cast("int"), F.lit(4))), ":")
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.pmod(byte_at(digest, i), F.lit(254)) + 1).cast("string")), ".")
     return (
         F.when(kind == "email", F.concat(local, longer, F.lit("@h"), host, F.lit(".example.com")))
@@ -160,7 +189,8 @@ def replacement(key: str) -> Column:
         .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, 2, 100)))
         .when(kind == "phone", F.concat(prefix, F.lit(":"), F.substring_index(shaped, ":", -1)))
         .when(kind == "ip", octets)
-        .otherwise(F.when(identity.rlike(IS_CYRILLIC), word(CYRILLIC, ending(CYRILLIC))).otherwise(word(LATIN, ending(LATIN)))))
+        .when(kind == "ip6", F.concat(F.lit("2001:db8:"), groups))
+        .otherwise(by_script(identity, lambda script: word(script, ending(script)))))
 
 
 def dictionary(pieces: DataFrame, key: str) -> DataFrame:
@@ -188,11 +218,12 @@ def dictionary(pieces: DataFrame, key: str) -> DataFrame:
 
 def rendered(kind: Column, surface: Column, replacement: Column) -> Column:
     """The replacement in the surface's layout and case."""
-    characters = F.regexp_replace(replacement, ":", "")
+    # A trunk zero in brackets is no part of the number and stays.
+    characters = F.regexp_replace(replacement, ":", F.when(surface.contains("(0)"), "0").otherwise(""))
     gaps = F.split(surface, "[A-Z0-9]", -1)
     laid_out = F.array_join(F.zip_with(gaps, F.split(characters, ""), lambda g, c: F.concat(g, F.coalesce(c, F.lit("")))), "")
     upper = (surface == F.upper(surface)) & (F.length(surface) > 1)
-    return (F.when(kind.isNull(), surface).when(kind.isin("iban", "card", "ssn", "phone"), laid_out).when(kind == "ip", replacement)
+    return (F.when(kind.isNull(), surface).when(kind.isin("iban", "card", "ssn", "phone"), laid_out).when(kind.isin("ip", "ip6"), replacement)
             .when(upper, F.upper(replacement)).otherwise(replacement))
 
 

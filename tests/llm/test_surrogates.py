@@ -110,3 +110,70 @@ def test_one_phone_number_is_replaced_alike_with_and_without_separators(document
     assert new[8] != new[0][2:]
     old = [re.sub("[0-9]", "0", p) for p in spellings + others]
     assert [re.sub("[0-9]", "0", found[i].text)[5:-4] for i in range(len(found))] == old
+
+
+def test_scripts_are_kept(documents):
+    texts = ["Prof أحمد منصور wrote", "Dr Γιώργος Παπαδάκης wrote", "Prof דוד כהן wrote", "γιώργος5@mail.example.org wrote",
+             "Herr " + "Langer" * 20 + " wrote", "Prof أحمد again"]
+    found = replaced(documents, *texts)
+    scripts = [r"Prof [؀-ۿ]+ [؀-ۿ]+ wrote", r"Dr [Α-Ωα-ωά-ώϊϋΐΰς]+ [Α-Ωα-ωά-ώϊϋΐΰς]+ wrote", r"Prof [֐-׿]+ [֐-׿]+ wrote",
+               r"[α-ως]+\d@h[0-9a-f]{12}\.example\.com wrote", r"Herr [A-Z][a-z]+ wrote"]
+    for k, pattern in enumerate(scripts):
+        assert re.fullmatch(pattern, found[k].text), found[k].text
+        assert set(texts[k].split()) & set(found[k].text.split()) <= {"Prof", "Dr", "Herr", "wrote"}
+    assert found[5].text.split()[1] == found[0].text.split()[1] and "Langer" not in found[4].text
+
+
+def test_further_formats(documents):
+    olds = ["3782 822463 10005", "378282246310005", "+49 (0)30 1234567", "030 12345678", "(089) 1234567", "2001:0db8:85a3:0000:0000:8a2e:0370:7334",
+            "fe80::1ff:fe23:4567:890a", "2001:db8::1"]
+    found = replaced(documents, *[f"a {old} end" for old in olds], "call +49 30 1234567 now", "Capt John Smith met Rev. Mary Jones")
+    news = [found[k].text.removeprefix("a ").removesuffix(" end") for k in range(len(olds))]
+    for old, new in zip(olds[:5], news[:5], strict=True):
+        assert old != new and re.sub("[0-9]", "0", old) == re.sub("[0-9]", "0", new)
+    assert luhn_ok(news[0].replace(" ", "")) and re.sub(" ", "", news[0]) == news[1]
+    assert "(0)" in news[2] and re.sub(r"\D", "", news[2].replace("(0)", "")) == re.sub(r"\D", "", found[len(olds)].text)
+    assert all(re.fullmatch(r"2001:db8(:[0-9a-f]{4}){6}", new) for new in news[5:]) and len(set(news[5:])) == 3
+    assert not {"John", "Smith", "Mary", "Jones"} & set(found[len(olds) + 1].text.split())
+
+
+def test_clean_texts_stay(documents):
+    texts = ["at 12:30:45 on 2024-01-02", "std::vector<int> a::b::c face::add", "::", "version 1.2.3 :: 4", "in 030 ways", "Prof. of 1234 words", "Sir", "a:b:c:d"]
+    found = replaced(documents, *texts)
+    assert [found[k].text for k in range(len(texts))] == texts
+
+
+def plainly(texts):
+    """Every pattern's matches as plain Python finds them, kind by kind in the order of the patterns."""
+    import regex
+
+    whole = regex.compile(sg.ANY.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}"))
+    kinds = {k: regex.compile(p) for k, p in sg.PATTERNS.items()}
+    return [[(next((k for k, p in kinds.items() if p.fullmatch(m[0])), "name"), m[0]) for m in whole.finditer(t or "")] for t in texts]
+
+
+def test_detection_and_mapping_equal_brute_force(spark):
+    """On a test table: what is found, that one identity has one surrogate, and that all else stays."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in sg.replace_personal_data(docs, "k").collect()}
+    expected = plainly([r.text for r in rows])
+    assert sum(map(len, expected)) > 20
+    mapping = {}
+    for row, entities in zip(rows, expected, strict=True):
+        got = found[row.doc_id]
+        assert got.kinds == ",".join(sorted({kind for kind, _ in entities}))
+        if not entities:
+            assert got.text == row.text
+            continue
+        names = {w.lower() for kind, e in entities if kind == "name" for w in e.split(" ")[1:]}
+        place = 0
+        for kind, entity in entities:
+            assert entity not in got.text or kind == "name"
+            at = row.text.index(entity, place)
+            between = row.text[place:at]
+            if not any(w.lower() in names for w in re.findall(r"\w+", between)):
+                assert between in got.text
+            place = at + len(entity)
+        mapping.update({(kind, e.lower()): None for kind, e in entities})
+    assert len(found) == len(rows)
