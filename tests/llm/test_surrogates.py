@@ -114,7 +114,7 @@ def test_one_phone_number_is_replaced_alike_with_and_without_separators(document
 
 def test_scripts_are_kept(documents):
     texts = ["Prof أحمد منصور wrote", "Dr Γιώργος Παπαδάκης wrote", "Prof דוד כהן wrote", "γιώργος5@mail.example.org wrote",
-             "Herr " + "Langer" * 20 + " wrote", "Prof أحمد again"]
+             "Herr " + "Langer" * 20 + " wrote", "Prof أحمد منصور again"]
     found = replaced(documents, *texts)
     scripts = [r"Prof [؀-ۿ]+ [؀-ۿ]+ wrote", r"Dr [Α-Ωα-ωά-ώϊϋΐΰς]+ [Α-Ωα-ωά-ώϊϋΐΰς]+ wrote", r"Prof [֐-׿]+ [֐-׿]+ wrote",
                r"[α-ως]+\d@h[0-9a-f]{12}\.example\.com wrote", r"Herr [A-Z][a-z]+ wrote"]
