@@ -4,10 +4,11 @@
    exact copies, however many, cost one row a task.
 2. Bands of minima put nodes into buckets. A bucket's hub is its smallest id; nodes that share a bucket share
    that bucket's hub, so the pairs to look at lie inside the hub's group.
-3. A task holds one or two blocks of a hub's group with sets and packed signatures. It counts equal bits of
-   all signatures at once, corrects them for chance, and proves a link on the full sets where the estimate
-   allows one and the two are not connected already. It returns links, never pairs.
+3. Every member is held against its hub: equal bits of the packed signatures are counted, corrected for chance,
+   and a link is proved on the full sets where the estimate allows one. A group of any size moves once for this.
 4. Links are contracted to their smallest id, round by round, in tables of the shared folder.
+5. Members that are still not connected with their hub are held against the rest of the group, in tasks of one or
+   two bounded blocks that leave out rows connected already. Their links contract what step 4 gave.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.llm.common import mixed, picked, stored, text_slices
@@ -30,7 +31,8 @@ KEPT_BITS = 2
 MISS = 1e-7
 DEVIATIONS = 5.5
 BROADCAST_IDS = 1_000_000
-SMALL_BLOCK, MOST_BLOCKS, LARGE_BLOCK = 64, 64, 16_384
+# A block holds about so many rows of a group and so many shingles of them, or one row with more.
+BLOCK_ROWS, BLOCK_SHINGLES = 8_192, 1 << 21
 SEED = 20_240_607
 
 
@@ -129,42 +131,68 @@ def estimates(one: np.ndarray, others: np.ndarray, count: int) -> np.ndarray:
     return (equal / count - chance) / (1 - chance)
 
 
-def links_within(ids: list[int], sides: list[int], sets: list[np.ndarray], bits: np.ndarray, percent: int, count: int) -> list[tuple[int, int]]:
-    """Links that connect all that is linked among these rows; with two sides, only across them."""
-    n = len(ids)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    flat, starts = np.concatenate(sets), np.cumsum(sizes) - sizes
-    side, label = np.array(sides), np.arange(n)
+class Members:
+    """Rows of a group with their packed signatures and sets."""
+
+    def __init__(self, table: pa.Table, percent: int, count: int):
+        self.ids = np.array(table.column("node").to_pylist(), np.int64)
+        self.sets = [np.frombuffer(b, np.uint64) for b in table.column("shingles").to_pylist()]
+        self.bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(self.ids), -1)
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        self.flat, self.starts = np.concatenate(self.sets), np.cumsum(self.sizes) - self.sizes
+        self.percent, self.count, self.least = percent, count, least_estimate(percent, count)
+
+    def likely(self, x: int) -> np.ndarray:
+        """Rows whose size and estimate allow a link with row ``x``, likeliest first, without ``x``."""
+        found = estimates(self.bits[x], self.bits, self.count)
+        fits = (found >= self.least) & (100 * np.minimum(self.sizes, self.sizes[x]) >= self.percent * np.maximum(self.sizes, self.sizes[x]))
+        fits[x] = False
+        others = np.flatnonzero(fits)
+        return others[np.argsort(-found[others], kind="stable")]
+
+    def proved(self, x: int, some: np.ndarray) -> np.ndarray:
+        """Those of ``some`` rows that the full sets link with row ``x``."""
+        lengths = self.sizes[some]
+        places = np.repeat(self.starts[some] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        values, own = self.flat[places], self.sets[x]
+        spots = np.searchsorted(own, values)
+        spots[spots == len(own)] = 0
+        shared = np.add.reduceat((own[spots] == values).astype(np.int64), np.cumsum(lengths) - lengths)
+        return some[100 * shared >= self.percent * (lengths + len(own) - shared)]
+
+
+def links_within(members: Members, labels: list[int], sides: list[int]) -> list[tuple[int, int]]:
+    """Pairs of labels that connect all that is linked among these rows; with two sides, only across them."""
+    names, label = np.unique(np.array(labels, np.int64), return_inverse=True)
+    first, side, links = label.copy(), np.array(sides), []
     across = len(set(sides)) > 1
-    least, links = least_estimate(percent, count), []
-    for x in np.argsort(ids, kind="stable"):
-        likely = estimates(bits[x], bits, count)
-        fits = (likely >= least) & (100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x]))
-        fits &= label != label[x]
+    for x in np.argsort(members.ids, kind="stable"):
+        if across and side[x] != side.min():
+            continue
+        others = members.likely(x)
         if across:
-            fits &= side != side[x]
-        others = np.flatnonzero(fits)
-        others = others[np.argsort(-likely[others], kind="stable")]
+            others = others[side[others] != side[x]]
         at, width = 0, 8
         while at < len(others):
             some = others[at:at + width]
             some = some[label[some] != label[x]]
             at, width = at + width, min(2 * width, 512)
-            if not len(some):
-                continue
-            lengths = sizes[some]
-            places = np.repeat(starts[some] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-            values = flat[places]
-            spots = np.searchsorted(sets[x], values)
-            spots[spots == sizes[x]] = 0
-            shared = np.add.reduceat((sets[x][spots] == values).astype(np.int64), np.cumsum(lengths) - lengths)
-            for y in some[100 * shared >= percent * (lengths + sizes[x] - shared)]:
+            for y in members.proved(x, some) if len(some) else ():
                 if label[y] != label[x]:
-                    links.append((ids[x], ids[y]))
+                    links.append((int(names[first[x]]), int(names[first[y]])))
                     label[label == label[y]] = label[x]
     return links
 
 
+def links_with(members: Members, hub: int) -> list[int]:
+    """Ids of the rows that are linked with the row ``hub``."""
+    [x] = np.flatnonzero(members.ids == hub)
+    others, found = members.likely(x), []
+    for at in range(0, len(others), 512):
+        found += members.ids[members.proved(x, others[at:at + 512])].tolist()
+    return found
+
+
 def with_sets(docs: DataFrame, size: int) -> DataFrame:
     """The shingle set of each text that has one, sorted and packed as 64-bit numbers, and its digest."""
 
@@ -200,34 +228,67 @@ def signed(docs: DataFrame, size: int, count: int) -> DataFrame:
 
 def stars(nodes: DataFrame) -> DataFrame:
     """Each node with the hubs (smallest ids) of the buckets it shares with another; hubs are in their own groups."""
-    placed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    placed = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
     hubs = placed.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
     shared = hubs.filter("n > 1").select("band", "key", "hub")
-    return placed.join(shared, ["band", "key"]).groupBy("hub", "node").agg(F.count(F.lit(1)).alias("buckets")).drop("buckets")
+    return placed.join(shared, ["band", "key"]).groupBy("hub", "node").agg(F.max("n_shingles").alias("n_shingles"))
+
+
+def blocks_of(which: Column) -> Column:
+    """How many blocks the rows of a group take for which ``which`` holds, as an aggregate."""
+    rows, shingles = F.count(F.when(which, 1)), F.sum(F.when(which, F.col("n_shingles")).otherwise(0))
+    return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def beside_hubs(groups: DataFrame) -> DataFrame:
+    """Rows of each hub's group dealt to parts, each once; the hub alone is in every part of its group."""
+    sizes = groups.groupBy("hub").agg(blocks_of(F.lit(True)).alias("parts"))
+    own = F.array(F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    return groups.join(sizes, "hub").select("hub", "node", F.explode(F.when(F.col("hub") == F.col("node"), every).otherwise(own)).alias("part"))
+
+
+def hub_links(groups: DataFrame, sets: DataFrame, percent: int, count: int) -> DataFrame:
+    """Links of members with the hub of their group."""
+
+    def prove(key: tuple, members: pa.Table) -> pa.Table:
+        hub = key[0].as_py()
+        found = links_with(Members(members, percent, count), hub)
+        return pa.table({"a": pa.array([hub] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
+
+    return beside_hubs(groups).join(sets, "node").groupBy("hub", "part").applyInArrow(prove, "a long, b long")
+
+
+def connected(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """``groups`` with each node's component so far and whether it is ``loose``, that is not connected with its hub."""
+    of_hubs = labels.select(F.col("node").alias("hub"), F.col("component").alias("at_hub"))
+    label = F.coalesce("component", "node")
+    return groups.join(labels, "node", "left").join(of_hubs, "hub", "left").select(
+        "hub", "node", "n_shingles", label.alias("label"), (label != F.coalesce("at_hub", "hub")).alias("loose"))
 
 
 def blocks(groups: DataFrame) -> DataFrame:
-    """Rows of each hub's group dealt to pairs of blocks, so that any two rows meet in one bounded task.
+    """Loose rows meet one another and the rest of their group in pairs of blocks; groups without any are left out.
 
-    A group of n rows has up to ``MOST_BLOCKS`` blocks of ``SMALL_BLOCK`` rows or more; beyond a million rows
-    blocks stay at ``LARGE_BLOCK`` rows and their number grows.
+    Blocks of loose rows come first, then those of the rest, of which no two meet. So a row of the rest moves once
+    for each block of loose rows, and a loose row once for each block of its group.
     """
-    n = F.col("n")
-    number = F.greatest(F.ceil(n / LARGE_BLOCK), F.least(F.lit(MOST_BLOCKS), F.ceil(n / SMALL_BLOCK))).cast("int")
-    sizes = groups.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).select("hub", number.alias("n_blocks"))
-    dealt = groups.join(sizes, "hub").withColumn("side", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
-    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
-        "hub", "node", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
+    loose = F.col("loose")
+    sizes = groups.groupBy("hub").agg(blocks_of(loose).alias("of_loose"), blocks_of(~loose).alias("of_rest")).filter("of_loose > 0")
+    place = F.xxhash64("node")
+    side = F.when(loose, F.pmod(place, F.col("of_loose"))).otherwise(F.col("of_loose") + F.pmod(place, F.col("of_rest")))
+    last = F.when(loose, F.col("of_loose") + F.col("of_rest")).otherwise(F.col("of_loose")) - 1
+    dealt = groups.join(sizes, "hub").withColumn("side", side.cast("int"))
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int")))).select(
+        "hub", "node", "label", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
 
 
-def proved_links(groups: DataFrame, sets: DataFrame, percent: int, count: int) -> DataFrame:
-    """Links between rows of each group, enough to connect all that is linked."""
+def block_links(groups: DataFrame, sets: DataFrame, percent: int, count: int) -> DataFrame:
+    """Links of loose rows with others of their group, as pairs of components, enough to connect all that is linked."""
 
     def prove(key: tuple, members: pa.Table) -> pa.Table:
-        ids, sides = members.column("node").to_pylist(), members.column("side").to_pylist()
-        sets_here = [np.frombuffer(b, np.uint64) for b in members.column("shingles").to_pylist()]
-        bits = np.frombuffer(b"".join(members.column("bits").to_pylist()), np.uint8).reshape(len(ids), -1)
-        found = links_within(ids, sides, sets_here, bits, percent, count)
+        labels, sides = members.column("label").to_pylist(), members.column("side").to_pylist()
+        found = links_within(Members(members, percent, count), labels, sides)
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return blocks(groups).join(sets, "node").groupBy("hub", "low", "high").applyInArrow(prove, "a long, b long")
@@ -263,24 +324,33 @@ def near_duplicates(
     empty table gives an empty result. A pair at the threshold is missed with a chance below one in ten
     million by the bands, and as rarely by the estimate; all other steps are exact.
 
-    Texts are read twice and not shuffled while the candidates are at most ``BROADCAST_IDS``, whose number is
-    counted first; beyond that they are joined by id.
+    Texts are read for signatures, for candidates, and once more for groups whose members are not all connected with
+    their hub. They are not shuffled while the rows wanted are at most ``BROADCAST_IDS``, whose number is counted
+    first; beyond that they are joined by id.
     """
     texts = picked(docs, id_column, text_column)
     count = ROWS_PER_BAND * bands_for(percent)
     rows = stored(signed(texts, shingle_words, count), "signatures")
     nodes = rows.filter("doc_id is not null and digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+        F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("bits").alias("bits"), F.first("n_shingles").alias("n_shingles"))
     nodes = stored(nodes, "signature-nodes")
     groups = stored(stars(nodes), "stars")
-    wanted = groups.select(F.col("node").alias("doc_id")).distinct()
-    few = wanted.count() <= BROADCAST_IDS
-    chosen = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-    sets = with_sets(chosen, shingle_words).groupBy("node", "digest").agg(F.first("shingles").alias("shingles"))
-    sets = sets.join(nodes.select("node", "digest", "bits"), ["node", "digest"]).drop("digest")
-    labels = components(stored(proved_links(groups, sets, percent, count), "proved-links"))
-    named = nodes.select("digest", "node").join(labels, "node", "left").select(
-        "digest", F.coalesce("component", "node").alias("component_id"))
+
+    def sets_of(members: DataFrame) -> DataFrame:
+        wanted = members.select(F.col("node").alias("doc_id")).distinct()
+        few = wanted.count() <= BROADCAST_IDS
+        chosen = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+        sets = with_sets(chosen, shingle_words).groupBy("node", "digest").agg(F.first("shingles").alias("shingles"))
+        return sets.join(nodes.select("node", "digest", "bits"), ["node", "digest"]).drop("digest")
+
+    labels = components(stored(hub_links(groups, sets_of(groups), percent, count), "hub-links"))
+    named = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    judged = stored(connected(groups, labels), "connected-stars")
+    unsettled = stored(judged.join(judged.filter("loose").select("hub").distinct(), "hub", "left_semi"), "unsettled-stars")
+    if not unsettled.isEmpty():
+        further = components(stored(block_links(unsettled, sets_of(unsettled), percent, count), "block-links"))
+        joined = further.toDF("component_id", "smallest")
+        named = named.join(joined, "component_id", "left").select("digest", F.coalesce("smallest", "component_id").alias("component_id"))
     found = rows.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return found.select(

@@ -49,7 +49,7 @@ def corpus(seed, groups=6, copies=30, words=60):
 
 @pytest.mark.parametrize(("size", "percent", "small"), [(3, 85, 64), (5, 80, 8)])
 def test_components_equal_brute_force(documents, monkeypatch, size, percent, small):
-    monkeypatch.setattr(nd, "SMALL_BLOCK", small)
+    monkeypatch.setattr(nd, "BLOCK_ROWS", small)
     texts = corpus(size)
     ids = list(range(100, 100 + len(texts)))
     found = nd.near_duplicates(documents(*texts, ids=ids), size, percent).collect()
@@ -87,3 +87,42 @@ def test_long_text(documents):
     text = " ".join(f"w{i % 7919}x{i}" for i in range(200_000))
     found = nd.near_duplicates(documents(text, text + " tail"), 5, 80).collect()
     assert {r.component_id for r in found} == {0}
+
+
+def test_rows_moved_follow_the_loose_rows(spark):
+    """A group moves once to its hub; only blocks of loose rows multiply what moves after that."""
+    n, loose = 200_000, 50_000
+    group = spark.range(n).select(F.lit(0).cast("long").alias("hub"), F.col("id").alias("node"), F.lit(20).cast("long").alias("n_shingles"))
+    beside = nd.beside_hubs(group).groupBy("node").count()
+    assert beside.filter("node > 0 and count <> 1").isEmpty()
+    assert beside.filter("node = 0").first()["count"] == -(-n // nd.BLOCK_ROWS)
+    judged = group.withColumn("label", F.when(F.col("node") < n - loose, 0).otherwise(F.col("node"))).withColumn("loose", F.col("label") > 0)
+    moved = nd.blocks(judged)
+    of_loose, of_rest = -(-loose // nd.BLOCK_ROWS), -(-(n - loose) // nd.BLOCK_ROWS)
+    assert moved.count() == loose * (of_loose + of_rest) + (n - loose) * of_loose
+    assert moved.groupBy("hub", "low", "high").count().agg(F.max("count")).first()[0] < 2.2 * nd.BLOCK_ROWS
+    assert nd.blocks(judged.filter("not loose")).isEmpty()
+
+
+def test_blocks_let_every_pair_with_a_loose_row_meet(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK_ROWS", 5)
+    rows = [(0, i, 3, i if i % 3 == 1 else 0, i % 3 == 1) for i in range(40)]
+    tasks = {}
+    for r in nd.blocks(spark.createDataFrame(rows, "hub long, node long, n_shingles long, label long, loose boolean")).collect():
+        tasks.setdefault((r.low, r.high), []).append((r.node, r.side))
+    met = set()
+    for members in tasks.values():
+        across = len({side for _, side in members}) > 1
+        met |= {(a, b) for a, x in members for b, y in members if a < b and (not across or x != y)}
+    assert met == {(a, b) for a in range(40) for b in range(a + 1, 40) if rows[a][4] or rows[b][4]}
+
+
+def test_hub_linked_with_nothing(documents):
+    """The least id shares most of its bands by chance of its words with rows that are linked with one another alone."""
+    base = [f"v{i}" for i in range(120)]
+    texts = [" ".join(base[:60] + [f"h{i}" for i in range(12)])]
+    for k in range(40):
+        texts.append(" ".join(base[:60] + [f"t{i}" for i in range(30)] + [f"own{k}"]))
+    found = {r.doc_id: r.component_id for r in nd.near_duplicates(documents(*texts), 3, 85).collect()}
+    assert found == {i: c for i, (_, c, _) in brute(texts, 3, 85, list(range(len(texts)))).items()}
+    assert set(found.values()) == {0, 1}
