@@ -242,7 +242,8 @@ def blocks_of(which: Column) -> Column:
 
 def beside_hubs(groups: DataFrame) -> DataFrame:
     """Rows of each hub's group dealt to parts, each once; the hub alone is in every part of its group."""
-    sizes = groups.groupBy("hub").agg(blocks_of(F.lit(True)).alias("parts"))
+    # Stored, here and below, so that the join has plain tables on both sides and a hub of many rows can be split.
+    sizes = stored(groups.groupBy("hub").agg(blocks_of(F.lit(True)).alias("parts")), "hub-parts")
     own = F.array(F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     return groups.join(sizes, "hub").select("hub", "node", F.explode(F.when(F.col("hub") == F.col("node"), every).otherwise(own)).alias("part"))
@@ -274,7 +275,8 @@ def blocks(groups: DataFrame) -> DataFrame:
     for each block of loose rows, and a loose row once for each block of its group.
     """
     loose = F.col("loose")
-    sizes = groups.groupBy("hub").agg(blocks_of(loose).alias("of_loose"), blocks_of(~loose).alias("of_rest")).filter("of_loose > 0")
+    sizes = groups.groupBy("hub").agg(blocks_of(loose).alias("of_loose"), blocks_of(~loose).alias("of_rest"))
+    sizes = stored(sizes.filter("of_loose > 0"), "hub-blocks")
     place = F.xxhash64("node")
     side = F.when(loose, F.pmod(place, F.col("of_loose"))).otherwise(F.col("of_loose") + F.pmod(place, F.col("of_rest")))
     last = F.when(loose, F.col("of_loose") + F.col("of_rest")).otherwise(F.col("of_loose")) - 1
@@ -346,7 +348,8 @@ def near_duplicates(
     labels = components(stored(hub_links(groups, sets_of(groups), percent, count), "hub-links"))
     named = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     judged = stored(connected(groups, labels), "connected-stars")
-    unsettled = stored(judged.join(judged.filter("loose").select("hub").distinct(), "hub", "left_semi"), "unsettled-stars")
+    open_hubs = stored(judged.filter("loose").select("hub").distinct(), "open-hubs")
+    unsettled = stored(judged.join(open_hubs, "hub", "left_semi"), "unsettled-stars")
     if not unsettled.isEmpty():
         further = components(stored(block_links(unsettled, sets_of(unsettled), percent, count), "block-links"))
         joined = further.toDF("component_id", "smallest")
