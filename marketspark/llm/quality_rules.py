@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,12 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
+# A line is shared if one of so many documents holds it, in so many places at least, most of them between other lines.
+SHARED_BY_ONE_IN = 1_000
+LEAST_PLACES = 50
+LINE_WORDS = 3, 20
+MARGIN = " \t\r"
+HASH_SEED = 42  # of Spark's xxhash64
 
 # Stock phrases that only stand in page furniture.
 STOCK_PHRASES = (
@@ -67,6 +74,33 @@ def boilerplate_ok(line: str, words: list[str]) -> bool:
     return len(words) < 10 or 2 * max(Counter(words).values()) < len(words)
 
 
+def line_key(line: str) -> int:
+    """Spark's ``xxhash64`` of the line without white margins."""
+    unsigned = xxhash.xxh64_intdigest(line.strip(MARGIN).encode(), HASH_SEED)
+    return unsigned - (1 << 64) if unsigned >> 63 else unsigned
+
+
+def shared_lines(docs: DataFrame, text_column: str = "text", source_column: str = "source") -> frozenset[int]:
+    """Keys of the lines of 3 to 20 words that documents of different sources share as boilerplate.
+
+    A line counts once for each pair of lines around it. It is shared if it has ``LEAST_PLACES`` of these and one for
+    ``SHARED_BY_ONE_IN`` documents, and if they are at least half of its occurrences: lines of copies, exact or near,
+    stand between the same lines again and again, and stay. At most ``SHARED_BY_ONE_IN`` times the mean number of lines
+    in a document can be shared, at any size of the corpus, so the driver may hold them.
+    """
+    least = max(LEAST_PLACES, docs.count() / SHARED_BY_ONE_IN)
+    lines = docs.select(F.split(F.col(f"`{text_column}`"), "\n").alias("lines"), F.xxhash64(f"`{source_column}`").alias("source"))
+    placed = lines.select("source", F.inline(F.transform("lines", lambda line, i: F.struct(
+        F.btrim(line, F.lit(MARGIN)).alias("line"),
+        F.xxhash64(F.get("lines", i - 1), F.get("lines", i + 1)).alias("place")))))
+    words = F.size(F.split("line", r"\s+"))
+    places = placed.filter(words.between(*LINE_WORDS)).groupBy(F.xxhash64("line").alias("key"), "place").agg(
+        F.count(F.lit(1)).alias("n"), F.min("source").alias("least"), F.max("source").alias("most"))
+    found = places.groupBy("key").agg(
+        F.count(F.lit(1)).alias("places"), F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+    return frozenset(r.key for r in found.filter((F.col("places") >= least) & (2 * F.col("places") >= F.col("n")) & F.expr("least <> most")).select("key").collect())
+
+
 def line_ok(line: str) -> bool:
     words = line.split()
     return not words or punctuation_ok(line, words) and navigation_ok(words) and boilerplate_ok(line, words)
@@ -99,7 +133,7 @@ def repeated_words(docs: list[list[bytes]]) -> list[int]:
     return np.bincount(doc, covered, minlength=len(docs)).astype(np.int64).tolist()
 
 
-def judged(text: str | None, max_lost: float) -> tuple:
+def judged(text: str | None, max_lost: float, shared: frozenset[int] = frozenset()) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_lines_removed, lost_chars, cleaned text, and the words."""
     if not text:
         return 0, 0, 0, 0, 0, 0, text, []
@@ -112,7 +146,7 @@ def judged(text: str | None, max_lost: float) -> tuple:
         if bare := line.encode().translate(None, WHITE):
             repeated += line in seen
             seen.add(line)
-            if not line_ok(line):
+            if not line_ok(line) or shared and line_key(line) in shared:
                 removed += 1
                 lost += len(bare.decode())
                 continue
@@ -129,14 +163,19 @@ VERDICT = T.StructType([
 ])
 
 
-def judge_documents(docs: DataFrame, text_column: str = "text", max_lost: float = 0.5) -> DataFrame:
+def judge_documents(
+    docs: DataFrame, text_column: str = "text", max_lost: float = 0.5, source_column: str | None = "source",
+) -> DataFrame:
     """``docs`` with one more column ``verdict``, a struct: counts, ``kept``, and ``cleaned``, the text left over.
 
     A document is kept if it has 20 words or more, at most 30 % of them in repeated windows of 8 words, and
     loses at most ``max_lost`` of its characters to failed lines. A null or empty text has no words and is
     rejected; its cleaned text is what it was. Repeated rows are judged alike. All columns of ``docs`` stay;
-    one named ``verdict`` is replaced. One pass without a shuffle, by about a megabyte of text at a time.
+    one named ``verdict`` is replaced. Lines that documents of different values of ``source_column`` share fail too;
+    they are counted first, over all documents, unless it is None. Then one pass without a shuffle, by about a
+    megabyte of text at a time.
     """
+    shared = shared_lines(docs, text_column, source_column) if source_column else frozenset()
     fields = T.StructType([f for f in docs.schema.fields if f.name != "verdict"])
     plain = docs.select(*[F.col(f"`{f.name}`") for f in fields])
     types = pa.struct([(f.name, pa.string() if f.dataType == T.StringType() else pa.bool_() if f.dataType == T.BooleanType()
@@ -144,7 +183,7 @@ def judge_documents(docs: DataFrame, text_column: str = "text", max_lost: float
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text_column):
-            found = [judged(text, max_lost) for text in batch.column(text_column).to_pylist()]
+            found = [judged(text, max_lost, shared) for text in batch.column(text_column).to_pylist()]
             rows = []
             for (n, chars, symbols, dups, removed, lost, cleaned, _), repeats in zip(
                 found, repeated_words([f[-1] for f in found]), strict=True,

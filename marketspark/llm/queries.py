@@ -44,7 +44,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 @query("op1_line_first_cleaning")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judge_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    judged = quality_rules.judge_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return judged.select("doc_id", "verdict.*").drop("cleaned")
 
 

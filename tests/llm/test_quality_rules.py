@@ -79,3 +79,46 @@ def test_sentences_that_hold_a_stock_phrase_stay(documents):
     assert row.verdict.cleaned == "\n".join(clean) and row.verdict.n_lines_removed == len(stock)
     [row] = quality_rules.judge_documents(documents("\n".join(clean))).collect()
     assert row.verdict.kept and row.verdict.cleaned == row.text
+
+
+def shared_by_brute_force(rows):
+    places, times, sources = {}, Counter(), {}
+    for text, source in rows:
+        lines = (text or "").split("\n")
+        for i, line in enumerate(lines):
+            key = line.strip(" \t\r")
+            if text is not None and 3 <= len(key.split()) <= 20:
+                places.setdefault(key, set()).add((lines[i - 1] if i else None, lines[i + 1] if i + 1 < len(lines) else None))
+                times[key] += 1
+                sources.setdefault(key, set()).add(source)
+    least = max(quality_rules.LEAST_PLACES, len(rows) / quality_rules.SHARED_BY_ONE_IN)
+    return {k for k, p in places.items() if len(p) >= least and 2 * len(p) >= times[k] and len(sources[k]) > 1}
+
+
+def test_lines_shared_by_documents_of_several_sources(spark):
+    rng = random.Random(3)
+
+    def sentence():
+        return " ".join(f"w{rng.randrange(5000)}" for _ in range(9)) + "."
+
+    stock = ["Alle Angaben ohne Gewähr.", "Tous droits réservés par la rédaction.", "Síguenos en las redes sociales", "Subscribe to hear from us first."]
+    near_copy = [sentence() for _ in range(12)]
+    rows = [(None, "a"), ("", "b"), ("\n\n", None)]
+    for k in range(120):
+        body = [sentence() for _ in range(8)]
+        body.insert(rng.randrange(9), "  " + stock[k % 2] + "\r" if k % 5 == 0 else stock[k % 2])
+        body.insert(rng.randrange(9), stock[2] if k < 60 else sentence())
+        rows.append(("\n".join([*body, "Only here now and then." if k < 40 else sentence()]), f"site{k % 7}"))
+        own = list(near_copy)
+        own[rng.randrange(12)] = sentence()
+        rows.append(("\n".join(own), f"site{k % 7}"))
+        rows.append(("\n".join([sentence(), "One site alone says this.", sentence()] * 3), "site1"))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i if i % 9 else None, *r) for i, r in enumerate(rows)], "doc_id long, text string, source string").repartition(3)
+    found = quality_rules.shared_lines(docs)
+    assert found == {quality_rules.line_key(x) for x in shared_by_brute_force(rows)} == {quality_rules.line_key(x) for x in stock[:3]}
+    for r in quality_rules.judge_documents(docs).collect():
+        lines = (r.text or "").split("\n")
+        kept = [x for x in lines if not (x.strip() and quality_rules.line_key(x) in found)]
+        assert (r.verdict.cleaned or "") == "\n".join(kept)
+    assert quality_rules.shared_lines(docs.limit(0)) == frozenset()
