@@ -20,9 +20,10 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
-# A line is shared if one of so many documents holds it, in so many places at least, most of them between other lines.
+# A line is shared if so many unlike documents hold it at least, and one of so many.
 SHARED_BY_ONE_IN = 1_000
 LEAST_PLACES = 50
+SKETCH_WORDS = 3
 LINE_WORDS = 3, 20
 MARGIN = " \t\r"
 HASH_SEED = 42  # of Spark's xxhash64
@@ -81,24 +82,28 @@ def line_key(line: str) -> int:
 
 
 def shared_lines(docs: DataFrame, text_column: str = "text", source_column: str = "source") -> frozenset[int]:
-    """Keys of the lines of 3 to 20 words that documents of different sources share as boilerplate.
+    """Keys of the lines of 3 to 20 words that unlike documents of different sources share as boilerplate.
 
-    A line counts once for each pair of lines around it. It is shared if it has ``LEAST_PLACES`` of these and one for
-    ``SHARED_BY_ONE_IN`` documents, and if they are at least half of its occurrences: lines of copies, exact or near,
-    stand between the same lines again and again, and stay. At most ``SHARED_BY_ONE_IN`` times the mean number of lines
-    in a document can be shared, at any size of the corpus, so the driver may hold them.
+    A document is told by the least hash of its runs of ``SKETCH_WORDS`` words, which near copies mostly have in
+    common. A line is shared if ``LEAST_PLACES`` documents so told hold it, and one of ``SHARED_BY_ONE_IN`` documents,
+    and if they are two thirds of its occurrences at least: lines that copies repeat, exact or near, stay. At most
+    ``SHARED_BY_ONE_IN`` times the mean number of lines in a document can be shared, at any size of the corpus, so the
+    driver may hold them. Null and empty texts have no lines, and an empty table shares none.
     """
     least = max(LEAST_PLACES, docs.count() / SHARED_BY_ONE_IN)
-    lines = docs.select(F.split(F.col(f"`{text_column}`"), "\n").alias("lines"), F.xxhash64(f"`{source_column}`").alias("source"))
-    placed = lines.select("source", F.inline(F.transform("lines", lambda line, i: F.struct(
-        F.btrim(line, F.lit(MARGIN)).alias("line"),
-        F.xxhash64(F.get("lines", i - 1), F.get("lines", i + 1)).alias("place")))))
+    text = F.col(f"`{text_column}`")
+    split = docs.select(
+        F.split(text, "\n").alias("lines"), F.split(text, r"\s+").alias("words"), F.xxhash64(f"`{source_column}`").alias("source"))
+    told = split.select("lines", "source", F.array_min(F.transform(
+        "words", lambda word, i: F.xxhash64(word, *[F.get("words", i + k) for k in range(1, SKETCH_WORDS)]))).alias("place"))
+    lines = told.select("source", "place", F.explode("lines").alias("line")).select("source", "place", F.btrim("line", F.lit(MARGIN)).alias("line"))
     words = F.size(F.split("line", r"\s+"))
-    places = placed.filter(words.between(*LINE_WORDS)).groupBy(F.xxhash64("line").alias("key"), "place").agg(
+    places = lines.filter(words.between(*LINE_WORDS)).groupBy(F.xxhash64("line").alias("key"), "place").agg(
         F.count(F.lit(1)).alias("n"), F.min("source").alias("least"), F.max("source").alias("most"))
     found = places.groupBy("key").agg(
         F.count(F.lit(1)).alias("places"), F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
-    return frozenset(r.key for r in found.filter((F.col("places") >= least) & (2 * F.col("places") >= F.col("n")) & F.expr("least <> most")).select("key").collect())
+    shared = (F.col("places") >= least) & (3 * F.col("places") >= 2 * F.col("n")) & F.expr("least <> most")
+    return frozenset(r.key for r in found.filter(shared).select("key").collect())
 
 
 def line_ok(line: str) -> bool:

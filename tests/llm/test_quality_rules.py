@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import xxhash
 from pyspark.sql import functions as F
 
 from marketspark.llm import quality_rules
@@ -81,18 +82,27 @@ def test_sentences_that_hold_a_stock_phrase_stay(documents):
     assert row.verdict.kept and row.verdict.cleaned == row.text
 
 
+def sketch(text):
+    words, hashes = re.split(r"[ \t\n\x0b\f\r]+", text), []
+    for i in range(len(words)):
+        h = 42
+        for word in words[i:i + 3]:
+            h = xxhash.xxh64_intdigest(word.encode(), h)
+        hashes.append(h - (1 << 64) if h >> 63 else h)
+    return min(hashes)
+
+
 def shared_by_brute_force(rows):
     places, times, sources = {}, Counter(), {}
     for text, source in rows:
-        lines = (text or "").split("\n")
-        for i, line in enumerate(lines):
+        for line in (text or "").split("\n"):
             key = line.strip(" \t\r")
-            if text is not None and 3 <= len(key.split()) <= 20:
-                places.setdefault(key, set()).add((lines[i - 1] if i else None, lines[i + 1] if i + 1 < len(lines) else None))
+            if 3 <= len(key.split()) <= 20:
+                places.setdefault(key, set()).add(sketch(text))
                 times[key] += 1
                 sources.setdefault(key, set()).add(source)
     least = max(quality_rules.LEAST_PLACES, len(rows) / quality_rules.SHARED_BY_ONE_IN)
-    return {k for k, p in places.items() if len(p) >= least and 2 * len(p) >= times[k] and len(sources[k]) > 1}
+    return {k for k, p in places.items() if len(p) >= least and 3 * len(p) >= 2 * times[k] and len(sources[k]) > 1}
 
 
 def test_lines_shared_by_documents_of_several_sources(spark):
