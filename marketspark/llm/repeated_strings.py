@@ -7,7 +7,11 @@ have their anchor at the same place, so no repeat is lost, and a string is what
 
 Pass 1 deals the first digits to buckets by hash; digits of one chunk of documents alone leave the sort.
 Pass 2 orders equal first digits by all that a string around the anchor can hold. Equal groups are repeats.
+Surroundings are dealt by their own hash, so that those of one digit spread over all buckets; the digit's
+bucket learns from each chunk only how many it holds, and one of them.
 Pass 3 orders what is left, anchors with several surroundings, string by string, and compares their bytes.
+The strings of a hot digit, one of very many surroundings, are dealt by two hashes of the string itself,
+each once a chunk, so that no bucket meets all of them.
 
 A chunk sends each distinct digit or surrounding once, packed, and gets its answers back in the same order.
 The documents are shuffled once; all passes read that shuffle.
@@ -17,18 +21,22 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import mixed, picked, shuffle_width
+from marketspark.llm.common import broadcast_if_small, mixed, picked, shuffle_width, stored
 
 CHUNK_BYTES = 4 << 20
 DIGIT_BYTES = 5
-NONE, WHOLE, ASKED = 0, 1, 2
-FACTORS = [np.uint64(2 * x + 1) for x in (0x3C6EF372FE94F82A, 0x510E527FADE682D1, 0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)]
+ONE, SEVERAL, HOT = 0, 1, 2
+HOT_KINDS = 1 << 14
+COPIES = 1_000_000
+FACTORS = [np.uint64(2 * x + 1) for x in (
+    0x3C6EF372FE94F82A, 0x510E527FADE682D1, 0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x2545F4914F6CDD1D)]
 
 
 def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -50,6 +58,22 @@ def first_groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def parts(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Each bucket that occurs, with the places of its items in order."""
+    order = np.argsort(bucket, kind="stable")
+    values, starts = np.unique(bucket[order], return_index=True)
+    return list(zip(values.tolist(), np.split(order, starts[1:]), strict=True)) if len(order) else []
+
+
+def hashed(strings: np.ndarray, factor: np.uint64) -> np.ndarray:
+    """A hash of each row of bytes; all rows have the same length, of 8 or more."""
+    out = np.zeros(len(strings), np.uint64)
+    last = strings.shape[1] - 8
+    for k in [*range(0, last, 8), last]:
+        out = mixed(out * factor + np.ascontiguousarray(strings[:, k:k + 8]).view("<u8").reshape(-1))
+    return out
+
+
 class Shape:
     """Sizes that follow from the threshold, and the arithmetic on one document."""
 
@@ -134,7 +158,8 @@ class Chunk:
         """Around each anchor all bytes of strings that hold it, how far they go to either side, and groups of equals.
 
         Sets ``rank`` for each anchor, and for the groups ``heads`` (an anchor of the least id), sorted by
-        bucket, digit and hash.
+        bucket, digit and hash; ``spot`` is the bucket of a group's hash, ``firsts`` the first group of each
+        digit, and ``digit_rank`` the place of each group's digit.
         """
         shape, side = self.shape, self.shape.side
         sizes = np.array([len(r) for r in self.raw], np.int64)
@@ -158,21 +183,42 @@ class Chunk:
         self.rank[order] = np.cumsum(new) - 1
         self.heads = order[new]
 
-    def spread(self, values: dict[int, np.ndarray], chosen: np.ndarray) -> np.ndarray:
-        """Answers by bucket for the ``chosen`` heads, as one array over all heads."""
-        out = np.zeros(len(self.heads), self.shape.bits)
-        places = np.flatnonzero(chosen)
-        edges = np.searchsorted(self.bucket[self.heads][places], np.arange(self.shape.buckets + 1))
-        for bucket, own in values.items():
-            out[places[edges[bucket]:edges[bucket + 1]]] = own
-        return out
-
-    def removed(self, flags: np.ndarray, masks: np.ndarray) -> list[np.ndarray]:
+        own = self.bucket[self.heads], self.digit[self.heads]
+        begins = np.ones(len(self.heads), bool)
+        begins[1:] = (own[0][1:] != own[0][:-1]) | (own[1][1:] != own[1][:-1])
+        self.firsts, self.digit_rank = np.flatnonzero(begins), np.cumsum(begins) - 1
+        self.spot = (self.hash[self.heads] % np.uint64(shape.buckets)).astype(np.int64)
+
+    def verdicts(self, flags: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For each group how many surroundings its digit has, and whether a smaller id holds the whole of it elsewhere."""
+        kinds, whole = np.zeros(len(self.firsts), np.uint8), np.zeros(len(self.heads), bool)
+        for bucket, at in parts(self.bucket[self.heads[self.firsts]]):
+            kinds[at] = np.frombuffer(flags[bucket], np.uint8)
+        for bucket, at in parts(self.spot):
+            whole[at] = np.frombuffer(flags[self.shape.buckets + bucket], np.uint8) > 0
+        return kinds[self.digit_rank], whole
+
+    def strings(self, chosen: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """The strings of the ``chosen`` groups by offset: groups that reach it, the rank of their string there, and
+        for each distinct string two hashes and the least id."""
+        heads = self.heads[chosen]
+        for offset in range(self.shape.windows):
+            reach = (offset >= self.shape.side - self.left[heads]) & (offset <= self.right[heads])
+            at, owners = heads[reach], self.owner[heads[reach]]
+            rows = self.rows[at, offset:offset + self.shape.threshold]
+            first, second = hashed(rows, FACTORS[3]), hashed(rows, FACTORS[4])
+            order, new = first_groups(first, second, owners)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.cumsum(new) - 1
+            lead = order[new]
+            yield offset, chosen[reach], rank, first[lead], second[lead], owners[lead]
+
+    def removed(self, elsewhere: np.ndarray, masks: np.ndarray) -> list[np.ndarray]:
         """For each document which bytes a repeated string covers."""
         shape = self.shape
         offsets = np.arange(shape.windows)
         valid = (offsets >= (shape.side - self.left)[:, None]) & (offsets <= self.right[:, None])
-        whole = (self.owner > self.owner[self.heads][self.rank]) | (flags[self.rank] == WHOLE)
+        whole = (self.owner > self.owner[self.heads][self.rank]) | elsewhere[self.rank]
         bits = (masks[self.rank][:, None] >> offsets.astype(shape.bits)) & shape.bits(1) > 0
         anchor, offset = np.nonzero(valid & (whole[:, None] | bits))
         sizes = np.array([len(r) for r in self.raw], np.int64)
@@ -194,7 +240,7 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-MESSAGE = "chunk int, bucket int, digits binary, hashes binary, owners binary, rows binary, shared binary, flags binary, masks binary"
+MESSAGE = "chunk int, bucket int, digits binary, hashes binary, kinds binary, owners binary, rows binary, shared binary, flags binary, masks binary"
 FIELDS = [f.split()[0] for f in MESSAGE.split(", ")]
 BYTES = FIELDS[2:]
 
@@ -205,11 +251,45 @@ def messages(rows: list[dict]) -> pa.Table:
 
 
 def answers(table: pa.Table, field: str) -> dict[int, bytes]:
-    return dict(zip(table.column("bucket").to_pylist(), table.column(field).to_pylist(), strict=True))
+    pairs = zip(table.column("bucket").to_pylist(), table.column(field).to_pylist(), strict=True)
+    return {bucket: value for bucket, value in pairs if value is not None}
+
+
+def joined(table: pa.Table, field: str, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(field).to_pylist()), kind)
+
+
+def least_elsewhere(owners: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """For each entry 1 if one of equal keys has a smaller owner."""
+    order, new = first_groups(*keys, owners)
+    out = np.zeros(len(owners), np.uint8)
+    if len(order):
+        out[order] = owners[order] > owners[order][new][np.cumsum(new) - 1]
+    return out
+
+
+def once(texts: DataFrame) -> tuple[DataFrame, bool]:
+    """Rows that repeat an id and a text as one row with their number as ``copies``, and whether there are any."""
+    version = F.xxhash64("text")
+    repeated = stored(
+        texts.groupBy(F.col("doc_id").alias("same_id"), version.alias("version")).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated-rows")
+    if repeated.isEmpty():
+        return texts.withColumn("copies", F.lit(1).cast("long")), False
+    same = F.col("doc_id").eqNullSafe(F.col("same_id")) & (version == F.col("version"))
+    small = broadcast_if_small(repeated)
+    grouped = texts.join(small, same, "left_semi").groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
+    return texts.join(small, same, "left_anti").withColumn("copies", F.lit(1).cast("long")).unionByName(grouped), True
+
+
+def every_copy(df: DataFrame) -> DataFrame:
+    """Each row as often as its ``copies`` say, in blocks, so that no array holds all of them."""
+    blocks = df.withColumn("block", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES}L)")))
+    rows = blocks.withColumn("copy", F.explode(F.expr(f"sequence(1L, least({COPIES}L, copies - block * {COPIES}L))")))
+    return rows.select(*[c for c in df.columns if c != "copies"])
 
 
 def repeated_strings(
-    docs: DataFrame, threshold: int = 50, id_column: str = "doc_id", text_column: str = "text", with_kept: bool = False,
+    docs: DataFrame, threshold: int = 50, id_column: str = "doc_id", text_column: str = "text", with_kept: bool = False, hot_kinds: int = HOT_KINDS,
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked, ``kept``.
 
@@ -218,8 +298,9 @@ def repeated_strings(
     Repeated rows of an id are one document to the others and lose nothing to each other. Extra columns are
     left out; an empty table gives an empty result.
 
-    Chunks hold about ``CHUNK_BYTES`` of text, or one longer text, at any size of the corpus; equal digits of
-    a chunk travel once, so a string in every document is one entry a chunk.
+    Chunks hold about ``CHUNK_BYTES`` of text, or one longer text, at any size of the corpus; rows that repeat an
+    id and a text are one row there. Equal digits of a chunk travel once, so a string in every document is one
+    entry a chunk; a digit that meets over ``hot_kinds`` surroundings has its strings spread by themselves.
     """
     if threshold < 16:
         raise ValueError("a threshold of 16 bytes or more is needed")
@@ -229,7 +310,8 @@ def repeated_strings(
     width = shuffle_width(spark)
     chunks, buckets = max(2 * width, -(-total // CHUNK_BYTES)), max(width, -(-total // (4 * CHUNK_BYTES)))
     shape = Shape(threshold, buckets)
-    dealt = texts.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
+    single, repeats = once(texts)
+    dealt = single.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
 
     def send_digits(key: tuple, table: pa.Table) -> pa.Table:
         bucket, digit, _, _ = Chunk(table, shape).distinct_digits()
@@ -253,36 +335,39 @@ def repeated_strings(
         chunk.keep_shared(shared)
         return chunk, shared
 
-    def flags_of(chunk: Chunk, replies: pa.Table) -> np.ndarray:
-        flags = {b: np.frombuffer(x or b"", np.uint8) for b, x in answers(replies, "flags").items()}
-        return chunk.spread(flags, np.ones(len(chunk.heads), bool))
+    # Buckets below ``buckets`` are those of digits, then follow those of surroundings and of strings of hot digits.
 
     def send_surroundings(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         chunk, shared = state(table, replies)
-        heads = chunk.heads
-        edges = np.searchsorted(chunk.bucket[heads], np.arange(buckets + 1))
+        number, heads = key[0].as_py(), chunk.heads
+        firsts, kinds = heads[chunk.firsts], np.diff(np.append(chunk.firsts, len(heads))).astype("<u4")
+        by_bucket = dict(parts(chunk.bucket[firsts]))
         rows = []
         for b, bits in shared.items():
-            own = heads[edges[b]:edges[b + 1]]
-            rows.append({"chunk": key[0].as_py(), "bucket": b, "shared": bits, "digits": packed(chunk.digit[own]),
+            at = by_bucket.get(b, np.empty(0, np.int64))
+            rows.append({"chunk": number, "bucket": b, "shared": bits, "digits": packed(chunk.digit[firsts[at]]),
+                         "hashes": chunk.hash[firsts[at]].tobytes(), "kinds": kinds[at].tobytes()})
+        for b, at in parts(chunk.spot):
+            own = heads[at]
+            rows.append({"chunk": number, "bucket": buckets + b, "digits": packed(chunk.digit[own]),
                          "hashes": chunk.hash[own].tobytes(), "owners": chunk.owner[own].tobytes()})
         return messages(rows)
 
     def order_surroundings(key: tuple, table: pa.Table) -> pa.Table:
         digit = np.concatenate([unpacked(x) for x in table.column("digits").to_pylist()])
-        hashes = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint64)
-        owners = np.frombuffer(b"".join(table.column("owners").to_pylist()), np.int64)
-        flags = np.zeros(len(digit), np.uint8)
-        order, new = first_groups(digit, hashes, owners)
-        if len(order):
-            group = np.cumsum(new) - 1
-            least = owners[order][new][group]
-            flags[order[owners[order] > least]] = WHOLE
-            new_digit = np.ones(len(order), bool)
-            new_digit[1:] = digit[order[1:]] != digit[order[:-1]]
-            kinds = np.bincount(np.cumsum(new_digit) - 1, new)[np.cumsum(new_digit) - 1]
-            flags[order[(owners[order] == least) & (kinds > 1)]] = ASKED
-        sizes = [len(x) // 8 for x in table.column("owners").to_pylist()]
+        hashes = joined(table, "hashes", "<u8")
+        if key[0].as_py() >= buckets:
+            flags = least_elsewhere(joined(table, "owners", "<i8"), digit, hashes)
+        else:
+            kinds = joined(table, "kinds", "<u4").astype(np.int64)
+            order, new = first_groups(digit, hashes)
+            flags = np.zeros(len(digit), np.uint8)
+            if len(order):
+                begin, group = np.flatnonzero(new), np.cumsum(new) - 1
+                several = (hashes[order][begin] != np.maximum.reduceat(hashes[order], begin)) | (np.maximum.reduceat(kinds[order], begin) > 1)
+                hot = np.add.reduceat(kinds[order], begin) > hot_kinds
+                flags[order] = np.where(several, np.where(hot, HOT, SEVERAL), ONE).astype(np.uint8)[group]
+        sizes = [len(x) // 8 for x in table.column("hashes").to_pylist()]
         ends = np.cumsum(sizes)
         return messages([
             {"chunk": c, "bucket": key[0].as_py(), "shared": shared, "flags": flags[end - n:end].tobytes()}
@@ -290,18 +375,36 @@ def repeated_strings(
 
     def send_strings(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         chunk, shared = state(table, replies)
-        asked = chunk.heads[flags_of(chunk, replies) == ASKED]
-        edges = np.searchsorted(chunk.bucket[asked], np.arange(buckets + 1))
-        flags, rows = answers(replies, "flags"), []
+        number, flags = key[0].as_py(), answers(replies, "flags")
+        kinds, elsewhere = chunk.verdicts(flags)
+        asked = chunk.heads[(kinds == SEVERAL) & ~elsewhere]
+        by_bucket = dict(parts(chunk.bucket[asked]))
+        rows = [{"chunk": number, "bucket": b, "flags": x} for b, x in flags.items() if b >= buckets]
         for b, bits in shared.items():
-            own = asked[edges[b]:edges[b + 1]]
-            rows.append({"chunk": key[0].as_py(), "bucket": b, "shared": bits, "flags": flags[b],
+            own = asked[by_bucket.get(b, np.empty(0, np.int64))]
+            rows.append({"chunk": number, "bucket": b, "shared": bits, "flags": flags[b],
                          "rows": chunk.rows[own].tobytes(), "owners": chunk.owner[own].tobytes()})
+        hot = np.flatnonzero((kinds == HOT) & ~elsewhere)
+        if len(hot):
+            first, second, owners = (np.concatenate(x) for x in list(zip(*chunk.strings(hot), strict=True))[3:])
+            for b, at in parts((first % np.uint64(buckets)).astype(np.int64)):
+                rows.append({"chunk": number, "bucket": 2 * buckets + b, "digits": second[at].tobytes(),
+                             "hashes": first[at].tobytes(), "owners": owners[at].tobytes()})
         return messages(rows)
 
     def order_strings(key: tuple, table: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(table.column("rows").to_pylist()), np.uint8).reshape(-1, shape.row)
-        owners = np.frombuffer(b"".join(table.column("owners").to_pylist()), np.int64)
+        bucket = key[0].as_py()
+        if buckets <= bucket < 2 * buckets:
+            return table
+        owners = joined(table, "owners", "<i8")
+        sizes = [len(x) // 8 for x in table.column("owners").to_pylist()]
+        ends = np.cumsum(sizes)
+        if bucket >= 2 * buckets:
+            flags = least_elsewhere(owners, joined(table, "hashes", "<u8"), joined(table, "digits", "<u8"))
+            return messages([
+                {"chunk": c, "bucket": bucket, "flags": flags[end - n:end].tobytes()}
+                for c, n, end in zip(table.column("chunk").to_pylist(), sizes, ends, strict=True)])
+        rows = joined(table, "rows", "u1").reshape(-1, shape.row)
         left, right = (rows[:, shape.around + k].astype(np.int64) for k in (0, 1))
         masks = np.zeros(len(rows), shape.bits)
         for offset in range(shape.windows):
@@ -309,25 +412,36 @@ def repeated_strings(
             if not len(own):
                 continue
             strings = np.ascontiguousarray(rows[own, offset:offset + threshold])
-            hashes = np.zeros(len(own), np.uint64)
-            for k in [*range(0, threshold - 8, 8), threshold - 8]:
-                hashes = mixed(hashes * FACTORS[3] + np.ascontiguousarray(strings[:, k:k + 8]).view("<u8").reshape(-1))
-            order, new = first_groups(hashes, owners[own])
+            order, new = first_groups(hashed(strings, FACTORS[3]), owners[own])
             new[1:] |= (strings[order[1:]] != strings[order[:-1]]).any(axis=1)
             least = owners[own][order][new][np.cumsum(new) - 1]
             masks[own[order[owners[own][order] > least]]] |= shape.bits(1 << offset)
-        sizes = [len(x) // 8 for x in table.column("owners").to_pylist()]
-        ends = np.cumsum(sizes)
         columns = [table.column(c).to_pylist() for c in ("chunk", "shared", "flags")]
         return messages([
-            {"chunk": c, "bucket": key[0].as_py(), "shared": s, "flags": f, "masks": masks[end - n:end].tobytes()}
+            {"chunk": c, "bucket": bucket, "shared": s, "flags": f, "masks": masks[end - n:end].tobytes()}
             for c, s, f, n, end in zip(*columns, sizes, ends, strict=True)])
 
     def remove(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         chunk, _ = state(table, replies)
-        flags = flags_of(chunk, replies)
-        masks = {b: np.frombuffer(x or b"", shape.bits) for b, x in answers(replies, "masks").items()}
-        covered = chunk.removed(flags, chunk.spread(masks, flags == ASKED))
+        flags, found = answers(replies, "flags"), answers(replies, "masks")
+        kinds, elsewhere = chunk.verdicts(flags)
+        masks = np.zeros(len(chunk.heads), shape.bits)
+        asked = np.flatnonzero((kinds == SEVERAL) & ~elsewhere)
+        for b, at in parts(chunk.bucket[chunk.heads[asked]]):
+            masks[asked[at]] = np.frombuffer(found[b], shape.bits)
+        hot = np.flatnonzero((kinds == HOT) & ~elsewhere)
+        if len(hot):
+            by_offset = list(chunk.strings(hot))
+            first = np.concatenate([x[3] for x in by_offset])
+            smaller = np.zeros(len(first), bool)
+            for b, at in parts((first % np.uint64(buckets)).astype(np.int64)):
+                smaller[at] = np.frombuffer(flags[2 * buckets + b], np.uint8) > 0
+            start = 0
+            for offset, own, rank, lead, _, least in by_offset:
+                gone = (chunk.owner[chunk.heads[own]] > least[rank]) | smaller[start:start + len(lead)][rank]
+                masks[own[gone]] |= shape.bits(1 << offset)
+                start += len(lead)
+        covered = chunk.removed(elsewhere, masks)
         kept, removed, spans = [], [], []
         for raw, gone in zip(chunk.raw, covered, strict=True):
             n = int(gone.sum())
@@ -337,7 +451,7 @@ def repeated_strings(
         columns = {
             "doc_id": pa.array(chunk.ids, pa.int64()), "n_bytes": pa.array([len(r) for r in chunk.raw], pa.int64()),
             "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
-            "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())}
+            "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), "copies": table.column("copies")}
         return pa.table(columns | ({"kept": pa.array(kept, pa.binary())} if with_kept else {}))
 
     by_chunk = dealt.groupBy("chunk")
@@ -346,5 +460,6 @@ def repeated_strings(
         order_surroundings, MESSAGE)
     masked = by_chunk.cogroup(flagged.groupBy("chunk")).applyInArrow(send_strings, MESSAGE).groupBy("bucket").applyInArrow(
         order_strings, MESSAGE)
-    result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else "")
-    return by_chunk.cogroup(masked.groupBy("chunk")).applyInArrow(remove, result)
+    result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, copies long" + (", kept binary" if with_kept else "")
+    judged = by_chunk.cogroup(masked.groupBy("chunk")).applyInArrow(remove, result)
+    return every_copy(judged) if repeats else judged.drop("copies")

@@ -60,6 +60,28 @@ def test_equals_brute_force(documents, seed, alphabet, threshold):
     assert rows(rs.repeated_strings(documents(*texts, ids=ids), threshold)) == brute(texts, ids, threshold)
 
 
+@pytest.mark.parametrize(("seed", "alphabet", "threshold"), [(1, "abcdefghijklmnop é\n", 50), (2, "ab", 50), (3, "abcd ", 100)])
+def test_hot_digits_are_spread_by_their_strings(documents, seed, alphabet, threshold):
+    rng = random.Random(seed)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(threshold + 12))
+    around = ["".join(rng.choice(alphabet) for _ in range(2 * threshold)) for _ in range(80)]
+    texts = corpus(seed, alphabet) + [a[:threshold] + passage + a[threshold:] for a in around]
+    ids = rng.sample(range(1000), len(texts))
+    expected = brute(texts, ids, threshold)
+    for kinds in (0, 3, 40):
+        assert rows(rs.repeated_strings(documents(*texts, ids=ids), threshold, hot_kinds=kinds)) == expected
+
+
+def test_equal_rows_are_one_row_until_the_end(documents):
+    text = "abcdefghijklmnopqrstuvwxyz " * 4
+    ids, texts = [9] * 300 + [None] * 200 + [4, 4, 9], [text] * 300 + [None] * 200 + ["z" + text, "z" + text, text[:70]]
+    docs = documents(*texts, ids=ids)
+    single, repeats = rs.once(docs.select("doc_id", "text"))
+    assert repeats and sorted((r.doc_id or -1, r.copies) for r in single.collect()) == [(-1, 200), (4, 2), (9, 1), (9, 300)]
+    assert rows(rs.repeated_strings(docs)) == brute(texts, ids, 50)
+    assert not rs.once(docs.filter("false").select("doc_id", "text"))[1]
+
+
 def test_repeated_ids_and_rows_without_id(documents):
     text = "abcdefghijklmnopqrstuvwxyz " * 4
     ids, texts = [5, 5, 7, None, None, 3], [text, text, text, text, text, "z" + text[9:80]]
