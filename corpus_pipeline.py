@@ -5,6 +5,9 @@ Every stage works on all rows its predecessor kept, and all but the last return
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +20,27 @@ from marketspark.llm.queries import FEW_OWNERS, vocabulary
 from marketspark.llm.secrets import redact, scan_secrets
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# What tasks hand to Python at once. Ten thousand rows, the default, are tens of megabytes of texts a task outside the heap.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 
-@with_package
+def stage(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``function`` with this package on the executors and small batches to Python; smaller ones of the session stay."""
+    with_tasks = with_package(function)
+
+    @functools.wraps(function)
+    def call(spark: SparkSession, *arguments: object) -> DataFrame:
+        for name, most in BATCHES.items():
+            given = spark.conf.get(name, None)
+            size = int(given) if given and given.lstrip("-").isdigit() else -1
+            if not 0 < size <= most:
+                spark.conf.set(name, most)
+        return with_tasks(spark, *arguments)
+
+    return call
+
+
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failed lines go from every text, and documents that the rules reject go altogether.
 
@@ -31,7 +52,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.select("doc_id", text.alias("text"), "lang", "source", F.char_length(text).cast("long").alias("n_chars"))
 
 
-@with_package
+@stage
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near duplicates stays; of rows that repeat an id and text, one.
 
@@ -48,7 +69,7 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
 
 
-@with_package
+@stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go; near matches alone leave a document in.
 
@@ -61,7 +82,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return docs.select(*COLUMNS).join(broadcast_if_small(leaks), same, "left_anti")
 
 
-@with_package
+@stage
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are taken out of texts: every named format, and opaque strings that look live.
 
@@ -73,7 +94,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return redact(docs, found).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-@with_package
+@stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens, with their ids.
 
