@@ -13,6 +13,8 @@ from marketspark.operators import quality as q
 from marketspark.operators.gold import AGGREGATES, aggregate_ohlc, aggregate_volume_profile
 from marketspark.operators.silver import with_partition_date
 from marketspark.plans import marts
+from marketspark.workload import checks  # noqa: F401  (register the queries)
+from marketspark.workload.registry import QUERIES
 
 
 def silver(df):
@@ -175,3 +177,14 @@ def test_uniqueness_of_texts_shuffles_hashes(spark):
     plan = results._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(_hash" in plan
     assert results.collect()[0].unique_count == 2000
+
+
+def test_invariants_query_breaks_every_invariant(spark, tmp_path):
+    """A trade an hour: the hours from three to nine are spoilt, volumes and counts among them."""
+    rows = [(hour, START.replace(hour=hour, year=2024, month=1), 1, "click", 5.0, '{"k": 2}') for hour in range(12)]
+    columns = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "events.parquet"))
+    found = QUERIES["dq_ohlc_invariants"](spark, str(tmp_path)).orderBy("position").collect()
+    assert [r.column for r in found] == [*q.OHLC_INVARIANTS] * 2
+    assert [r.unexpected_count for r in found] == [1, 2, 2, 1, 1, 1] + [0] * 6
+    assert [r.success for r in found] == [False] * 6 + [True] * 6
