@@ -16,6 +16,7 @@ from marketspark.operators.silver import with_partition_date
 from marketspark.plans.rebuild import changed_days, rebuild, rebuild_changed_days
 from marketspark.plans.serving import latest_trades, latest_trades_of
 from marketspark.schemas import GOLD, TRADE
+from marketspark.sinks import compaction
 from marketspark.sinks.compaction import compact, file_counts, fingerprint
 from marketspark.sinks.writers import StorageWriter
 from marketspark.sources import file_index
@@ -100,6 +101,48 @@ def test_compaction_plans_files_per_partition_and_keeps_rows(spark, lake, files_
     assert fingerprint(read_bronze(spark, lake.compacted)).first() == fingerprint(source).first()
 
 
+def stored_files(spark, path):
+    """Rows of each file by partition value, and the tasks that wrote them."""
+    files = spark.read.parquet(path).groupBy("partition_date", F.col("_metadata.file_name").alias("f")).count().collect()
+    sizes = {}
+    for row in files:
+        sizes.setdefault(row.partition_date, []).append(row["count"])
+    return sizes, {row.f.split("-")[1] for row in files}
+
+
+def test_compaction_writes_many_files_in_a_task(spark, lake):
+    """What the tasks report to the driver must not grow with the number of files."""
+    days = {date(2026, 5, 24): 4037, date(2026, 5, 25): 2950}
+    df = spark.range(sum(days.values())).selectExpr("id", "IF(id < 4037, '2026-05-24', '2026-05-25') AS partition_date")
+    df.repartition(5).write.partitionBy("partition_date").parquet(lake.bronze)
+    compact(spark, lake.bronze, lake.compacted, target_file_size_mb=50_000 / 1024 / 1024)
+    sizes, tasks = stored_files(spark, lake.compacted)
+    assert {day: len(s) for day, s in sizes.items()} == {day: n // 100 for day, n in days.items()}
+    assert len(tasks) <= 4
+
+
+@pytest.mark.parametrize("rows_per_file", [1, 2, 7.3, 40])
+@pytest.mark.parametrize(("partitioned", "joined"), [(True, False), (False, True)])
+def test_compaction_fills_exact_numbers_of_files(spark, lake, monkeypatch, rows_per_file, partitioned, joined):
+    """Days of many sizes and without a date, in files of one day or of all; small tables joined with or without a hint."""
+    numbers = [1, 2, 15, 83, 160, 301, 322, 716]
+    if joined:
+        monkeypatch.setattr(compaction, "FILES_PER_JOB", 0)
+    df = spark.createDataFrame(
+        [(i, None if day == 3 else date(2026, 5, 1 + day)) for day, n in enumerate(numbers) for i in range(n)],
+        "id int, partition_date date").repartition(3)
+    (df.write.partitionBy("partition_date") if partitioned else df.write).parquet(lake.bronze)
+    compact(spark, lake.bronze, lake.compacted, target_file_size_mb=rows_per_file * 500 / 1024 / 1024)
+    sizes, _ = stored_files(spark, lake.compacted)
+    found = {None if day is None else day.day - 1: s for day, s in sizes.items()}
+    for day, n in enumerate(numbers):
+        files = max(1, int(n / rows_per_file))
+        held = found[None if day == 3 else day]
+        assert (sum(held), len(held)) == (n, files)
+        assert max(held) <= 2 * min(held) or n < 2 * rows_per_file
+    assert sorted(rows_of(spark.read.parquet(lake.compacted).select("id", "partition_date")), key=repr) == rows_of(df)
+
+
 def test_compaction_spreads_a_partition_of_equal_rows(spark, lake):
     """Copies of one row must not end up in one file."""
     writer(spark, lake).write_bronze(trades(spark, *[trade("same")] * 1000), lake.bronze)
