@@ -125,6 +125,19 @@ class Suite:
             parts = [df.sparkSession.createDataFrame([], RESULT_SCHEMA)]
         return reduce(DataFrame.unionByName, parts).withColumn("suite", F.lit(self.name))
 
+    def failing_rows(self, df: DataFrame) -> DataFrame:
+        """The rows behind the unexpected counts, whole in ``row``, once for each row check they fail; one scan for all checks.
+
+        Checks of the table as a whole (existence, uniqueness, relationships and the like) have no rows here.
+        """
+        failing = [
+            F.when(_unexpected(df, kind, kwargs), F.struct(
+                F.lit(position), F.lit(kind), F.lit(kwargs.get("column") or kwargs.get("condition"))))
+            for position, (kind, kwargs) in enumerate(self.checks) if kind in _ROW_KINDS
+        ]
+        failed = F.array_compact(F.array(*failing).cast("array<struct<position:int,expectation:string,column:string>>"))
+        return df.select(F.inline(failed), F.struct("*").alias("row"))
+
     def report(self, df: DataFrame) -> dict[str, Any]:
         """The results as a document. Only they, one row per expectation, come to the driver."""
         began = time.monotonic()

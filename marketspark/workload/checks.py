@@ -184,6 +184,24 @@ def _dq_ohlc_invariants(spark, sf_dir):
     return results.select("position", "column", "success", "unexpected_count")
 
 
+# Prices are rounded to the places they are stored with, as one less or more than a double need not be the nearest one.
+_CANDLE = ", ".join(f"round({name}, 8) AS {name}" if name.endswith("_price") else name for name in sql.OHLC.split(", "))
+
+
+# The candles behind the counts above, whole, once for each invariant they break. A table of their own: they grow with the input.
+@query("dq_ohlc_invariant_rows", f"WITH {_BAD_GOLD} " + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{condition}' AS \"column\", {_CANDLE} FROM {source} WHERE ({condition}) IS NOT TRUE"
+    for i, (source, condition) in enumerate(product(("bad", "gold"), quality.OHLC_INVARIANTS))
+))
+def _dq_ohlc_invariant_rows(spark, sf_dir):
+    bad, sound = [
+        quality.OHLC_INVARIANTS_SUITE.failing_rows(table).select("position", "column", "row.*")
+        for table in (_bad_candles(spark, sf_dir), candles(spark, sf_dir))
+    ]
+    sound = sound.withColumn("position", F.col("position") + len(quality.OHLC_INVARIANTS))
+    return shown(bad.unionByName(sound), open_price=8, high_price=8, low_price=8, close_price=8)
+
+
 @query("dq_freshness", f"""
     WITH {sql.TRADES}, lag AS (SELECT epoch_us({sql.CLOCK}) - epoch_us(max(event_time)) AS us FROM trades)
     SELECT us / 1e6 <= 120 AS success, round(us / 1e6, 6) AS lag_seconds FROM lag""")

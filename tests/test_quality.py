@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from datetime import timedelta
 from decimal import Decimal
 
@@ -188,3 +189,40 @@ def test_invariants_query_breaks_every_invariant(spark, tmp_path):
     assert [r.column for r in found] == [*q.OHLC_INVARIANTS] * 2
     assert [r.unexpected_count for r in found] == [1, 2, 2, 1, 1, 1] + [0] * 6
     assert [r.success for r in found] == [False] * 6 + [True] * 6
+
+
+def test_failing_rows_of_a_suite(spark):
+    df = spark.createDataFrame([(1, "a"), (7, None), (None, "b")], "number int, text string")
+    suite = q.Suite("s", (
+        (q.UNIQUE, {"column": "text"}),
+        (q.CONDITION, {"condition": "number < 5"}),
+        (q.NOT_NULL, {"column": "text"}),
+        (q.NOT_NULL, {"column": "absent"}),
+    ))
+    rows = suite.failing_rows(df).collect()
+    assert sorted(((r.position, r.expectation, r.column, tuple(r.row)) for r in rows), key=repr) == sorted([
+        (1, q.CONDITION, "number < 5", (7, None)),
+        (1, q.CONDITION, "number < 5", (None, "b")),
+        (2, q.NOT_NULL, "text", (7, None)),
+        *[(3, q.NOT_NULL, "absent", row) for row in ((1, "a"), (7, None), (None, "b"))],
+    ], key=repr)
+    counts = {r.position: r.unexpected_count for r in suite.results(df).collect() if r.unexpected_count}
+    assert counts == {1: 2, 2: 1, 3: 3}
+    assert q.Suite("nothing").failing_rows(df).collect() == [] and suite.failing_rows(df.limit(0)).collect() == []
+
+
+def test_invariants_query_gives_the_rows_behind_its_counts(spark, tmp_path):
+    """A trade an hour, and one without a symbol in the seventh: every candle that fails is there, whole."""
+    rows = [(hour, START.replace(hour=hour, year=2024, month=1), 1, "click", 5.0, '{"k": 2}') for hour in range(12)]
+    rows.append((12, START.replace(hour=7, year=2024, month=1), 1, None, 0.07, '{"k": 3}'))
+    columns = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "events.parquet"))
+    found = QUERIES["dq_ohlc_invariant_rows"](spark, str(tmp_path)).collect()
+    assert sorted((r.position, r.column, r.window_start.hour) for r in found) == [
+        (i, q.OHLC_INVARIANTS[i], hour) for i, hour in ((0, 6), (1, 6), (1, 8), (2, 6), (2, 9), (3, 3), (4, 4), (5, 7), (5, 7))]
+    high, = [r for r in found if r.position == 0]
+    assert (high.symbol, high.open_price, high.high_price, high.low_price, high.volume) == ("CLICK", 5.0, 4.0, 5.0, 2.0)
+    assert {(r.symbol, r.close_price, r.volume, r.window_end == r.window_start) for r in found if r.position == 5} == {
+        ("CLICK", 5.0, 2.0, True), (None, 0.07, 3.0, True)}
+    counts = QUERIES["dq_ohlc_invariants"](spark, str(tmp_path)).collect()
+    assert {r.position: r.unexpected_count for r in counts if not r.success} == dict(Counter(r.position for r in found))
